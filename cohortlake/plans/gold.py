@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import coarse_part, fine_part, stable_avg, stable_sum
+from ..operators.skew import join_one_per_key
 from ..schemas import COLUMNS
 
 Tables = Mapping[str, DataFrame]
@@ -78,11 +79,8 @@ def course_progress(t: Tables) -> DataFrame:
     people = t["dim_intern"].select("intern_id", "full_name")
     # One row per registered course.
     courses = F.broadcast(t["dim_course"].select("course_id", "course_name"))
-    return (
-        t["fact_lms_progress"].join(courses, "course_id")
-        .join(people, "intern_id")
-        .select(*COLUMNS["gold_course_progress"])
-    )
+    rows = t["fact_lms_progress"].join(courses, "course_id")
+    return join_one_per_key(rows, people, "intern_id").select(*COLUMNS["gold_course_progress"])
 
 
 def eod_by_intern(t: Tables) -> DataFrame:

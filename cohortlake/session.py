@@ -17,6 +17,8 @@ def build_session(app: str = "cohortlake", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split a frequent key even where that costs a later operator one more shuffle.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.parquet.compression.codec": "zstd",
         **conf,
     }

@@ -176,3 +176,14 @@ def questions_from_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return turns.select("conv_id", "turn", seeded.alias("question"))
 
 
+def answers_from_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Questions dressed as generated answers: fenced, with text after, or declined."""
+    rows = questions_from_conversations(spark, folder)
+    q, k = F.replace(F.col("question"), F.lit(";"), F.lit(",")), F.col("conv_id")
+    answer = (
+        F.when(_every(k, 4, 0), F.concat(F.lit("```sql\nSELECT '"), q, F.lit("';;  \nThis counts; all.\n```")))
+        .when(_every(k, 4, 1), F.concat(F.lit("  out_of_context: "), q))
+        .when(_every(k, 4, 2), F.concat(F.lit("SELECT 1;\nOUT_OF_CONTEXT "), q))
+        .otherwise(q)
+    )
+    return rows.select("conv_id", "turn", answer.alias("answer"))
