@@ -15,13 +15,12 @@ def parse_eod_date(c: Column) -> Column:
 def parse_course_date(c: Column) -> Column:
     """ISO date with or without a time, year/month/day, or month/day/year.
 
-    The form is told by the fifth character, so each value is parsed once: a failed
-    attempt costs far more than a good one.
+    The form is told by the separators, so each value is parsed once: a failed attempt
+    costs far more than a good one.
     """
-    fifth = F.substring(c, 5, 1)
     return (
-        F.when(fifth == "-", c.try_cast("timestamp"))
-        .when(fifth == "/", F.try_to_timestamp(c, F.lit("yyyy/M/d")))
+        F.when(F.substring(c, 5, 1) == "-", c.try_cast("timestamp"))
+        .when(c.rlike(r"^\d{4}/"), F.try_to_timestamp(c, F.lit("yyyy/M/d")))
         .when(c.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_timestamp(c, F.lit("M/d/yyyy")))
     )
 
