@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import (
     PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
@@ -24,6 +25,7 @@ from .features import COURSE_FEATURES, PERSON_FEATURES, SCORE_FEATURES
 SEED = 42
 CLUSTERS = 3
 RESTARTS = 10
+PARALLEL_STARTS = 4
 # Names of the clusters, by mean hours, highest first.
 CLUSTER_NAMES = ["High Performer", "Average Performer", "At Risk"]
 UNKNOWN_CLUSTER = "Unknown"
@@ -145,13 +147,18 @@ def train_clustering(
             StandardScaler(inputCol="raw_features", outputCol="scaled", withMean=True, withStd=True),
         ]
     ).fit(data)
+    spark = people.sparkSession
     scaled = prepare.transform(data).select("scaled", order_by)
     scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fits = (
-            KMeans(k=k, seed=seed + i, featuresCol="scaled", predictionCol="cluster_raw").fit(scaled)
-            for i in range(restarts)
-        )
+        def fit(start: int) -> KMeansModel:
+            return KMeans(
+                k=k, seed=seed + start, featuresCol="scaled", predictionCol="cluster_raw"
+            ).fit(scaled)
+
+        # The starts are independent jobs over one stored frame; a few run at a time.
+        with ThreadPoolExecutor(max_workers=PARALLEL_STARTS) as pool:
+            fits = list(pool.map(inheritable_thread_target(spark)(fit), range(restarts)))
         best = min(fits, key=lambda m: m.summary.trainingCost)
         means = (
             best.transform(scaled).groupBy("cluster_raw").agg(F.avg(order_by).alias("mean"))
