@@ -29,6 +29,7 @@ YEAR, WEEK = 2024, 2
 DAY = datetime.date(2024, 1, 10)
 
 _plans: dict[tuple[str, str, bool], Warehouse] = {}
+_fits: dict[tuple[str, int], object] = {}
 
 
 def sample(spark: SparkSession, folder: str, dense_ids: bool = False) -> Warehouse:
@@ -45,6 +46,14 @@ def sample(spark: SparkSession, folder: str, dense_ids: bool = False) -> Warehou
     return _plans[key]
 
 
+def _fitted(name: str, t: Warehouse, fit: Callable[[], object]) -> object:
+    """A model is trained once per application and sample; queries about it share it."""
+    key = (name, id(t))
+    if key not in _fits:
+        _fits[key] = fit()
+    return _fits[key]
+
+
 def _on(build: Callable[[Warehouse], DataFrame], dense_ids: bool = False) -> Query:
     return lambda spark, folder: build(sample(spark, folder, dense_ids))
 
@@ -363,15 +372,17 @@ def _models() -> dict[str, Query]:
 
     def classified(t: Warehouse) -> DataFrame:
         rows = features.course_features(t)
-        return models.classify(models.train_classifier(rows), rows)
+        return models.classify(_fitted("status", t, lambda: models.train_classifier(rows)), rows)
 
     def clustered(t: Warehouse) -> DataFrame:
         people = features.person_features(t)
-        return models.assign_clusters(models.train_clustering(people), people)
+        fit = _fitted("clusters", t, lambda: models.train_clustering(people))
+        return models.assign_clusters(fit, people)
 
     def scored(t: Warehouse) -> DataFrame:
         rows = features.course_features(t)
-        return models.regression_results(models.train_regression(rows), rows)
+        fit = _fitted("scores", t, lambda: models.train_regression(rows))
+        return models.regression_results(fit, rows)
 
     def projected(t: Warehouse) -> DataFrame:
         return models.pca_results(features.person_features(t), clustered(t))
@@ -385,7 +396,7 @@ def _models() -> dict[str, Query]:
     def embedding_clusters(s: SparkSession, f: str) -> DataFrame:
         rows, names = embedded(s, f)
         fit = models.train_clustering(rows, names, names[0])
-        return models.assign_clusters(fit, rows, names).select("vec_id", "cluster_raw", "cluster_label")
+        return models.assign_clusters(fit, rows, names).select("vec_id", "cluster_raw")
 
     def embedding_projection(s: SparkSession, f: str) -> DataFrame:
         rows, names = embedded(s, f)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in its lower 33 bits
+BLOCK_BITS = 18  # about 260,000 rows at most are numbered together
 
 
 def range_sorted(df: DataFrame, order: list[str], partitions: int | None = None) -> DataFrame:
@@ -33,38 +34,52 @@ def range_sorted(df: DataFrame, order: list[str], partitions: int | None = None)
     )
 
 
-def _offsets(placed: DataFrame, weight: Column) -> DataFrame:
-    """What lies before each partition: one row per partition, so the window here is small."""
-    sizes = placed.groupBy("_part").agg(F.sum(weight).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select(
-        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
-    )
-
+def with_dense_id(df: DataFrame, order: list[str], name: str, block_bits: int = BLOCK_BITS) -> DataFrame:
+    """Append ``name`` = 0..n-1 in the order of ``order``.
 
-def with_dense_id(
-    df: DataFrame, order: list[str], name: str, partitions: int | None = None
-) -> DataFrame:
-    """Append ``name`` = 0..n-1 in the order of ``order``, which must tell the rows apart."""
-    placed = range_sorted(df, order, partitions)
+    The last order column must be a whole number that tells the rows apart, such as the
+    ingestion order; columns before it must have few values. Rows are numbered within
+    blocks of that number, which no block can outgrow, and the row counts of the blocks
+    before are added. The counts come from a scan of the order columns alone, and share
+    the partitioning of the numbered rows, which are shuffled once and never sampled.
+    """
+    *outer, seq = order
+    blocked = df.withColumn("_block", F.shiftright(seq, block_bits))
+    keys = [*outer, "_block"]
+    within = Window.partitionBy(*keys).orderBy(seq)
+    # One row per block of 2^block_bits numbers.
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        blocked.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(*keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    )
     return (
-        placed.join(F.broadcast(_offsets(placed, F.lit(1))), "_part")
-        .withColumn(name, F.col("_offset") + F.col("_pos"))
-        .drop("_part", "_pos", "_offset")
+        blocked.withColumn("_row", F.row_number().over(within))
+        .join(offsets, keys)
+        .withColumn(name, F.col("_offset") + F.col("_row") - 1)
+        .drop("_block", "_row", "_offset")
     )
 
 
 def with_running_total(
     df: DataFrame, order: list[str], weight: str, name: str, partitions: int | None = None
 ) -> DataFrame:
-    """Append the sum of ``weight`` over all rows before this one."""
+    """Append the sum of ``weight`` over all rows before this one, for any sortable order."""
     placed = range_sorted(df, order, partitions)
     within = (
         Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     )
+    # One row per partition.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy("_part")
+        .agg(F.sum(weight).alias("_size"))
+        .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    )
     return (
         placed.withColumn("_inner", F.coalesce(F.sum(weight).over(within), F.lit(0)))
-        .join(F.broadcast(_offsets(placed, F.col(weight))), "_part")
+        .join(offsets, "_part")
         .withColumn(name, F.col("_offset") + F.col("_inner"))
         .drop("_part", "_pos", "_offset", "_inner")
     )

@@ -76,7 +76,7 @@ def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     placed = with_running_total(levels, ["feature", "value"], "n", "before")
-    # One span row per column named in the call.
+    # One span row per column named in the call, so it may be broadcast.
     spans = placed.groupBy("feature").agg(F.min("before").alias("start"), F.sum("n").alias("rows"))
     low_rank = F.floor((F.col("rows") - 1) / 2)
     high_rank = F.floor(F.col("rows") / 2)

@@ -87,6 +87,9 @@ def train_classifier(
         forest = RandomForestClassifier(
             labelCol="label", featuresCol="features", weightCol="weight",
             numTrees=trees, maxDepth=depth, seed=seed,
+            # Deep trees: remember each row's node instead of sending whole trees to the
+            # tasks at every level, and grow many nodes per pass over the data.
+            cacheNodeIds=True, maxMemoryInMB=1024,
         )
         model = Pipeline(stages=[*_course_stages(COURSE_FEATURES), forest]).fit(
             indexer.transform(data)
