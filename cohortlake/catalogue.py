@@ -58,12 +58,16 @@ def _on(build: Callable[[Warehouse], DataFrame], dense_ids: bool = False) -> Que
     return lambda spark, folder: build(sample(spark, folder, dense_ids))
 
 
-def _eod(*columns: Column) -> Query:
-    return _on(lambda t: t["raw_eod_activities"].select(SEQ, *columns))
+def _eod(columns: Callable[[], list[Column]]) -> Query:
+    return _on(lambda t: t["raw_eod_activities"].select(SEQ, *columns()))
 
 
-def _lms(*columns: Column) -> Query:
-    return _on(lambda t: t["raw_lms"].select(SEQ, *columns))
+def _lms(columns: Callable[[], list[Column]]) -> Query:
+    return _on(lambda t: t["raw_lms"].select(SEQ, *columns()))
+
+
+def _cleaned(columns: Callable[[], list[Column]]) -> Query:
+    return _on(lambda t: t["lms_clean"].select(SEQ, *columns()))
 
 
 def _c(name: str) -> Column:
@@ -75,88 +79,117 @@ def _parts(source: str, num: str, den: str, ratio: str) -> list[Column]:
     return [p["num"].alias(num), p["den"].alias(den), p["ratio"].alias(ratio)]
 
 
-def _cleaning() -> dict[str, Query]:
-    first, last = _c("First Name"), _c("Last Name")
-    full = text.joined_name(first, last)
+def _full_name() -> list[Column]:
+    return [text.joined_name(_c("First Name"), _c("Last Name")).alias("full_name")]
+
+
+def _outliers() -> list[Column]:
     hours = numbers.parse_number(_c("Hours"))
     flag = numbers.outlier_flag(hours, bindings.SAMPLE_LOW, bindings.SAMPLE_HIGH)
+    return [flag.alias("hours_outlier_flag")]
+
+
+def _ids() -> list[Column]:
+    return [
+        text.short_id(_c("User Name")).alias("intern_id"),
+        text.short_id(_c("Overall Status")).alias("status_id"),
+    ]
+
+
+def _triples() -> list[Column]:
+    return [
+        *_parts("Overall Knowledge Check", "kc_score", "kc_max", "kc_pct"),
+        *_parts("Overall Test", "test_score", "test_max", "test_pct"),
+        *_parts("Reviewed / Submitted", "reviewed", "submitted", "reviewed_pct"),
+        *_parts("Reviewed / Total Assignments", "reviewed2", "total2", "reviewed2_pct"),
+    ]
+
+
+def _categories(t: Warehouse) -> DataFrame:
+    activity = F.col("activity")
+    return t["eod_clean"].select("activity").distinct().select(
+        "activity", lookups.activity_category(activity).alias("activity_category")
+    )
+
+
+def _calendar(t: Warehouse) -> DataFrame:
     day = F.col("date")
+    days = t["lms_clean"].select(F.col("start_date").cast("date").alias("date")).distinct()
+    return days.select(
+        "date",
+        dates.day_name(day).alias("day_of_week"),
+        dates.iso_week(day).alias("week_number"),
+        dates.month(day).alias("month"),
+        dates.month_name(day).alias("month_name"),
+        dates.year(day).alias("year"),
+    )
+
+
+def _week_labels(t: Warehouse) -> DataFrame:
+    start = F.col("start_date")
+    label = dates.week_label(dates.year(start), dates.iso_week(start)).alias("week_label")
+    return t["lms_clean"].filter(start.isNotNull()).groupBy(label).agg(
+        F.count(F.lit(1)).alias("row_count")
+    )
+
+
+def _plain_cells() -> list[Column]:
+    test = F.coalesce("test_pct", F.lit(float("nan")))
+    return [
+        numbers.presentable(F.col("start_date").cast("date"), "date").alias("start_text"),
+        numbers.presentable(test, "double").alias("test_value"),
+    ]
+
+
+def _rounded() -> list[Column]:
+    return [
+        numbers.round_half_away(F.col("kc_pct"), 1).alias("kc_rounded"),
+        F.coalesce(numbers.round_half_away(F.col("test_pct"), 1), F.lit(0.0)).alias("test_or_zero"),
+    ]
+
+
+def _course_dates() -> list[Column]:
+    return [
+        dates.parse_course_date(_c("Start Date")).alias("start_date"),
+        dates.parse_course_date(_c("End Date")).alias("end_date"),
+    ]
+
+
+def _name_parts() -> list[Column]:
+    name = _c("User Name")
+    return [text.first_name(name).alias("first_name"), text.last_name(name).alias("last_name")]
+
+
+def _cleaning() -> dict[str, Query]:
     return {
-        "c1_normalize_name": _lms(text.normalize_name(_c("User Name")).alias("normalized")),
-        "c2_short_ids": _lms(
-            text.short_id(_c("User Name")).alias("intern_id"),
-            text.short_id(_c("Overall Status")).alias("status_id"),
-        ),
-        "c3_parse_fraction": _lms(*_parts("Completed Assignment", "num", "den", "ratio")),
-        "c4_full_name": _eod(full.alias("full_name")),
-        "c5_eod_date": _eod(dates.parse_eod_date(_c("Date")).alias("date")),
-        "c6_hours": _eod(hours.alias("hours")),
-        "c7_outlier_flag": _eod(flag.alias("hours_outlier_flag")),
-        "c8_activity": _eod(text.non_blank(_c("Activity")).alias("activity")),
+        "c1_normalize_name": _lms(lambda: [text.normalize_name(_c("User Name")).alias("normalized")]),
+        "c2_short_ids": _lms(_ids),
+        "c3_parse_fraction": _lms(lambda: _parts("Completed Assignment", "num", "den", "ratio")),
+        "c4_full_name": _eod(_full_name),
+        "c5_eod_date": _eod(lambda: [dates.parse_eod_date(_c("Date")).alias("date")]),
+        "c6_hours": _eod(lambda: [numbers.parse_number(_c("Hours")).alias("hours")]),
+        "c7_outlier_flag": _eod(_outliers),
+        "c8_activity": _eod(lambda: [text.non_blank(_c("Activity")).alias("activity")]),
         "c9_clean_eod": _on(lambda t: t["eod_clean"]),
         "c10_course_name": _lms(
-            lookups.course_name(_c("course_key"), _c("Course Name")).alias("course_name")
-        ),
-        "c11_course_dates": _lms(
-            dates.parse_course_date(_c("Start Date")).alias("start_date"),
-            dates.parse_course_date(_c("End Date")).alias("end_date"),
+            lambda: [lookups.course_name(_c("course_key"), _c("Course Name")).alias("course_name")]
         ),
-        "c12_progress_pct": _lms(numbers.parse_percent(_c("Progress (%)")).alias("progress_pct")),
-        "c13_fraction_triples": _lms(
-            *_parts("Overall Knowledge Check", "kc_score", "kc_max", "kc_pct"),
-            *_parts("Overall Test", "test_score", "test_max", "test_pct"),
-            *_parts("Reviewed / Submitted", "reviewed", "submitted", "reviewed_pct"),
-            *_parts("Reviewed / Total Assignments", "reviewed2", "total2", "reviewed2_pct"),
+        "c11_course_dates": _lms(_course_dates),
+        "c12_progress_pct": _lms(
+            lambda: [numbers.parse_percent(_c("Progress (%)")).alias("progress_pct")]
         ),
-        "c14_status": _lms(lookups.status(_c("Overall Status")).alias("overall_status")),
-        "c15_mentor_text": _lms(text.strip(_c("Mentor Name")).alias("mentor_name_raw")),
+        "c13_fraction_triples": _lms(_triples),
+        "c14_status": _lms(lambda: [lookups.status(_c("Overall Status")).alias("overall_status")]),
+        "c15_mentor_text": _lms(lambda: [text.strip(_c("Mentor Name")).alias("mentor_name_raw")]),
         "c16_clean_lms": _on(lambda t: t["lms_clean"]),
         "c17_explode_mentors": _on(lambda t: t["mentors"]),
-        "c18_name_parts": _lms(
-            text.first_name(_c("User Name")).alias("first_name"),
-            text.last_name(_c("User Name")).alias("last_name"),
-        ),
-        "c19_activity_category": _on(
-            lambda t: t["eod_clean"].select("activity").distinct().select(
-                "activity", lookups.activity_category(F.col("activity")).alias("activity_category")
-            )
-        ),
-        "c20_calendar": _on(
-            lambda t: t["lms_clean"]
-            .select(F.col("start_date").cast("date").alias("date")).distinct()
-            .select(
-                "date",
-                dates.day_name(day).alias("day_of_week"),
-                dates.iso_week(day).alias("week_number"),
-                dates.month(day).alias("month"),
-                dates.month_name(day).alias("month_name"),
-                dates.year(day).alias("year"),
-            )
-        ),
-        "c21_week_label": _on(
-            lambda t: t["lms_clean"].filter(F.col("start_date").isNotNull())
-            .groupBy(dates.week_label(dates.year(F.col("start_date")), dates.iso_week(F.col("start_date"))).alias("week_label"))
-            .agg(F.count(F.lit(1)).alias("row_count"))
-        ),
-        "c22_round_coalesce": _on(
-            lambda t: t["lms_clean"].select(
-                SEQ,
-                numbers.round_half_away(F.col("kc_pct"), 1).alias("kc_rounded"),
-                F.coalesce(numbers.round_half_away(F.col("test_pct"), 1), F.lit(0.0)).alias("test_or_zero"),
-            )
-        ),
-        "c23_clip": _on(
-            lambda t: t["lms_clean"].select(
-                SEQ, numbers.at_least(F.col("progress_pct"), 1).alias("tile")
-            )
-        ),
-        "c24_presentable": _on(
-            lambda t: t["lms_clean"].select(
-                SEQ,
-                numbers.presentable(F.col("start_date").cast("date"), "date").alias("start_text"),
-                numbers.presentable(F.when(F.col("test_pct").isNull(), F.lit(float("nan"))).otherwise(F.col("test_pct")), "double").alias("test_value"),
-            )
-        ),
+        "c18_name_parts": _lms(_name_parts),
+        "c19_activity_category": _on(_categories),
+        "c20_calendar": _on(_calendar),
+        "c21_week_label": _on(_week_labels),
+        "c22_round_coalesce": _cleaned(_rounded),
+        "c23_clip": _cleaned(lambda: [numbers.at_least(F.col("progress_pct"), 1).alias("tile")]),
+        "c24_presentable": _cleaned(_plain_cells),
         "c25_principal_key": _on(
             lambda t: t["dim_intern"].select(
                 "intern_id", text.principal_key(F.col("full_name")).alias("login")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import is_weekend
 from ..functions.numbers import coarse_part, fine_part
 from ..operators.quantiles import exact_medians
+from ..operators.skew import join_one_per_key
 from .gold import Tables, course_progress, lms_by_intern
 
 # Domain-hours feature to activity category.
@@ -45,8 +46,9 @@ def _hours_where(condition: Column) -> Column:
 def domain_hours(t: Tables) -> DataFrame:
     """Hours per person in the four domains; the category is joined to aggregated rows."""
     category = F.col("activity_category")
+    categories = t["dim_activity"].select("activity_id", "activity_category")
     return (
-        _per_activity(t).join(t["dim_activity"].select("activity_id", "activity_category"), "activity_id")
+        join_one_per_key(_per_activity(t), categories, "activity_id")
         .groupBy("intern_id")
         .agg(*[_hours_where(category == c).alias(name) for name, c in DOMAINS.items()])
     )

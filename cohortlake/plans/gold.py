@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import dates
 from ..functions.numbers import coarse_part, fine_part, stable_avg, stable_sum
 from ..operators.skew import join_one_per_key
 from ..schemas import COLUMNS
@@ -37,45 +38,48 @@ def _avg_hours() -> Column:
 
 
 def weekly_hours(t: Tables) -> DataFrame:
-    """Hours per person, calendar year, ISO week and month; undated rows drop out."""
+    """Hours per person, calendar year, ISO week and month; undated rows drop out.
+
+    The date dimension holds every date of the facts, and its columns are functions of
+    the date, so they are computed here instead of joined on a key of few values.
+    """
+    day = F.col("date")
     daily = (
-        t["fact_eod_log"].filter(F.col("date").isNotNull())
-        .groupBy("intern_id", "date").agg(*_hour_parts())
+        t["fact_eod_log"].filter(day.isNotNull()).groupBy("intern_id", "date").agg(*_hour_parts())
     )
-    weekly = (
-        daily.join(t["dim_date"], "date")
-        .groupBy("intern_id", "year", "week_number", "month_name")
-        .agg(
-            F.sum("n").alias("activity_count"),
-            _total_hours().alias("total_hours"),
-            _avg_hours().alias("avg_hours_per_activity"),
-            F.count(F.lit(1)).alias("active_days"),
-        )
+    weekly = daily.groupBy(
+        "intern_id",
+        dates.year(day).alias("year"),
+        dates.iso_week(day).alias("week_number"),
+        dates.month_name(day).alias("month_name"),
+    ).agg(
+        F.sum("n").alias("activity_count"),
+        _total_hours().alias("total_hours"),
+        _avg_hours().alias("avg_hours_per_activity"),
+        F.count(F.lit(1)).alias("active_days"),
     )
     people = t["dim_intern"].select("intern_id", "full_name")
     return weekly.join(people, "intern_id").select(*COLUMNS["gold_weekly_hours"])
 
 
 def activity_summary(t: Tables) -> DataFrame:
+    hours = F.col("hours")
     per_activity = (
         t["fact_eod_log"].filter(F.col("activity_id").isNotNull())
         .groupBy("intern_id", "activity_id")
         .agg(
             F.count(F.lit(1)).alias("activity_count"),
-            stable_sum(F.col("hours")).alias("total_hours"),
-            stable_avg(F.col("hours")).alias("avg_hours"),
+            stable_sum(hours).alias("total_hours"),
+            stable_avg(hours).alias("avg_hours"),
         )
     )
     people = t["dim_intern"].select("intern_id", "full_name")
-    return (
-        per_activity.join(t["dim_activity"], "activity_id")
-        .join(people, "intern_id")
-        .select(*COLUMNS["gold_activity_summary"])
-    )
+    named = join_one_per_key(per_activity, t["dim_activity"], "activity_id")
+    return named.join(people, "intern_id").select(*COLUMNS["gold_activity_summary"])
 
 
 def course_progress(t: Tables) -> DataFrame:
-    """Progress facts with names. Fact-grain join: AQE splits the rows of a frequent person."""
+    """Progress facts with names: the one Gold table of fact grain."""
     people = t["dim_intern"].select("intern_id", "full_name")
     # One row per registered course.
     courses = F.broadcast(t["dim_course"].select("course_id", "course_name"))

@@ -89,9 +89,12 @@ def lms_from_orders(spark: SparkSession, folder: str) -> DataFrame:
     def having(column: str, value: str) -> Column:
         return F.sum((F.col(column) == value).cast("bigint"))
 
+    def named(key: str, name: str) -> DataFrame:
+        return suppliers.select(F.col("s_suppkey").alias(key), F.col("s_name").alias(name))
+
+    # The mentors of a row are its first and last supplier: two at most, however many lines.
     per_order = (
-        items.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("l_orderkey")
+        items.groupBy("l_orderkey")
         .agg(
             F.count(F.lit(1)).alias("n"),
             having("l_linestatus", "F").alias("done"),
@@ -99,8 +102,15 @@ def lms_from_orders(spark: SparkSession, folder: str) -> DataFrame:
             having("l_returnflag", "A").alias("reviewed"),
             having("l_returnflag", "N").alias("pending"),
             F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
-            # A set of the suppliers of one order, at most one per line of that order.
-            F.array_join(F.array_sort(F.collect_set("s_name")), ", ").alias("mentors"),
+            F.min("l_suppkey").alias("first_key"),
+            F.max("l_suppkey").alias("last_key"),
+        )
+        .join(named("first_key", "first_mentor"), "first_key", "left")
+        .join(named("last_key", "last_mentor"), "last_key", "left")
+        .withColumn(
+            "mentors",
+            F.when(F.col("first_key") == F.col("last_key"), F.col("first_mentor"))
+            .otherwise(F.concat_ws(", ", "first_mentor", "last_mentor")),
         )
     )
     orders = _read(spark, folder, "orders").select(
