@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,10 @@ from .plans import features, models, quality
 from .plans import questions as ask
 from .plans.warehouse import Warehouse
 from .schemas import SEQ
+from .session import shared_folder
 from .sources import bindings
+from .sources.bronze import EOD_TABLE, read_raw, write_bronze
+from .streaming.bronze_stream import start_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,19 +33,34 @@ YEAR, WEEK = 2024, 2
 DAY = datetime.date(2024, 1, 10)
 
 _plans: dict[tuple[str, str, bool], Warehouse] = {}
+_bronze: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
 _fits: dict[tuple[str, int], object] = {}
 
 
+def raw(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The sample as raw rows, stored once per application like any Bronze layer.
+
+    Stored as Parquet in the shared folder, so that queries read only the columns they
+    need and nothing hangs on the executors that wrote it.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _bronze:
+        frames = (bindings.eod_from_events(spark, folder), bindings.lms_from_orders(spark, folder))
+        place = f"{shared_folder(spark)}/bronze-{uuid.uuid4().hex}"
+        stored = []
+        for name, frame in zip(("raw_eod", "raw_lms"), frames):
+            frame.write.parquet(f"{place}/{name}")
+            stored.append(spark.read.parquet(f"{place}/{name}"))
+        _bronze[key] = tuple(stored)
+    return _bronze[key]
+
+
 def sample(spark: SparkSession, folder: str, dense_ids: bool = False) -> Warehouse:
-    """The layers over one sample folder; plans are kept per application, data are not."""
+    """The layers over the raw rows of one sample folder; only their plans are kept."""
     key = (spark.sparkContext.applicationId, folder, dense_ids)
     if key not in _plans:
         _plans[key] = Warehouse.from_raw(
-            bindings.eod_from_events(spark, folder),
-            bindings.lms_from_orders(spark, folder),
-            bindings.SAMPLE_LOW,
-            bindings.SAMPLE_HIGH,
-            dense_ids,
+            *raw(spark, folder), bindings.SAMPLE_LOW, bindings.SAMPLE_HIGH, dense_ids
         )
     return _plans[key]
 
@@ -319,6 +338,34 @@ def _dashboard() -> dict[str, Query]:
     }
 
 
+def _own_database(spark: SparkSession) -> str:
+    """A new database in the shared folder, for queries about stored tables."""
+    name = f"cohortlake_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark)}/{name}'")
+    return name
+
+
+def _ingestion() -> dict[str, Query]:
+    def upserted(t: Warehouse) -> DataFrame:
+        """First the rows with hours, copies kept; then all rows, of which only new ones are added."""
+        spark = t["raw_eod_activities"].sparkSession
+        database = _own_database(spark)
+        rows = t["raw_eod_activities"].drop(SEQ)
+        write_bronze(spark, rows.filter(F.col("Hours").isNotNull()), database, EOD_TABLE)
+        write_bronze(spark, rows, database, EOD_TABLE)
+        return read_raw(spark, database, EOD_TABLE)
+
+    def streamed(spark: SparkSession, folder: str) -> DataFrame:
+        database = _own_database(spark)
+        rows = bindings.eod_from_events(spark, folder, bindings.event_stream(spark, folder))
+        place = f"{shared_folder(spark)}/{database}-progress"
+        query = start_bronze(rows.drop(SEQ), database, EOD_TABLE, place)
+        query.awaitTermination()
+        return read_raw(spark, database, EOD_TABLE)
+
+    return {"s5_s6_bronze_upsert": _on(upserted), "r1_bronze_stream": streamed}
+
+
 def _set_operations() -> dict[str, Query]:
     columns = ["intern_id", "activity", "hours"]
 
@@ -463,6 +510,7 @@ def _models() -> dict[str, Query]:
 
 def queries() -> dict[str, Query]:
     groups = (
-        _cleaning, _predicates, _joins, _layers, _dashboard, _set_operations, _questions, _models,
+        _cleaning, _ingestion, _predicates, _joins, _layers, _dashboard, _set_operations,
+        _questions, _models,
     )
     return {name: query for group in groups for name, query in group().items()}

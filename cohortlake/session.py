@@ -27,6 +27,12 @@ def build_session(app: str = "cohortlake", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """This application's own folder below the checkpoint folder; all executors reach it."""
+    ensure_checkpoint_dir(spark)
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder named in ``spark.checkpoint.dir``.
 

@@ -26,9 +26,18 @@ def _every(key: Column, n: int, at: int) -> Column:
     return (key % n) == at
 
 
-def eod_from_events(spark: SparkSession, folder: str) -> DataFrame:
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as a stream of files."""
+    schema = _read(spark, folder, "events").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    return reader.parquet(folder)
+
+
+def eod_from_events(
+    spark: SparkSession, folder: str, events: DataFrame | None = None
+) -> DataFrame:
     """One daily log row per event."""
-    events = _read(spark, folder, "events")
+    events = _read(spark, folder, "events") if events is None else events
     people = _read(spark, folder, "customer").select("c_custkey", "c_name")
     k = F.col("event_id")
     first = F.split("c_name", "#")[0]

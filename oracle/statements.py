@@ -220,7 +220,11 @@ def _dashboard() -> dict[str, str]:
 def _set_operations() -> dict[str, str]:
     except_sql = """select intern_id, activity, hours from eod_clean
         except select intern_id, activity, hours from eod_clean where hours_outlier_flag = 1"""
+    cells = '"Date", "First Name", "Last Name", "Activity", "Hours"'
+    with_hours = f'select {cells} from raw_eod where "Hours" is not null'
     return {
+        "s5_s6_bronze_upsert": f"{with_hours} union all (select {cells} from raw_eod except {with_hours})",
+        "r1_bronze_stream": f"select {cells} from raw_eod",
         "u1_except": except_sql,
         "u1_except_by_key": except_sql,
         "u2_union_all": "select intern_id, full_name from eod_clean union all select intern_id, full_name from lms_clean",
