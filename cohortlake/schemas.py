@@ -30,6 +30,7 @@ RAW_LMS = _strings(
 # rules and dense ids are decided by it, since a distributed table has no row order.
 SEQ = "ingest_seq"
 
+# The columns of every Silver and Gold table.
 COLUMNS: dict[str, list[str]] = {
     "dim_intern": ["intern_id", "full_name", "first_name", "last_name"],
     "dim_course": ["course_id", "course_key", "course_name", "start_date", "end_date"],

@@ -8,8 +8,8 @@ MENTOR = "Supplier#000000007"
 INTERN = "Customer 000000008"
 NAMES = "('Customer 000000008', 'Customer 000000003', 'O''Brien')"
 
-MENTEES = f"""select distinct b.intern_id from bridge_intern_mentor b
-  join dim_mentor m on b.mentor_id = m.mentor_id where m.mentor_name = '{MENTOR}'"""
+MENTEES = f"""select distinct intern_id from dim_mentor join bridge_intern_mentor using (mentor_id)
+  where mentor_name = '{MENTOR}'"""
 SCOPE = f"(select * from gold_course_progress where intern_id in ({MENTEES}))"
 LABEL = "year || '-W' || lpad(cast(week_number as varchar), 2, '0')"
 PROGRESS = "full_name, course_name, progress_pct, overall_status"
@@ -17,6 +17,7 @@ BOARD = """(select intern_id, full_name, round(total_hours, 1) as total_hours,
   round(avg_progress_pct, 1) as avg_progress_pct, round(avg_test_pct, 1) as avg_test_pct,
   courses_completed from gold_intern_performance)"""
 BEST = "order by total_hours desc, avg_progress_pct desc, full_name"
+# What a question must not contain.
 BLOCKED = (
     r"'(?i)(ignore previous|system prompt|drop table|delete from|update\s+\w|"
     r"insert into|truncate\s+\w|--\s|/\*)'"
@@ -97,10 +98,10 @@ def _predicates() -> dict[str, str]:
 
 
 def _joins() -> dict[str, str]:
-    own = f"""select g.course_name, coalesce(my.test_pct, 0) as my_score, coalesce(g.avg_test, 0) as batch_avg
-        from (select course_name, {c.savg('test_pct')} as avg_test from gold_course_progress group by course_name) g
-        left join (select course_name, test_pct from gold_course_progress where full_name = '{INTERN}') my
-        on g.course_name = my.course_name"""
+    own = f"""select course_name, ifnull(score, 0) as my_score, ifnull(mean, 0) as batch_avg
+        from (select course_name, {c.savg('test_pct')} as mean from gold_course_progress group by all) batch
+        left join (select course_name, test_pct as score from gold_course_progress
+          where full_name = '{INTERN}') own using (course_name)"""
     return {
         "j1_fact_dims": "select * from gold_activity_summary",
         "j2_two_key_join": "select * from gold_mentor_workload",
@@ -294,24 +295,19 @@ COURSE_SQL = f"""select p.intern_id, p.full_name, p.course_name, p.progress_pct,
     {', '.join(f'coalesce(h.{k}, 0) as {k}' for k, _ in DOMAINS)}
   from gold_course_progress p left join ({DOMAIN_SQL}) h on p.intern_id = h.intern_id"""
 
-PERSON_SQL = f"""select i.intern_id, i.full_name,
-    coalesce(e.total_hours, 0) as total_hours, coalesce(e.distinct_activities, 0) as distinct_activities,
-    coalesce(e.weekend_hours, 0) as weekend_hours,
-    {', '.join(f'coalesce(h.{k}, 0) as {k}' for k, _ in DOMAINS)},
-    coalesce(l.avg_progress_pct, 0) as avg_progress_pct, coalesce(l.avg_assignment_ratio, 0) as avg_assignment_ratio,
-    coalesce(l.avg_kc_pct, 0) as avg_kc_pct, coalesce(l.avg_test_pct, 0) as avg_test_pct,
-    coalesce(l.courses_completed, 0) as courses_completed, coalesce(l.total_activity_entries, 0) as total_activity_entries
-  from dim_intern i
-  left join (select f.intern_id, coalesce({c.ssum('f.hours')}, 0) as total_hours,
-      count(distinct f.activity_id) as distinct_activities,
-      {_where('f.hours', "d.day_of_week in ('Saturday', 'Sunday')")} as weekend_hours
-    from fact_eod_log f left join dim_date d on f.date = d.date group by f.intern_id) e on i.intern_id = e.intern_id
-  left join ({DOMAIN_SQL}) h on i.intern_id = h.intern_id
-  left join (select intern_id, avg(progress_pct) as avg_progress_pct, {c.savg('assignment_ratio')} as avg_assignment_ratio,
-      {c.savg('kc_pct')} as avg_kc_pct, {c.savg('test_pct')} as avg_test_pct,
-      count(case when overall_status = 'Completed' then 1 end) as courses_completed,
-      count(course_id) as total_activity_entries
-    from fact_lms_progress group by intern_id) l on i.intern_id = l.intern_id"""
+PERSON_SQL = f"""select intern_id, full_name,
+    ifnull(e.total_hours, 0) as total_hours, ifnull(e.kinds, 0) as distinct_activities,
+    ifnull(e.weekend_hours, 0) as weekend_hours,
+    {', '.join(f'ifnull(h.{k}, 0) as {k}' for k, _ in DOMAINS)},
+    ifnull(progress, 0) as avg_progress_pct, ifnull(ratio, 0) as avg_assignment_ratio,
+    ifnull(kc, 0) as avg_kc_pct, ifnull(test, 0) as avg_test_pct,
+    ifnull(done, 0) as courses_completed, ifnull(lms_rows, 0) as total_activity_entries
+  from dim_intern
+  left join (select intern_id, {c.ssum('hours')} as total_hours, count(distinct activity_id) as kinds,
+      {_where('hours', "isodow(date) >= 6")} as weekend_hours
+    from fact_eod_log group by intern_id) e using (intern_id)
+  left join ({DOMAIN_SQL}) h using (intern_id)
+  left join lms_totals using (intern_id)"""
 
 
 def _features() -> dict[str, str]:
