@@ -333,7 +333,7 @@ def _dashboard() -> dict[str, Query]:
         "n8_two_key_order": _on(
             lambda t: t["gold_course_progress"]
             .select("course_name", "progress_pct", "full_name")
-            .orderBy(asc("course_name"), desc("progress_pct"))
+            .orderBy(asc("course_name"), desc("progress_pct"), asc("full_name"))
         ),
     }
 

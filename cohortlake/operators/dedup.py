@@ -28,8 +28,12 @@ def row_key(columns: list[str]) -> Column:
 
 
 def new_rows(staging: DataFrame, target: DataFrame) -> DataFrame:
-    """Distinct staging rows the target lacks; nulls equal nulls, columns match by position."""
-    return staging.subtract(target)
+    """Distinct staging rows the target lacks; nulls equal nulls, columns match by position.
+
+    Both sides are made distinct first: the anti-join would otherwise bring all copies of
+    a frequent row together.
+    """
+    return staging.distinct().subtract(target.distinct())
 
 
 def new_rows_by_key(staging: DataFrame, target: DataFrame, columns: list[str], key: str) -> DataFrame:

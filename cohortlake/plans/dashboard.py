@@ -164,8 +164,8 @@ def status_per_course(t: Tables) -> DataFrame:
 # ---- manager ----------------------------------------------------------------------
 
 def leaderboard(t: Tables) -> DataFrame:
-    """Ordered by the rounded figures, the name breaking ties."""
-    rounded = t["gold_intern_performance"].select(
+    """Rounded figures per person, the basis of the orderings below."""
+    return t["gold_intern_performance"].select(
         "intern_id",
         "full_name",
         *[
@@ -174,7 +174,6 @@ def leaderboard(t: Tables) -> DataFrame:
         ],
         "courses_completed",
     )
-    return rounded
 
 
 BEST_FIRST = (desc, desc, asc)
@@ -182,6 +181,7 @@ ORDER = ("total_hours", "avg_progress_pct", "full_name")
 
 
 def ordered_leaderboard(t: Tables) -> DataFrame:
+    """Ordered by the rounded figures, the name breaking ties."""
     return leaderboard(t).orderBy(*[f(c) for f, c in zip(BEST_FIRST, ORDER)]).drop("intern_id")
 
 
@@ -220,7 +220,10 @@ def mentee_progress(t: Tables, mentor: str) -> DataFrame:
 
 
 def ordered_mentee_progress(t: Tables, mentor: str) -> DataFrame:
-    return mentee_progress(t, mentor).orderBy(asc("course_name"), desc("progress_pct"))
+    """By course, best progress first; the other columns keep equal keys, which cannot be split, few."""
+    return mentee_progress(t, mentor).orderBy(
+        asc("course_name"), desc("progress_pct"), asc("full_name"), asc("kc_pct"), asc("test_pct")
+    )
 
 
 def mentee_summary(t: Tables, mentor: str) -> DataFrame:
@@ -279,7 +282,7 @@ def kc_ranking(t: Tables, mentor: str, threshold: float = KC_THRESHOLD) -> DataF
             "full_name", "course_name", "kc_pct", "avg_kc",
             (F.col("kc_pct") < threshold).alias("below_threshold"),
         )
-        .orderBy(asc("avg_kc"), asc("full_name"), asc("course_name"))
+        .orderBy(asc("avg_kc"), asc("full_name"), asc("course_name"), asc("kc_pct"))
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import os
 
 import pytest
@@ -129,6 +130,11 @@ def test_refresh(spark, tmp_path, database):
     assert all(n for *_, n in counts[0])
     assert set(warehouse) == {*SILVER_TABLES, *GOLD_TABLES}
     assert warehouse["dim_course"].count() == 4
+    lazy = catalogue.sample(spark, SAMPLE)["gold_weekly_hours"]
+    assert sorted(map(tuple, warehouse["gold_weekly_hours"].collect())) == sorted(map(tuple, lazy.collect()))
+    of_day = warehouse["fact_eod_log"].filter(F.col("date") == datetime.date(2024, 1, 10))
+    plan = of_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
 
     models = f"{folder}/models"
     assert results.load_all_results(spark, models) == {}
