@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .functions import dates, lookups, numbers, text
 from .operators.dedup import keep_first, new_rows, new_rows_by_key, row_key
 from .operators.quantiles import exact_medians
+from .operators.skew import join_one_per_key
 from .operators.topk import asc, desc
 from .plans import dashboard as d
 from .plans import features, models, quality
@@ -244,23 +245,25 @@ def _predicates() -> dict[str, Query]:
 def _joins() -> dict[str, Query]:
     def lookup_join(t: Warehouse) -> DataFrame:
         rows = t["eod_clean"].select(SEQ, text.short_id(F.col("activity")).alias("activity_id"), "activity")
-        return rows.join(t["dim_activity"], "activity_id", "left").select(
+        return join_one_per_key(rows, t["dim_activity"], "activity_id", "left").select(
             SEQ, "activity", "activity_name", "activity_category"
         )
 
-    def fact_grain(t: Warehouse) -> DataFrame:
+    def people_without_facts_too(t: Warehouse) -> DataFrame:
+        """Left joins person, fact, date; the facts are counted per person and date before."""
+        daily = t["fact_eod_log"].groupBy("intern_id", "date").agg(F.count("hours").alias("n"))
         return (
-            t["dim_intern"].join(t["fact_eod_log"], "intern_id", "left")
+            t["dim_intern"].join(daily, "intern_id", "left")
             .join(t["dim_date"], "date", "left")
             .groupBy("intern_id", "day_of_week")
-            .agg(F.count("hours").alias("entries"))
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("entries"))
         )
 
     return {
         "j1_fact_dims": _on(lambda t: t["gold_activity_summary"]),
         "j2_two_key_join": _on(lambda t: t["gold_mentor_workload"]),
         "j3_left_aggregates": _on(lambda t: t["gold_intern_performance"]),
-        "j4_left_fact_grain": _on(fact_grain),
+        "j4_left_fact_grain": _on(people_without_facts_too),
         "j5_lookup": _on(lookup_join),
         "j6_left_features": _on(features.course_features),
         "j7_own_and_average": _on(lambda t: d.own_score_and_batch(t, INTERN)),

@@ -213,7 +213,8 @@ def batch_trend(t: Tables) -> DataFrame:
 # ---- mentor -----------------------------------------------------------------------
 
 def mentee_progress(t: Tables, mentor: str) -> DataFrame:
-    return t["gold_course_progress"].join(mentee_ids(t, mentor), "intern_id", "left_semi").select(
+    people = mentee_ids(t, mentor)
+    return join_one_per_key(t["gold_course_progress"], people, "intern_id", "left_semi").select(
         "full_name", "course_name", "progress_pct", "overall_status",
         "kc_pct", "test_pct", "assignment_ratio",
     )
@@ -323,17 +324,27 @@ def own_courses(t: Tables, full_name: str) -> DataFrame:
 
 
 def own_score_and_batch(t: Tables, full_name: str) -> DataFrame:
+    """Own test scores next to the course averages; a course without own rows scores 0.
+
+    A left join from the averages, written as its two halves: own rows meet the few
+    averages in a broadcast instead of being shuffled by course.
+    """
     progress = t["gold_course_progress"]
-    batch = progress.groupBy("course_name").agg(stable_avg(F.col("test_pct")).alias("avg_test"))
+    # One row per registered course.
+    batch = F.broadcast(
+        progress.groupBy("course_name").agg(stable_avg(F.col("test_pct")).alias("avg_test"))
+    )
     mine = _mine(progress, full_name).select("course_name", "test_pct")
+    own = mine.join(batch, "course_name")
+    without = batch.join(mine.select("course_name").distinct(), "course_name", "left_anti")
     return (
-        batch.join(mine, "course_name", "left")
+        own.unionByName(without, allowMissingColumns=True)
         .select(
             "course_name",
             F.coalesce("test_pct", F.lit(0.0)).alias("my_score"),
             F.coalesce("avg_test", F.lit(0.0)).alias("batch_avg"),
         )
-        .orderBy("course_name")
+        .orderBy("course_name", "my_score")
     )
 
 

@@ -65,7 +65,7 @@ def course_features(t: Tables, zero_missing_test: bool = True) -> DataFrame:
         "intern_id", "full_name", "course_name", "progress_pct",
         "assignment_ratio", "kc_pct", "test_pct", "overall_status",
     )
-    joined = rows.join(domain_hours(t), "intern_id", "left")
+    joined = join_one_per_key(rows, domain_hours(t), "intern_id", "left")
     columns = [c for c in COURSE_FEATURES if zero_missing_test or c != "test_pct"]
     return joined.fillna(0, subset=columns)
 
