@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlake.llm import bpe
+from cohortlake.llm import bpe, mixing, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op7_mixing": mixing.op7_mixing,
         "op8_bpe": bpe.op8_bpe,
+        "op10_simhash": simhash.op10_simhash,
     }
 
 
