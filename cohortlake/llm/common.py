@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +18,22 @@ from cohortlake.session import ensure_checkpoint_dir
 SPACE = r"[\x20\x09-\x0D]"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, unless they find it by PYTHONPATH as the driver does."""
+    package = Path(__file__).resolve().parents[1]
+    given = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    sc = spark.sparkContext
+    if package.parent in given or any(x.startswith(f"{package.name}-") for x in sc._python_includes):
+        return
+    packed = Path(tempfile.mkdtemp()) / f"{package.name}-{sc.applicationId}.zip"
+    with zipfile.ZipFile(packed, "w") as out:
+        for file in package.rglob("*.py"):
+            out.write(file, file.relative_to(package.parent))
+    sc.addPyFile(str(packed))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
