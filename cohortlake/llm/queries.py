@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlake.llm import bpe, mixing, secrets, simhash
+from cohortlake.llm import bpe, mixing, quality, secrets, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_quality": quality.op3_quality,
         "op4_secrets": secrets.op4_secrets,
         "op7_mixing": mixing.op7_mixing,
         "op8_bpe": bpe.op8_bpe,
