@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlake.llm import bpe, mixing, quality, secrets, simhash
+from cohortlake.llm import bpe, embeddings, mixing, quality, secrets, simhash, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_urls": urls.op1_urls,
+        "op2_embeddings": embeddings.op2_embeddings,
         "op3_quality": quality.op3_quality,
         "op4_secrets": secrets.op4_secrets,
         "op7_mixing": mixing.op7_mixing,
@@ -20,4 +22,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_urls": urls.OP1_SQL}
