@@ -95,15 +95,16 @@ def fitted(lengths: np.ndarray, counts: np.ndarray, budget: int, limit: int = FI
     return take
 
 
-def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: int = SEED, tie: str = "text") -> DataFrame:
+def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: int = SEED, sized: bool = False) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``taken`` (words that the mix takes of the row).
 
     ``taken`` is a multiple of ``size``, at most ``most`` times it. Null texts and texts
     without words have size 0 and nothing is taken of them. A null source is a source of
     its own, last in order. Rows that repeat are rows of their own; among equal rows it
     does not matter which is taken. An empty table gives no rows. Columns of the input
-    named like results are replaced. The hash that orders documents of one length takes
-    seed, doc_id and the column ``tie``, so reruns and other partitionings agree.
+    named like results are replaced; with ``sized`` its column ``size`` holds the words
+    already. The hash that orders documents of one length takes seed, doc_id and the
+    column ``text``, so reruns and other partitionings agree.
 
     One row per source goes to the driver, which shares the budget; everything else stays
     in tables. Documents of a source and length are spread over salts, so no task orders
@@ -111,9 +112,9 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOS
     """
     docs = docs.drop("source_size", "target", "taken")
     draw, salt, place, allot, passes = (free_name(x, docs.columns) for x in ("draw", "salt", "place", "allot", "passes"))
-    if "size" not in docs.columns:
+    if not sized:
         docs = docs.withColumn("size", word_count(F.col("text")))
-    docs = docs.withColumn(draw, F.xxhash64(F.lit(seed), "doc_id", tie))
+    docs = docs.withColumn(draw, F.xxhash64(F.lit(seed), "doc_id", "text"))
     spark = docs.sparkSession
     hist = cut(docs.groupBy("source", "size").agg(F.count("*").alias("n")))
     sizes = {r[0]: r[1] for r in hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("long")).collect()}
@@ -151,4 +152,4 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOS
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     narrow = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text")))
-    return mixed(narrow).select("doc_id", "size", "source_size", "target", "taken")
+    return mixed(narrow, sized=True).select("doc_id", "size", "source_size", "target", "taken")
