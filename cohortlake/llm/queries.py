@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlake.llm import bpe, embeddings, mixing, quality, secrets, simhash, urls
+from cohortlake.llm import bpe, embeddings, mixing, quality, secrets, simhash, toxicity, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_embeddings": embeddings.op2_embeddings,
         "op3_quality": quality.op3_quality,
         "op4_secrets": secrets.op4_secrets,
+        "op6_toxicity": toxicity.op6_toxicity,
         "op7_mixing": mixing.op7_mixing,
         "op8_bpe": bpe.op8_bpe,
         "op10_simhash": simhash.op10_simhash,
