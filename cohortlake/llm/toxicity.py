@@ -26,7 +26,7 @@ WINDOW, STEP = 32, 24
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 INPUTS, HIDDEN, ATTENTION = 2 * len(GRAMS) + 2, 8, 8
-EPOCHS, MINED, BATCH, RATE = 12, 3, 128, 0.01
+STEPS, MINED, BATCH, RATE = 400, 100, 128, 0.01
 #: Documents below which a bucket's evidence is shrunk to half or less.
 SHRINK = 6.0
 TOXIC = 0.7
@@ -233,7 +233,7 @@ def best_windows(p: dict, inputs: list[np.ndarray]) -> tuple[list[np.ndarray], n
 
 
 def trained(texts: list[str], toxic: np.ndarray, seed: int = SEED) -> Model | None:
-    """Fit on whole documents: the window that scores highest stands for its document and is chosen anew after some epochs.
+    """Fit on whole documents: the window that scores highest stands for its document and is chosen anew after some steps.
 
     Evidence for training is taken from the other half of the documents, so that the
     network learns how far evidence holds for documents it was not taken from. None if a
@@ -249,24 +249,20 @@ def trained(texts: list[str], toxic: np.ndarray, seed: int = SEED) -> Model | No
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     # At first the window with the most evidence stands for its document.
     chosen = [at[int(x[:, 0][at].clip(0).sum(axis=1).argmax())] for x in inputs for at, _ in [windows(len(x))]]
-    step = 0
-    for epoch in range(EPOCHS):
-        if epoch and epoch % MINED == 0:
+    classes = [np.flatnonzero(toxic == k) for k in (0, 1)]
+    for step in range(STEPS):
+        if step and step % MINED == 0:
             chosen, _ = best_windows(p, inputs)
-        order = rng.permutation(len(inputs))
-        for k in range(0, len(order), BATCH):
-            part = order[k : k + BATCH]
-            x = np.stack([inputs[i][chosen[i]] for i in part])
-            mask = np.stack([(np.arange(WINDOW) < len(inputs[i])).astype(np.float32) for i in part])
-            _, g = gradients(p, x, mask, toxic[part].astype(np.float32))
-            step += 1
-            for name, value in g.items():
-                m, v = moments[name]
-                m *= 0.9
-                m += 0.1 * value
-                v *= 0.999
-                v += 0.001 * value * value
-                p[name] -= (RATE * (1 - epoch / EPOCHS) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+        part = np.concatenate([rng.choice(c, BATCH // 2) for c in classes])  # both classes weigh the same
+        x = np.stack([inputs[i][chosen[i]] for i in part])
+        mask = np.stack([(np.arange(WINDOW) < len(inputs[i])).astype(np.float32) for i in part])
+        _, g = gradients(p, x, mask, toxic[part].astype(np.float32))
+        rate = RATE * (1 - step / STEPS)
+        for name, value in g.items():
+            m, v = moments[name]
+            m += 0.1 * (value - m)
+            v += 0.001 * (value * value - v)
+            p[name] -= (rate * (m / (1 - 0.9 ** (step + 1))) / (np.sqrt(v / (1 - 0.999 ** (step + 1))) + 1e-8)).astype(np.float32)
     _, top = best_windows(p, inputs)
     scale, shift = calibrated(top, toxic)
     return Model(evidence(documents, toxic), p, scale, shift)
