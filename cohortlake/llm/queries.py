@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlake.llm import bpe, embeddings, mixing, quality, secrets, simhash, toxicity, urls
+from cohortlake.llm import bpe, embeddings, mixing, quality, secrets, simhash, substrings, toxicity, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_mixing": mixing.op7_mixing,
         "op8_bpe": bpe.op8_bpe,
+        "op9_substrings": substrings.op9_substrings,
         "op10_simhash": simhash.op10_simhash,
     }
 
