@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlake.llm import bpe, embeddings, mixing, quality, secrets, simhash, substrings, toxicity, urls
+from cohortlake.llm import bpe, embeddings, licenses, mixing, quality, secrets, simhash, substrings, toxicity, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_embeddings": embeddings.op2_embeddings,
         "op3_quality": quality.op3_quality,
         "op4_secrets": secrets.op4_secrets,
+        "op5_licenses": licenses.op5_licenses,
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_mixing": mixing.op7_mixing,
         "op8_bpe": bpe.op8_bpe,
@@ -24,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_urls": urls.OP1_SQL}
+    return {"op1_urls": urls.OP1_SQL, "op5_licenses": licenses.OP5_SQL}
