@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from cohortlake.llm.common import free_name, table
+from cohortlake.llm.common import free_name, ship, table
 
 #: On average one chunk in so many bytes; the hash looks at the 32 bytes before a cut.
 CHUNK_BYTES = 2048
@@ -224,6 +224,7 @@ def sketch(text: str | None) -> int:
 
 def _mapped(docs: DataFrame, path: str | None, text: str, keep: list[str], columns: list[tuple[str, T.DataType]], result: Callable) -> DataFrame:
     """``keep`` and the columns that ``result`` makes of what the codec gives for each whole text."""
+    ship(docs.sparkSession)
     path = path or default_vocabulary()
     kinds = {f.name: f for f in docs.schema.fields}
     mark, body = free_name("sketch", docs.columns), free_name("body", docs.columns)

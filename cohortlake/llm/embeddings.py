@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import components, cut, table
+from cohortlake.llm.common import components, cut, ship, table
 from cohortlake.llm.simhash import forest
 from cohortlake.operators.skew import join_one_per_key
 
@@ -24,11 +24,11 @@ COSINE = 0.98
 #: Vectors in a shard on average at most; numbers in a block of queries.
 SHARD, BLOCK_NUMBERS = 8192, 1 << 21
 #: Neighbours of a vector above the ground level (twice as many there), beam while building, first beam of a query.
-NEIGHBOURS, BUILD_BEAM, BEAM = 10, 40, 24
+NEIGHBOURS, BUILD_BEAM, BEAM = 12, 64, 48
 #: Vectors added, or searched for, at a time; expanded at a time in each beam.
 BATCH, EXPAND = 256, 3
-#: Queries of each block that are audited, and the share of their links that must have been found.
-AUDITED, RECALL = 64, 1.0
+#: Queries of each block that are audited, and the share of them of which every link must have been found.
+AUDITED, RECALL = 512, 1.0
 
 
 class Graph:
@@ -48,6 +48,34 @@ class Graph:
         while at < n:
             self._add(self.order[at : at + max(1, min(BATCH, at))])
             at += max(1, min(BATCH, at))
+        if n:
+            self._reach_all()
+
+    def _reach_all(self) -> None:
+        """Give vectors that no list leads to from the entry point a place in a list near them."""
+        lists, n = self.lists[0], len(self.vectors)
+        spare = np.zeros(n, dtype=int)
+        extra = np.full((n, NEIGHBOURS), -1, dtype=np.int32)
+        reached = np.zeros(n, dtype=bool)
+        new = np.array([self.order[0]])
+        while len(new):
+            while len(new):  # all that can be walked to
+                reached[new] = True
+                near = np.concatenate([lists[new], extra[new]], axis=1).ravel()
+                near = np.unique(near[near >= 0])
+                new = near[~reached[near]]
+            lost = np.flatnonzero(~reached)
+            if not len(lost):
+                break
+            # Of each part that is cut off at least one vector is hung on: its nearest reached one with room takes it.
+            u = int(lost[0])
+            room = np.flatnonzero(reached & (spare < NEIGHBOURS))
+            v = int(room[np.argmax(self.vectors[room] @ self.vectors[u])])
+            extra[v, spare[v]] = u
+            spare[v] += 1
+            new = np.array([u])
+        used = int(spare.max())
+        self.lists[0] = np.concatenate([lists, extra[:, :used]], axis=1) if used else lists
 
     def _chosen(self, own: np.ndarray, ids: np.ndarray, sims: np.ndarray, keep: int) -> np.ndarray:
         """Of candidates sorted by similarity: first those nearer to the vector than to any chosen one, then the nearest."""
@@ -163,8 +191,12 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def linked(queries: np.ndarray, points: np.ndarray, cosine: float = COSINE, beam: int = BEAM, recall: float = RECALL):
-    """Index pairs (query, point) with at least this cosine, in parts, from unit vectors."""
+def linked(queries: np.ndarray, points: np.ndarray, own: np.ndarray, cosine: float = COSINE, beam: int = BEAM, recall: float = RECALL):
+    """Index pairs (query, point) with at least this cosine, in parts, from unit vectors.
+
+    ``own``: for each query the point that is the query itself, or -1. A beam that does not
+    find it has lost its way and is widened like a full one.
+    """
     graph = Graph(points) if len(points) > 4 * beam else None
     lean = 1e-5  # single precision finds, double precision decides
 
@@ -187,7 +219,7 @@ def linked(queries: np.ndarray, points: np.ndarray, cosine: float = COSINE, beam
             part = q[k : k + BATCH]
             ids, sims = graph.search(queries[part].astype(np.float32), width)
             hit = (sims >= cosine - lean) & (ids >= 0)
-            full = hit.all(axis=1)
+            full = hit.all(axis=1) | ((own[part] >= 0) & ~(ids == own[part, None]).any(axis=1))
             wider.append(part[full])
             x, y = np.nonzero(hit & ~full[:, None])
             out.append(confirmed(part[x], ids[x, y]))
@@ -196,11 +228,11 @@ def linked(queries: np.ndarray, points: np.ndarray, cosine: float = COSINE, beam
 
     everyone = np.arange(len(queries))
     audit = everyone[:: max(1, len(queries) // AUDITED)]
-    truth = sum(len(q) for q, _ in scan(audit))
+    of = lambda found: np.bincount(np.concatenate([q for q, _ in found] or [everyone[:0]]), minlength=len(queries))[audit]
+    truth = of(scan(audit))
     while True:
         found = walk(everyone, beam)
-        got = sum(np.isin(q, audit).sum() for q, _ in found)
-        if got >= recall * truth:
+        if (of(found) >= truth).mean() >= recall:
             return found
         beam *= 2
 
@@ -222,6 +254,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, shard: int = SHA
     that repeat an id with another vector share its links and component. Vectors of
     different lengths are not compared. Other columns are left out.
     """
+    ship(vectors.sparkSession)
     rows = vectors.select("vec_id", "label", "embedding").withColumn("ok", usable())
     nodes = cut(
         rows.where("ok").groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("m"))
@@ -248,7 +281,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, shard: int = SHA
         counts = np.zeros(len(q_node), dtype=np.int64)
         a, b = [], []
         if len(q_node) and len(p_node):
-            for q, p in linked(data[~point], data[point], cosine):
+            near = np.minimum(np.searchsorted(p_node, q_node), len(p_node) - 1)
+            for q, p in linked(data[~point], data[point], np.where(p_node[near] == q_node, near, -1), cosine):
                 q, p = q[q_node[q] != p_node[p]], p[q_node[q] != p_node[p]]
                 np.add.at(counts, q, p_m[p])
                 q, p = forest(q, p, len(q_node))

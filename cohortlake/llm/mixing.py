@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import SPACE, cut, free_name, table
+from cohortlake.llm.common import SPACE, cut, free_name, ship, table
 
 WEIGHTS = (5, 2, 1)
 #: No document, and so no source, is taken more often than this.
@@ -110,6 +110,7 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOS
     in tables. Documents of a source and length are spread over salts, so no task orders
     more than about ``ROWS_TOGETHER`` of them.
     """
+    ship(docs.sparkSession)
     docs = docs.drop("source_size", "target", "taken")
     draw, salt, place, allot, passes = (free_name(x, docs.columns) for x in ("draw", "salt", "place", "allot", "passes"))
     if not sized:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlake.llm.common import cut, free_name, table
+from cohortlake.llm.common import cut, free_name, ship, table
 from cohortlake.operators.skew import join_one_per_key
 
 KINDS = ("assign", "access", "hex", "bearer", "key_block", "url_login", "mixed")
@@ -80,6 +80,7 @@ def joined(spans: list) -> str:
 
 def scanned(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> DataFrame:
     """``keep``, counts of the fixed kinds, digest of their spans, and ``found``, all candidates."""
+    ship(docs.sparkSession)
     body = free_name("body", list(keep))
     frame = docs.select(*keep, F.col(text).alias(body))
     more = T.StructType([*[T.StructField(f"n_{k}", T.LongType()) for k in BASE], T.StructField("base_sha256", T.StringType()), T.StructField("found", T.ArrayType(SPAN))])

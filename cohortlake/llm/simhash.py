@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from cohortlake.llm.common import ascii_words, components, cut, free_name, local_roots, table
+from cohortlake.llm.common import ascii_words, components, cut, free_name, local_roots, ship, table
 from cohortlake.operators.skew import join_one_per_key
 
 SHINGLE = 4
@@ -65,6 +65,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``fp``, the fingerprint as a signed long."""
+    ship(docs.sparkSession)
     name, body = free_name("fp", list(keep)), free_name("body", list(keep))
     frame = docs.select(*keep, F.col(text).alias(body))
 

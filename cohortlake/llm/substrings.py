@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlake.llm.common import ascii_words, cut, free_name, table
+from cohortlake.llm.common import ascii_words, cut, free_name, ship, table
 from cohortlake.operators.skew import join_one_per_key
 
 #: Words the gear hash looks at; an end is smallest among so many words to either side.
@@ -59,6 +59,7 @@ def chunks_of(text: str | None) -> tuple[list[int], list[bytes]]:
 
 def chunked(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id``, ``at`` (first words, and the number of words) and ``digests`` (one after the other) of every whole text."""
+    ship(docs.sparkSession)
     body = free_name("body", ["doc_id"])
     frame = docs.select("doc_id", F.col(text).alias(body))
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlake.llm.common import table
+from cohortlake.llm.common import ship, table
 
 #: Labelled rows of each class that the model is fitted on, about; the only bound on what is read.
 SAMPLE = 2500
@@ -358,6 +358,7 @@ def scored(docs: DataFrame, labels: DataFrame, text: str = "text", toxic: float
     the labels do not show both classes there is nothing to learn and every score is 0.5.
     Other columns are left out.
     """
+    ship(docs.sparkSession)
     model = trained(*sample(docs, labels, text=text))
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a few MB, whatever the corpus
 
