@@ -64,23 +64,27 @@ def round_half_even(c: Column, digits: int) -> Column:
     return F.rint(c * F.lit(scale)) / F.lit(scale)
 
 
-# A double is cut into a multiple of 2^-20 and a rest below 2^-20. Sums of the first
-# part are exact up to 2^33, whatever the order; sums of the rest are too small for
-# their rounding to show. The total is thus the same for every partitioning, at the
-# cost of two plain double sums (a decimal sum is several times slower).
-GRID = float(2**20)
+# Sums of doubles depend on their order; sums of decimals do not. Values are summed to nine
+# places after the point. Those too large for that stay doubles: next to them no place matters.
+LARGE = 1e15
 
 
-def coarse_part(c: Column) -> Column:
-    return F.floor(c * F.lit(GRID)) / F.lit(GRID)
+def small_part(c: Column) -> Column:
+    return F.when(F.abs(c) < LARGE, c).cast("decimal(28,9)")
 
 
-def fine_part(c: Column) -> Column:
-    return c - coarse_part(c)
+def large_part(c: Column) -> Column:
+    return F.when(F.abs(c) >= LARGE, c)
+
+
+def merged_sum(small: Column, large: Column) -> Column:
+    """Sum of both parts, or of partial sums of them; null without values."""
+    s, g = F.sum(small).cast("double"), F.sum(large)
+    return F.coalesce(s + g, s, g)
 
 
 def stable_sum(c: Column) -> Column:
-    return F.sum(coarse_part(c)) + F.sum(fine_part(c))
+    return merged_sum(small_part(c), large_part(c))
 
 
 def stable_avg(c: Column) -> Column:

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def top(df: DataFrame, k: int, *order: Column) -> DataFrame:
-    return df.orderBy(*order).limit(k)
+def top(df: DataFrame, k: int | None, *order: Column) -> DataFrame:
+    """The first ``k`` rows of the ordering, or all of them in order."""
+    ordered = df.orderBy(*order)
+    return ordered if k is None else ordered.limit(k)
 
 
 def asc(name: str) -> Column:

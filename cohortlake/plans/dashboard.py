@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import week_label
 from ..functions.numbers import (
-    at_least, coarse_part, fine_part, round_half_away, stable_avg, stable_sum,
+    at_least, large_part, merged_sum, round_half_away, small_part, stable_avg, stable_sum,
 )
 from ..functions.text import principal_key
 from ..operators.quantiles import box_stats, histogram
@@ -37,7 +37,7 @@ def _one_row(parts: list[DataFrame]) -> DataFrame:
 
 
 def _eod_figures(per_person: DataFrame) -> DataFrame:
-    total = F.sum("h_coarse") + F.sum("h_fine")
+    total = merged_sum(F.col("h_small"), F.col("h_large"))
     return per_person.agg(
         F.coalesce(round_half_away(total, 1), F.lit(0.0)).alias("total_hours"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_eod"),
@@ -55,8 +55,8 @@ def _lms_figures(per_person: DataFrame) -> DataFrame:
 def _eod_per_person(t: Tables) -> DataFrame:
     h = F.col("hours")
     return t["fact_eod_log"].groupBy("intern_id").agg(
-        F.sum(coarse_part(h)).alias("h_coarse"),
-        F.sum(fine_part(h)).alias("h_fine"),
+        F.sum(small_part(h)).alias("h_small"),
+        F.sum(large_part(h)).alias("h_large"),
         F.count(F.lit(1)).alias("n"),
     )
 
@@ -233,14 +233,14 @@ def mentee_summary(t: Tables, mentor: str) -> DataFrame:
     per_name = mentee_progress(t, mentor).groupBy("full_name").agg(
         F.sum("progress_pct").alias("p"),
         F.count("progress_pct").alias("np"),
-        F.sum(coarse_part(kc)).alias("kc_c"),
-        F.sum(fine_part(kc)).alias("kc_f"),
+        F.sum(small_part(kc)).alias("kc_small"),
+        F.sum(large_part(kc)).alias("kc_large"),
         F.count(kc).alias("nkc"),
     )
     return per_name.agg(
         F.count("full_name").alias("mentees"),
         F.try_divide(F.sum("p").cast("double"), F.sum("np")).alias("avg_progress"),
-        F.try_divide(F.sum("kc_c") + F.sum("kc_f"), F.sum("nkc")).alias("avg_kc"),
+        F.try_divide(merged_sum(F.col("kc_small"), F.col("kc_large")), F.sum("nkc")).alias("avg_kc"),
     )
 
 
@@ -327,13 +327,11 @@ def own_score_and_batch(t: Tables, full_name: str) -> DataFrame:
     """Own test scores next to the course averages; a course without own rows scores 0.
 
     A left join from the averages, written as its two halves: own rows meet the few
-    averages in a broadcast instead of being shuffled by course.
+    averages, which the planner broadcasts by their size, instead of being shuffled by course.
     """
     progress = t["gold_course_progress"]
     # One row per registered course.
-    batch = F.broadcast(
-        progress.groupBy("course_name").agg(stable_avg(F.col("test_pct")).alias("avg_test"))
-    )
+    batch = progress.groupBy("course_name").agg(stable_avg(F.col("test_pct")).alias("avg_test"))
     mine = _mine(progress, full_name).select("course_name", "test_pct")
     own = mine.join(batch, "course_name")
     without = batch.join(mine.select("course_name").distinct(), "course_name", "left_anti")

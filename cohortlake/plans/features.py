@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import is_weekend
-from ..functions.numbers import coarse_part, fine_part
+from ..functions.numbers import large_part, merged_sum, small_part
 from ..operators.quantiles import exact_medians
 from ..operators.skew import join_one_per_key
 from .gold import Tables, course_progress, lms_by_intern
@@ -32,15 +32,13 @@ def _per_activity(t: Tables) -> DataFrame:
     h = F.col("hours")
     weekend = F.coalesce(is_weekend(F.col("date")), F.lit(False))
     return t["fact_eod_log"].groupBy("intern_id", "activity_id", weekend.alias("weekend")).agg(
-        F.sum(coarse_part(h)).alias("h_coarse"), F.sum(fine_part(h)).alias("h_fine")
+        F.sum(small_part(h)).alias("h_small"), F.sum(large_part(h)).alias("h_large")
     )
 
 
 def _hours_where(condition: Column) -> Column:
-    def part(name: str) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col(name))), F.lit(0.0))
-
-    return part("h_coarse") + part("h_fine")
+    small, large = (F.when(condition, F.col(name)) for name in ("h_small", "h_large"))
+    return F.coalesce(merged_sum(small, large), F.lit(0.0))
 
 
 def domain_hours(t: Tables) -> DataFrame:
@@ -93,12 +91,10 @@ def one_hot(df: DataFrame, column: str, levels: list[str]) -> DataFrame:
     return df.withColumns(flags)
 
 
-def levels_of(df: DataFrame, column: str, limit: int = 1000) -> list[str]:
-    """Sorted distinct values of a category column, which must be few."""
-    values = [r[0] for r in df.select(column).distinct().orderBy(column).take(limit + 1)]
-    if len(values) > limit:
-        raise ValueError(f"{column} has more than {limit} levels")
-    return [v for v in values if v is not None]
+def levels_of(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct values of a category column; each becomes a column of its own, so they are few."""
+    values = df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
+    return [r[0] for r in values.collect()]
 
 
 def label_codes(df: DataFrame, column: str) -> DataFrame:

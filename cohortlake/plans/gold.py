@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..functions.numbers import coarse_part, fine_part, stable_avg, stable_sum
+from ..functions.numbers import large_part, merged_sum, small_part, stable_avg, stable_sum
 from ..operators.skew import join_one_per_key
 from ..schemas import COLUMNS
 
@@ -24,13 +24,13 @@ def _hour_parts() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("n"),
         F.count(h).alias("n_hours"),
-        F.sum(coarse_part(h)).alias("h_coarse"),
-        F.sum(fine_part(h)).alias("h_fine"),
+        F.sum(small_part(h)).alias("h_small"),
+        F.sum(large_part(h)).alias("h_large"),
     ]
 
 
 def _total_hours() -> Column:
-    return F.sum("h_coarse") + F.sum("h_fine")
+    return merged_sum(F.col("h_small"), F.col("h_large"))
 
 
 def _avg_hours() -> Column:
@@ -82,7 +82,7 @@ def course_progress(t: Tables) -> DataFrame:
     """Progress facts with names: the one Gold table of fact grain."""
     people = t["dim_intern"].select("intern_id", "full_name")
     # One row per registered course.
-    courses = F.broadcast(t["dim_course"].select("course_id", "course_name"))
+    courses = t["dim_course"].select("course_id", "course_name")
     rows = t["fact_lms_progress"].join(courses, "course_id")
     return join_one_per_key(rows, people, "intern_id").select(*COLUMNS["gold_course_progress"])
 
@@ -149,7 +149,7 @@ def mentor_workload(t: Tables) -> DataFrame:
         )
     )
     # One row per registered course.
-    courses = F.broadcast(t["dim_course"].select("course_id", "course_name"))
+    courses = t["dim_course"].select("course_id", "course_name")
     return (
         per_mentor.join(courses, "course_id")
         .join(t["dim_mentor"], "mentor_id")

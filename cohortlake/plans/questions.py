@@ -132,7 +132,7 @@ def top_k_course(t: Tables, term: str, k: int = ANSWER_LIMIT) -> DataFrame:
     )
 
 
-def with_status(t: Tables, term: str, status: str = "Not Started", k: int = ANSWER_LIMIT) -> DataFrame:
+def with_status(t: Tables, term: str, status: str = "Not Started", k: int | None = None) -> DataFrame:
     rows = (
         t["gold_course_progress"].filter(about_course(term) & (F.col("overall_status") == status))
         .select("full_name", "course_name", "overall_status", "progress_pct")
@@ -146,7 +146,7 @@ def average_test_per_course(t: Tables) -> DataFrame:
     )
 
 
-def most_hours_in_week(t: Tables, year: int, week: int, k: int = ANSWER_LIMIT) -> DataFrame:
+def most_hours_in_week(t: Tables, year: int, week: int, k: int | None = None) -> DataFrame:
     rows = (
         t["gold_weekly_hours"].filter((F.col("year") == year) & (F.col("week_number") == week))
         .select("full_name", "year", "week_number", "month_name", "total_hours")
@@ -167,7 +167,7 @@ def daily_detail(t: Tables, day: datetime.date, k: int | None = None) -> DataFra
 
 def raw_scores(t: Tables) -> DataFrame:
     # One row per registered course.
-    courses = F.broadcast(t["dim_course"].select("course_id", "course_name"))
+    courses = t["dim_course"].select("course_id", "course_name")
     people = t["dim_intern"].select("intern_id", "full_name")
     rows = t["fact_lms_progress"].join(courses, "course_id")
     return join_one_per_key(rows, people, "intern_id").select(

@@ -104,7 +104,7 @@ def dim_date(eod: DataFrame) -> DataFrame:
 
 def _course_ids(courses: DataFrame) -> DataFrame:
     # Bounded: course_key is a literal attached per registered source, one row per key.
-    return F.broadcast(courses.select("course_key", "course_id"))
+    return courses.select("course_key", "course_id")
 
 
 def bridge_intern_mentor(mentors: DataFrame, courses: DataFrame) -> DataFrame:

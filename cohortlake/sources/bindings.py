@@ -89,7 +89,7 @@ PRIORITY_COURSES = {
 
 
 def lms_from_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """One progress row per order that has line items."""
+    """One progress row per order; an order without line items has nothing out of nothing."""
     items = _read(spark, folder, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linestatus", "l_returnflag", "l_quantity"
     )
@@ -98,12 +98,10 @@ def lms_from_orders(spark: SparkSession, folder: str) -> DataFrame:
     def having(column: str, value: str) -> Column:
         return F.sum((F.col(column) == value).cast("bigint"))
 
-    def named(key: str, name: str) -> DataFrame:
-        return suppliers.select(F.col("s_suppkey").alias(key), F.col("s_name").alias(name))
-
-    # The mentors of a row are its first and last supplier: two at most, however many lines.
+    # The mentors of a row are all suppliers of its lines.
     per_order = (
-        items.groupBy("l_orderkey")
+        items.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        .groupBy("l_orderkey")
         .agg(
             F.count(F.lit(1)).alias("n"),
             having("l_linestatus", "F").alias("done"),
@@ -111,29 +109,24 @@ def lms_from_orders(spark: SparkSession, folder: str) -> DataFrame:
             having("l_returnflag", "A").alias("reviewed"),
             having("l_returnflag", "N").alias("pending"),
             F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
-            F.min("l_suppkey").alias("first_key"),
-            F.max("l_suppkey").alias("last_key"),
-        )
-        .join(named("first_key", "first_mentor"), "first_key", "left")
-        .join(named("last_key", "last_mentor"), "last_key", "left")
-        .withColumn(
-            "mentors",
-            F.when(F.col("first_key") == F.col("last_key"), F.col("first_mentor"))
-            .otherwise(F.concat_ws(", ", "first_mentor", "last_mentor")),
+            F.array_join(F.array_sort(F.collect_set("s_name")), ", ").alias("mentors"),
         )
     )
     orders = _read(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
     people = _read(spark, folder, "customer").select("c_custkey", "c_name")
-    rows = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey")).join(
-        people, F.col("o_custkey") == F.col("c_custkey"), "left"
+    rows = (
+        orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .join(people, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .fillna(0, ["n", "done", "passed", "reviewed", "pending", "quantity"])
     )
     k, n, status = F.col("o_orderkey"), F.col("n"), F.col("o_orderstatus")
     name = F.replace(F.col("c_name"), F.lit("#"), F.lit(" "))
     start, end = F.col("o_orderdate"), F.date_add("o_orderdate", 90)
-    whole = F.floor(F.col("done") * 100 / n)
-    tenth = F.floor(F.col("done") * 1000 / n) % 10
+    lines = F.greatest(n, F.lit(1))
+    whole = F.floor(F.col("done") * 100 / lines)
+    tenth = F.floor(F.col("done") * 1000 / lines) % 10
     key = F.lit(None).cast("string")
     for priority, course in PRIORITY_COURSES.items():
         key = F.when(F.col("o_orderpriority") == priority, course).otherwise(key)

@@ -15,7 +15,6 @@ EOD_TABLE = "raw_eod_activities"
 LMS_TABLE = "raw_lms"
 KEY = "row_key"
 PART = "bronze_part"
-PRUNE_LIMIT = 5000
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
@@ -67,13 +66,9 @@ def write_bronze(spark: SparkSession, df: DataFrame, database: str, kind: str) -
         )
         _append(first.hint("rebalance", PART), table, "errorifexists")
         return
-    target = spark.table(table)
-    parts = [
-        r[0]
-        for r in staged.select(partition_value(kind).alias(PART)).distinct().take(PRUNE_LIMIT + 1)
-    ]
-    if len(parts) <= PRUNE_LIMIT:
-        target = target.filter(F.col(PART).isin(parts))
+    # The planner prunes the table's partitions by those of the batch while it runs.
+    parts = staged.select(partition_value(kind).alias(PART)).distinct()
+    target = spark.table(table).join(parts, PART, "left_semi")
     base = spark.table(table).agg(F.coalesce(F.max(SEQ) + 1, F.lit(0)).alias("n")).first()["n"]
     fresh = (
         new_rows_by_key(staged, target, columns, KEY)

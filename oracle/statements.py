@@ -8,8 +8,10 @@ MENTOR = "Supplier#000000007"
 INTERN = "Customer 000000008"
 NAMES = "('Customer 000000008', 'Customer 000000003', 'O''Brien')"
 
-MENTEES = f"""select distinct intern_id from dim_mentor join bridge_intern_mentor using (mentor_id)
-  where mentor_name = '{MENTOR}'"""
+# A person is a mentee if the mentor stands in the list of any of their progress rows.
+MENTEES = f"""select intern_id from lms_clean
+  where list_contains(list_transform(string_split(lower(mentor_name_raw), ','), lambda m: trim(m)), lower('{MENTOR}'))
+  group by intern_id"""
 SCOPE = f"(select * from gold_course_progress where intern_id in ({MENTEES}))"
 LABEL = "year || '-W' || lpad(cast(week_number as varchar), 2, '0')"
 PROGRESS = "full_name, course_name, progress_pct, overall_status"
@@ -98,10 +100,11 @@ def _predicates() -> dict[str, str]:
 
 
 def _joins() -> dict[str, str]:
-    own = f"""select course_name, ifnull(score, 0) as my_score, ifnull(mean, 0) as batch_avg
-        from (select course_name, {c.savg('test_pct')} as mean from gold_course_progress group by all) batch
-        left join (select course_name, test_pct as score from gold_course_progress
-          where full_name = '{INTERN}') own using (course_name)"""
+    # A course gives one row per score of the person, or a single zero.
+    own = f"""select course_name, unnest(coalesce(mine, [0.0::double])) as my_score, batch_avg from (
+          select course_name, list(coalesce(test_pct, 0)) filter (full_name = '{INTERN}') as mine,
+            coalesce({c.savg('test_pct')}, 0) as batch_avg
+          from gold_course_progress group by course_name)"""
     return {
         "j1_fact_dims": "select * from gold_activity_summary",
         "j2_two_key_join": "select * from gold_mentor_workload",
@@ -261,11 +264,10 @@ def _questions() -> dict[str, str]:
         "t5_top_k_course": f"""select {PROGRESS}, test_pct from gold_course_progress where course_name ilike '%SQL%'
             order by progress_pct desc, full_name, course_name, overall_status, test_pct limit 10""",
         "t6_not_started": """select full_name, course_name, overall_status, progress_pct from gold_course_progress
-            where course_name ilike '%NumPy%' and overall_status = 'Not Started'
-            order by full_name, course_name, progress_pct limit 50""",
+            where course_name ilike '%NumPy%' and overall_status = 'Not Started'""",
         "t7_average_test": f"select course_name, {c.savg('test_pct')} as avg_test_pct from gold_course_progress group by 1",
         "t8_most_hours_in_week": """select full_name, year, week_number, month_name, total_hours from gold_weekly_hours
-            where year = 2024 and week_number = 2 order by total_hours desc, full_name, month_name limit 50""",
+            where year = 2024 and week_number = 2""",
         "t9_daily_detail": """select i.full_name, f.date, a.activity_name, f.hours from fact_eod_log f
             join dim_activity a on f.activity_id = a.activity_id join dim_intern i on f.intern_id = i.intern_id
             where f.date = date '2024-01-10'""",
@@ -295,19 +297,21 @@ COURSE_SQL = f"""select p.intern_id, p.full_name, p.course_name, p.progress_pct,
     {', '.join(f'coalesce(h.{k}, 0) as {k}' for k, _ in DOMAINS)}
   from gold_course_progress p left join ({DOMAIN_SQL}) h on p.intern_id = h.intern_id"""
 
-PERSON_SQL = f"""select intern_id, full_name,
-    ifnull(e.total_hours, 0) as total_hours, ifnull(e.kinds, 0) as distinct_activities,
-    ifnull(e.weekend_hours, 0) as weekend_hours,
-    {', '.join(f'ifnull(h.{k}, 0) as {k}' for k, _ in DOMAINS)},
-    ifnull(progress, 0) as avg_progress_pct, ifnull(ratio, 0) as avg_assignment_ratio,
-    ifnull(kc, 0) as avg_kc_pct, ifnull(test, 0) as avg_test_pct,
-    ifnull(done, 0) as courses_completed, ifnull(lms_rows, 0) as total_activity_entries
-  from dim_intern
-  left join (select intern_id, {c.ssum('hours')} as total_hours, count(distinct activity_id) as kinds,
-      {_where('hours', "isodow(date) >= 6")} as weekend_hours
-    from fact_eod_log group by intern_id) e using (intern_id)
-  left join ({DOMAIN_SQL}) h using (intern_id)
-  left join lms_totals using (intern_id)"""
+def _of(condition: str) -> str:
+    return f"coalesce(cast(sum(cast(r.h as decimal(38,9))) filter ({condition}) as double), 0)"
+
+
+PERSON_SQL = f"""select i.intern_id, i.full_name, {_of('true')} as total_hours,
+    count(distinct case when r.activity is not null then r.kind end) as distinct_activities,
+    {_of('dayofweek(r.date) in (0, 6)')} as weekend_hours,
+    {', '.join(f"""{_of(f"a.activity_category = '{v}'")} as {k}""" for k, v in DOMAINS)},
+    coalesce(avg(r.p), 0) as avg_progress_pct, coalesce({c.savg('r.ratio')}, 0) as avg_assignment_ratio,
+    coalesce({c.savg('r.kc')}, 0) as avg_kc_pct,
+    coalesce({c.savg('r.test')}, 0) as avg_test_pct,
+    count(*) filter (where r.done) as courses_completed, count(*) filter (where not r.logged) as total_activity_entries
+  from dim_intern i left join all_rows r using (intern_id)
+  left join dim_activity a on r.activity is not null and a.activity_id = r.kind
+  group by i.intern_id, i.full_name"""
 
 
 def _features() -> dict[str, str]:
