@@ -137,6 +137,7 @@ def train_clustering(
     k: int = CLUSTERS,
     restarts: int = RESTARTS,
     seed: int = SEED,
+    max_iter: int = 300,
 ) -> Clustering:
     """k-means on standardised features, the best of several starts.
 
@@ -156,7 +157,7 @@ def train_clustering(
     try:
         def fit(start: int) -> KMeansModel:
             return KMeans(
-                k=k, seed=seed + start, featuresCol="scaled", predictionCol="cluster_raw"
+                k=k, seed=seed + start, maxIter=max_iter, featuresCol="scaled", predictionCol="cluster_raw"
             ).fit(scaled)
 
         # The starts are independent jobs over one stored frame; a few run at a time.

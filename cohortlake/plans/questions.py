@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Mapping
 from functools import reduce
 from typing import Any
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -64,6 +66,11 @@ def statement(answer: Column) -> Column:
     return F.when(~out_of_context(answer), strip(F.rtrim(_head(answer), F.lit(";" + WHITESPACE))))
 
 
+# Functions that call into the JVM, however they are quoted.
+REFLECTION = re.compile(r"\b(try_reflect|reflect|java_method)\b`?\s*\(", re.I)
+COMMENT = re.compile(r"/\*.*?\*/|--[^\n]*", re.S)
+
+
 def run_sql(
     spark: SparkSession,
     sql: str,
@@ -73,17 +80,38 @@ def run_sql(
     """Run one query over the named views; cells come back as plain values.
 
     The text is placed in a FROM clause, where the grammar admits queries only, so a
-    statement that writes or changes anything does not parse.
+    statement that writes or changes anything does not parse. Functions that reach the
+    JVM and files named as tables are refused. The views are gone afterwards.
     """
     text = sql.strip().rstrip(";")
     if not text.upper().startswith(("SELECT", "WITH")):
         raise ValueError("only SELECT and WITH statements are run")
+    if REFLECTION.search(COMMENT.sub(" ", text)):
+        raise ValueError("functions that call into the JVM are not run")
+    on_files = spark.conf.get("spark.sql.runSQLOnFiles", "true")
+    spark.conf.set("spark.sql.runSQLOnFiles", "false")
     for name, df in (views or {}).items():
         df.createOrReplaceTempView(name)
-    result = spark.sql(f"SELECT * FROM (\n{text}\n)", args=dict(args or {}))
-    return result.select(
-        *[presentable(F.col(f"`{c}`"), dtype).alias(c) for c, dtype in result.dtypes]
-    )
+    try:
+        result = spark.sql(f"SELECT * FROM (\n{text}\n)", args=dict(args or {}))
+        return result.select(
+            *[presentable(F.col(f"`{c}`"), dtype).alias(c) for c, dtype in result.dtypes]
+        )
+    finally:
+        spark.conf.set("spark.sql.runSQLOnFiles", on_files)
+        for name in views or {}:
+            spark.catalog.dropTempView(name)
+
+
+def answered(
+    spark: SparkSession, sql: str, views: Mapping[str, DataFrame] | None = None, k: int = ANSWER_LIMIT
+) -> tuple[list[str], list[tuple], str | None]:
+    """Columns and the first ``k`` rows for showing, or the error as text."""
+    try:
+        df = run_sql(spark, sql, views)
+        return df.columns, [tuple(r) for r in df.take(k)], None
+    except (ValueError, PySparkException) as error:
+        return [], [], str(error)
 
 
 def preview(df: DataFrame, order: list[Column], k: int = PREVIEW_ROWS) -> DataFrame:

@@ -29,15 +29,38 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The CSV files of a path, those with the same first line together."""
+    first = (
+        spark.read.text(path)
+        .select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+        .where("file_block_start = 0")
+        .groupBy("file_path")
+        .agg(F.min_by("value", "at").alias("header"))
+    )
+    # One row per file reaches the driver, which lists the files anyway.
+    groups: dict[str, list[str]] = {}
+    for row in first.orderBy("file_path").collect():
+        groups.setdefault(row["header"], []).append(row["file_path"])
+    return list(groups.values())
+
+
 def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One export, read with the columns it has: of the schema, in the schema's types."""
-    reader = spark.read
+    """One export, a file or a folder, by column name: of the schema's columns those that any file has.
+
+    Files may hold their columns in different orders, or lack some; those are null there.
+    """
     if path.rstrip("/").endswith(".parquet"):
-        df = reader.parquet(path)
+        frames = [spark.read.option("mergeSchema", True).parquet(path)]
     else:
-        df = reader.option("header", True).csv(path)
-    present = [f for f in schema if f.name in df.columns]
-    return df.select(*[F.col(f"`{f.name}`") for f in present])
+        frames = [spark.read.option("header", True).csv(files) for files in _files_by_header(spark, path)]
+    if not frames:
+        return spark.createDataFrame([], schema)
+    known = [
+        df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema if f.name in df.columns])
+        for df in frames
+    ]
+    return union_all(known)
 
 
 def ingest_eod(spark: SparkSession, registry: Registry) -> DataFrame:

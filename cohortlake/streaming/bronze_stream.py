@@ -22,7 +22,8 @@ def export_stream(
     schema = RAW_EOD if kind == EOD_TABLE else RAW_LMS
     reader = spark.readStream.schema(schema).format(file_format)
     if file_format == "csv":
-        reader = reader.option("header", True)
+        # A file whose header is not the schema's fails the batch instead of filling other columns.
+        reader = reader.option("header", True).option("enforceSchema", False)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = reader.load(folder)

@@ -87,3 +87,19 @@ def test_week_split_by_months_is_merged(spark):
     assert [tuple(r) for r in rows] == [("2026-W05", 3.0), ("2026-W06", 4.0)]
     top = dashboard.top_people({"gold_weekly_hours": weekly}, 1).collect()
     assert top[0]["full_name"] == "B"
+
+
+def test_sql_reaches_neither_the_jvm_nor_files(spark, tmp_path):
+    people = spark.createDataFrame([("Ann", 1.0)], "full_name string, score double")
+    people.write.parquet(str(tmp_path / "p"))
+    for sql in (
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.home')",
+        "SELECT `java_method` /* x */ ('java.lang.System', 'getProperty', 'user.home')",
+        "SELECT try_reflect('java.lang.System', 'getProperty', 'user.home')",
+        f"SELECT * FROM parquet.`{tmp_path}/p`",
+    ):
+        columns, rows, error = questions.answered(spark, sql, {"people_of_test": people})
+        assert (columns, rows) == ([], []) and error
+    columns, rows, error = questions.answered(spark, "SELECT full_name FROM people_of_test", {"people_of_test": people})
+    assert (columns, rows, error) == (["full_name"], [("Ann",)], None)
+    assert not spark.catalog.tableExists("people_of_test")

@@ -160,3 +160,34 @@ def test_refresh(spark, tmp_path, database):
 def test_missing_table_is_reported(spark, database):
     report = quality.catalog_row_counts(spark, {"Gold": database}, {"Gold": ["gold_weekly_hours"]})
     assert [tuple(r) for r in report.collect()] == [("Gold", "gold_weekly_hours", None)]
+
+
+def test_folders_are_read_by_column_name(spark, tmp_path):
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Date,First Name,Last Name,Activity,Hours\n01/01/2026,Bob,Ray,SQL Revision,3.5\n")
+    (folder / "b.csv").write_text("Hours,Activity,Last Name,First Name,Date\n2.5,SQL Revision,Lee,Ann,05/01/2026\n")
+    (folder / "c.csv").write_text("Date,First Name,Other\n06/01/2026,Cy,x\n")
+    rows = registry.ingest_eod(spark, registry.Registry([str(folder)]))
+    got = sorted((r["Date"], r["First Name"], r["Hours"]) for r in rows.collect())
+    assert [(d, n, None if h is None else float(h)) for d, n, h in got] == [
+        ("01/01/2026", "Bob", 3.5), ("05/01/2026", "Ann", 2.5), ("06/01/2026", "Cy", None),
+    ]
+    both = str(tmp_path / "both.parquet")
+    spark.createDataFrame([("01/01/2026", "Bob")], ["Date", "First Name"]).coalesce(1).write.parquet(both)
+    spark.createDataFrame([("05/01/2026", "Ann", "2.5")], ["Date", "First Name", "Hours"]).coalesce(1).write.mode("append").parquet(both)
+    rows = registry.ingest_eod(spark, registry.Registry([both])).collect()
+    assert sorted((r["Date"], r["Hours"]) for r in rows) == [("01/01/2026", None), ("05/01/2026", "2.5")]
+
+
+def test_sums_of_any_size_do_not_depend_on_order(spark):
+    from pyspark.sql import functions as F
+
+    from cohortlake.functions.numbers import stable_sum
+
+    values = [0.1, 2.0**40, 0.2, 1e300, 3.7, None, -(2.0**40)] * 3
+    for n in (1, 5):
+        df = spark.createDataFrame([(v,) for v in values], "x double").repartition(n)
+        assert df.where("x < 1e20").agg(stable_sum(F.col("x"))).first()[0] == 12.0
+        assert df.agg(stable_sum(F.col("x"))).first()[0] == pytest.approx(3e300)
+    assert spark.createDataFrame([(None,)], "x double").agg(stable_sum(F.col("x"))).first()[0] is None
