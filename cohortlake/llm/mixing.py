@@ -57,7 +57,7 @@ def fitted(lengths: np.ndarray, counts: np.ndarray, budget: int, limit: int = FI
     # floor(count * budget / total) in whole numbers; Python's do not overflow.
     take = np.array([int(c) * budget // total for c in counts], dtype=np.int64)
     left = budget - int((take * lengths).sum())
-    for k in np.argsort(-lengths):
+    for k in np.argsort(-lengths)[: int((lengths > 0).sum())]:
         n = min(int(counts[k] - take[k]), max(0, left - limit) // int(lengths[k]))
         take[k] += n
         left -= n * int(lengths[k])

@@ -22,8 +22,8 @@ from cohortlake.operators.skew import join_one_per_key
 WINDOW = 3
 #: Candidate thresholds per feature and class; rules at most; conditions in a rule at most.
 QUANTILES, RULES, CONDITIONS = 24, 8, 3
-#: Share of low-quality rows among those a rule covers, and their number, both in the pruning part.
-PRECISION, SUPPORT = 0.97, 3
+#: Share of low-quality rows among those a rule covers, in either part, and their number in the pruning part.
+PRECISION, SUPPORT = 0.995, 3
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bangs", "n_capitals", "n_lines")
 
 
@@ -153,7 +153,7 @@ def learned(labelled: DataFrame, precision: float = PRECISION, support: int = SU
             p0, n0 = total[True, True], total[False, True]
             if not p0 or not n0:
                 break
-            best = (0.0, None, None)
+            best = (False, 0.0, None, None)
             for name, at in cuts.items():
                 below = dict.fromkeys(total, 0)
                 for b, threshold in enumerate(at):
@@ -161,13 +161,17 @@ def learned(labelled: DataFrame, precision: float = PRECISION, support: int = SU
                         below[key] += cells.get((name, b, *key), 0)
                     for above in (True, False):
                         got = {k: total[k] - below[k] if above else below[k] for k in total}
-                        best = max(best, (gain(got[True, True], got[False, True], p0, n0), Condition(name, above, threshold), got), key=lambda x: x[0])
-            if best[1] is None:
+                        p, n = got[True, True], got[False, True]
+                        # A condition that makes the rule precise comes before any that only informs more.
+                        sure = p >= support and p >= precision * (p + n)
+                        best = max(best, (sure, gain(p, n, p0, n0), Condition(name, above, threshold), got), key=lambda x: x[:2])
+            if best[2] is None:
                 break
-            rule += (best[1],)
-            p, n = best[2][True, False], best[2][False, False]
-            scores.append((p / (p + n) if p + n else 0.0, p, n))
-        # Pruned to the shortest beginning that is as precise as any on rows it was not grown on.
+            rule += (best[2],)
+            p, n = best[3][True, False], best[3][False, False]
+            grown = best[3][True, True] / (best[3][True, True] + best[3][False, True])
+            scores.append((min(grown, p / (p + n) if p + n else 0.0), p, n))
+        # Pruned to the beginning that covers most of the rows it was not grown on, if precise on all.
         good = [k for k, (share, p, _) in enumerate(scores) if share >= precision and p >= support]
         if not good:
             break
