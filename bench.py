@@ -19,6 +19,7 @@ HEADLINE = [
     "a9_mentee_treemap", "a11_kc_ranking", "a17_batch_trend", "a18_weekly_trend",
     "n4_leaderboard", "n6_activity_breakdown", "u1_except", "u1_except_by_key",
     "t5_top_k_course", "t9_daily_detail", "m2_course_features", "m3_person_features", "m6_medians",
+    "s5_s6_bronze_upsert", "r1_bronze_stream", "m13_m19_scored", "m15_j9_pca_results",
 ]
 
 

@@ -74,9 +74,14 @@ def balanced(df: DataFrame, label: str) -> DataFrame:
 
 
 def train_classifier(
-    rows: DataFrame, trees: int = 100, depth: int = 30, seed: int = SEED
+    rows: DataFrame, trees: int = 100, depth: int = 30, seed: int = SEED, max_rows: int = 1_000_000
 ) -> Classifier:
-    """Random forest for the status of a progress row, classes weighted equally."""
+    """Random forest for the status of a progress row, classes weighted equally.
+
+    The trees are fitted on about ``max_rows`` labelled rows at most, drawn at random: they
+    live on the driver and in each task, and deep trees grow with the rows they see.
+    """
+    rows = rows.sample(min(1.0, max_rows / max(1, rows.count())), seed)
     data = balanced(with_features(rows, COURSE_FEATURES), "overall_status")
     data = data.select("course_name", "overall_status", "weight", *COURSE_FEATURES)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
