@@ -3,8 +3,9 @@
 Candidates are found in every whole text: three fixed kinds, and wider kinds that look like
 credentials but may as well be ids or samples. The hashes of all candidate values are
 aggregated by distinct repositories and owners. A value that many owners hold is a copied
-example; one that hardly anyone else holds and that looks random is a live credential. Wider
-candidates become spans only if they come out live; the fixed kinds always stay.
+example; one that hardly anyone else holds is a live credential, whatever its length and
+characters. Wider candidates are looked at only if they look random, and become spans only if
+they come out live; the fixed kinds always stay.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ EXAMPLE_OWNERS, LIVE_BITS = 3, 3.0
 
 SPAN = T.StructType([
     T.StructField("kind", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("stop", T.LongType()),
-    T.StructField("hash", T.BinaryType()), T.StructField("random", T.BooleanType()),
+    T.StructField("hash", T.BinaryType()), T.StructField("credible", T.BooleanType()),
 ])
 
 
@@ -58,7 +59,10 @@ def random_looking(value: str, least: float = LIVE_BITS) -> bool:
 
 
 def candidates(text: str | None) -> list[tuple[int, int, int, bytes, bool]]:
-    """(kind, start, stop, hash of the value, looks random), by start and kind; code points, stop exclusive."""
+    """(kind, start, stop, hash of the value, may be live), by start and kind; code points, stop exclusive.
+
+    Fixed kinds may always be live, wider ones if they look random.
+    """
     text = text or ""
     found = [("assign", *m.span(), m[1]) for m in ASSIGN.finditer(text) if len(m[1]) >= 6] if "=" in text or ":" in text else []
     found += [("access", *m.span(), m[0]) for m in ACCESS.finditer(text)] if "AKIA" in text else []
@@ -70,7 +74,7 @@ def candidates(text: str | None) -> list[tuple[int, int, int, bytes, bool]]:
         if random_looking(value) and not any(a < y and x < b for x, y in covered):
             covered.append((a, b))
             found.append((kind, a, b, value))
-    rows = [(KINDS.index(k), a, b, hashlib.sha256(v.encode()).digest()[:16], random_looking(v)) for k, a, b, v in found]
+    rows = [(KINDS.index(k), a, b, hashlib.sha256(v.encode()).digest()[:16], k in BASE or random_looking(v)) for k, a, b, v in found]
     return sorted(rows, key=lambda r: (r[1], r[0]))
 
 
@@ -84,7 +88,7 @@ def scanned(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> DataF
     body = free_name("body", list(keep))
     frame = docs.select(*keep, F.col(text).alias(body))
     more = T.StructType([*[T.StructField(f"n_{k}", T.LongType()) for k in BASE], T.StructField("base_sha256", T.StringType()), T.StructField("found", T.ArrayType(SPAN))])
-    arrow = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("stop", pa.int64()), ("hash", pa.binary()), ("random", pa.bool_())]))
+    arrow = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("stop", pa.int64()), ("hash", pa.binary()), ("credible", pa.bool_())]))
     names = [f.name for f in SPAN.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +123,7 @@ def classified(docs: DataFrame, text: str = "text", owner: str = "source", repo:
     """``keep`` with base counts and digest, ``spans`` (all as text), ``live`` (start and stop of live ones), ``n_live``, ``n_example``.
 
     A repository is an owner's ``repo``. Every candidate is an example (``example_owners``
-    owners or more), live (fewer owners, random-looking), or unclear. Null texts are empty,
+    owners or more) or live (fewer owners), wider ones only if they look random. Null texts are empty,
     repeated rows stay rows of their own, an empty table gives no rows, other columns are
     left out.
     """
@@ -132,9 +136,9 @@ def classified(docs: DataFrame, text: str = "text", owner: str = "source", repo:
     owners = ownership(each)
     verdict = (
         F.when(F.col("n_owners") >= example_owners, "example")
-        .when(F.col("random"), "live").otherwise("unclear")
+        .when(F.col("credible"), "live").otherwise("unclear")
     )
-    judged = join_one_per_key(each.select(row, "kind", "start", "stop", "hash", "random"), owners, "hash").withColumn("verdict", verdict)
+    judged = join_one_per_key(each.select(row, "kind", "start", "stop", "hash", "credible"), owners, "hash").withColumn("verdict", verdict)
     judged = judged.where((F.col("kind") < len(BASE)) | (F.col("verdict") == "live"))
     name = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1)
     per_row = judged.groupBy(row).agg(

@@ -181,6 +181,19 @@ def test_examples_and_live_secrets(spark):
     assert secrets.masked(docs.where("false")).count() == 0
 
 
+def test_fixed_kinds_are_live_by_ownership_alone(spark):
+    values = ["password=abc123", "token: qwertyu", "password=correcthorsebattery", "apikey = 123456", "AKIA" + "ABCDEFGHIJKLMNOP", "1" * 24, "secret=aaaaaa"]
+    docs = documents(spark, [*values, *["x password=example"] * 3])
+    rows = {r["doc_id"]: r for r in secrets.classified(docs).collect()}
+    assert all((rows[k]["n_live"], rows[k]["n_example"]) == (1, 0) for k in range(len(values)))
+    assert all((rows[k]["n_live"], rows[k]["n_example"]) == (0, 1) for k in range(len(values), len(values) + 3))
+    masked = {r["doc_id"]: r["text"] for r in secrets.masked(docs).collect()}
+    assert [masked[k] for k in range(len(values) + 1)] == ["<secret>"] * len(values) + ["x password=example"]
+    # Wider kinds still have to look random.
+    wide = documents(spark, ["Bearer " + "abcdefghij" * 3, "Bearer " + "z1" * 15])
+    assert [(r["spans"], r["n_live"]) for r in secrets.classified(wide).collect()] == [("", 0)] * 2
+
+
 # --- mixing ------------------------------------------------------------------------------
 
 def test_targets():
