@@ -2,9 +2,9 @@
 
 Candidates are found in every whole text: three fixed kinds, and wider kinds that look like
 credentials but may as well be ids or samples. The hashes of all candidate values are
-aggregated by distinct repositories and owners. A value that many owners hold is a copied
-example; one that hardly anyone else holds is a live credential, whatever its length and
-characters. Wider candidates are looked at only if they look random, and become spans only if
+aggregated by distinct repositories and owners. A value that many owners or repositories
+hold is a copied example; one that hardly anyone else holds is a live credential, whatever its
+length and characters. Wider candidates are looked at only if they look random, and become spans only if
 they come out live; the fixed kinds always stay.
 """
 
@@ -38,8 +38,10 @@ WIDER = (
     ("url_login", "://", re.compile(r"://[^\s:/@]{1,64}:([^\s:/@]{6,128})@"), 1),
 )
 MIXED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}", re.A)
-#: Owners from which on a value is an example; bits a character below which a wider value is no credential.
-EXAMPLE_OWNERS, LIVE_BITS = 3, 3.0
+#: Owners, and repositories of all owners together, from which on a value is an example.
+EXAMPLE_OWNERS, EXAMPLE_REPOS = 3, 4
+#: Bits a character below which a wider value is no credential.
+LIVE_BITS = 3.0
 
 SPAN = T.StructType([
     T.StructField("kind", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("stop", T.LongType()),
@@ -119,11 +121,13 @@ def ownership(found: DataFrame) -> DataFrame:
     return known.groupBy("hash", "o").agg(F.count("*").alias("n")).groupBy("hash").agg(F.sum("n").alias("n_repos"), F.count("*").alias("n_owners"))
 
 
-def classified(docs: DataFrame, text: str = "text", owner: str = "source", repo: str = "lang", keep: tuple[str, ...] = ("doc_id",), example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """``keep`` with base counts and digest, ``spans`` (all as text), ``live`` (start and stop of live ones), ``n_live``, ``n_example``.
+def classified(docs: DataFrame, text: str = "text", owner: str = "source", repo: str = "lang", keep: tuple[str, ...] = ("doc_id",), example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
+    """``keep`` with base counts and digest, ``spans`` (all as text), ``holders`` (n_owners:n_repos of each span's value),
+    ``live`` (start and stop of live ones), ``n_live``, ``n_example``.
 
     A repository is an owner's ``repo``. Every candidate is an example (``example_owners``
-    owners or more) or live (fewer owners), wider ones only if they look random. Null texts are empty,
+    owners or more, or ``example_repos`` repositories or more) or live (fewer of both), wider
+    ones only if they look random. Null texts are empty,
     repeated rows stay rows of their own, an empty table gives no rows, other columns are
     left out.
     """
@@ -135,17 +139,17 @@ def classified(docs: DataFrame, text: str = "text", owner: str = "source", repo:
     each = each.select(row, "owner", "repo", "s.*")
     owners = ownership(each)
     verdict = (
-        F.when(F.col("n_owners") >= example_owners, "example")
+        F.when((F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos), "example")
         .when(F.col("credible"), "live").otherwise("unclear")
     )
     judged = join_one_per_key(each.select(row, "kind", "start", "stop", "hash", "credible"), owners, "hash").withColumn("verdict", verdict)
     judged = judged.where((F.col("kind") < len(BASE)) | (F.col("verdict") == "live"))
     name = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1)
     per_row = judged.groupBy(row).agg(
-        F.sort_array(F.collect_list(F.struct("start", "kind", "stop", F.concat_ws(":", name, "start", "stop").alias("t"), F.col("verdict").alias("v")))).alias("l")
+        F.sort_array(F.collect_list(F.struct("start", "kind", "stop", F.concat_ws(":", name, "start", "stop").alias("t"), F.concat_ws(":", "n_owners", "n_repos").alias("h"), F.col("verdict").alias("v")))).alias("l")
     )
     per_row = per_row.select(
-        row, F.array_join(F.transform("l", lambda x: x["t"]), ",").alias("spans"),
+        row, F.array_join(F.transform("l", lambda x: x["t"]), ",").alias("spans"), F.array_join(F.transform("l", lambda x: x["h"]), ",").alias("holders"),
         F.transform(F.filter("l", lambda x: x["v"] == "live"), lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"))).alias("live"),
         F.size(F.filter("l", lambda x: x["v"] == "live")).cast("long").alias("n_live"),
         F.size(F.filter("l", lambda x: x["v"] == "example")).cast("long").alias("n_example"),
@@ -154,7 +158,8 @@ def classified(docs: DataFrame, text: str = "text", owner: str = "source", repo:
     out = scan.select(row, *keep, *counts, "base_sha256").join(per_row, row, "left")
     empty = F.array().cast("array<struct<start:bigint,stop:bigint>>")
     return out.select(
-        *keep, *counts, "base_sha256", F.coalesce("spans", F.lit("")).alias("spans"), F.coalesce("live", empty).alias("live"),
+        *keep, *counts, "base_sha256", F.coalesce("spans", F.lit("")).alias("spans"),
+        F.coalesce("holders", F.lit("")).alias("holders"), F.coalesce("live", empty).alias("live"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_example", F.lit(0)).alias("n_example"),
     )
 

@@ -194,6 +194,18 @@ def test_fixed_kinds_are_live_by_ownership_alone(spark):
     assert [(r["spans"], r["n_live"]) for r in secrets.classified(wide).collect()] == [("", 0)] * 2
 
 
+def test_copies_through_repositories_are_examples(spark):
+    copied, few = "token=0123456789abcdef0123456789abcdef", "token=fedcba9876543210fedcba98aabbccdd"
+    wide = "Authorization: Bearer aZ3kLm9QwErTyUiOp4567x"
+    held = [(copied, "a", "en"), (copied, "a", "de"), (copied, "a", "fr"), (copied, "a", "es"), (few, "a", "en"), (few, "a", "de"), (few, "b", "en"), (few, "b", "en")]
+    held += [(wide, o, lang) for o in "ab" for lang in ("en", "de")]
+    docs = spark.createDataFrame([(k, t, lang, o, None) for k, (t, o, lang) in enumerate(held)], DOCS)
+    rows = [(r["n_live"], r["n_example"], r["holders"]) for r in secrets.classified(docs).orderBy("doc_id").collect()]
+    assert rows == [(0, 2, "1:4,1:4")] * 4 + [(2, 0, "2:3,2:3")] * 4 + [(0, 0, "")] * 4
+    assert [r["text"] for r in secrets.masked(docs).orderBy("doc_id").collect()] == [copied] * 4 + ["<secret>"] * 4 + [wide] * 4
+    assert {r["n_live"] for r in secrets.classified(docs, example_repos=5).collect()} == {1, 2}
+
+
 # --- mixing ------------------------------------------------------------------------------
 
 def test_targets():
