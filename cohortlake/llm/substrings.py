@@ -3,14 +3,15 @@
 Chunks end at words where a gear rolling hash of the words is smallest among its
 neighbours. That depends on nothing but a few words around the end, so an insertion moves
 no other end, and a passage is cut alike wherever it stands. Chunks with equal digests are
-duplicates; of each, the occurrence in the smallest doc_id stays. Consecutive chunks that
-other documents hold too form a passage once they have enough words.
+duplicates, in one document or in several; of each, the first occurrence in the smallest
+doc_id stays. Consecutive chunks that other documents hold too form a passage once they have
+enough words.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -82,10 +83,16 @@ def passages(marks: Column, at: Column, least: int) -> Column:
     return F.filter(runs, lambda r: r["stop"] - r["start"] >= least)
 
 
+def numbers_of(marks: str, which: Callable[[Column], Column]) -> Column:
+    return F.transform(F.filter(marks, which), lambda x: x["k"])
+
+
 def shared_passages(docs: DataFrame, text: str = "text", least: int = PASSAGE_WORDS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_words``, ``n_chunks``, ``n_shared`` (chunks that other
     documents hold too), ``n_dropped`` (those of them that an earlier document, or this one before, holds),
-    ``passages`` (array of start and stop in words) and ``repeats`` (whether there are any).
+    ``n_repeated`` (chunks that occur again anywhere, in this document too), ``n_later`` (those of them that
+    are not the first occurrence), ``passages`` (array of start and stop in words, of chunks that other
+    documents hold) and ``repeats`` (whether there are any).
 
     Documents are told apart by rows, so repeated rows share everything; the smallest
     doc_id, null last, counts as the earliest. Null and blank texts have no chunks. Extra
@@ -98,19 +105,23 @@ def shared_passages(docs: DataFrame, text: str = "text", least: int = PASSAGE_WO
     order = F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long").alias("o")
     each = rows.where(F.size("at") > 1).select("row", order, F.posexplode(digests).alias("k", "digest"))
     # Counted in the tasks that read before anything moves: a chunk of very many documents is a few rows here.
-    held = each.groupBy("digest").agg(F.min(F.struct("o", "row", "k")).alias("first"), F.min("row").alias("low"), F.max("row").alias("high"))
-    held = held.where("low < high").select("digest", F.col("first.row").alias("row_1"), F.col("first.k").alias("k_1"))
+    held = each.groupBy("digest").agg(
+        F.min(F.struct("o", "row", "k")).alias("first"), F.min("row").alias("low"), F.max("row").alias("high"), F.count("*").alias("n"),
+    )
+    held = held.where("n > 1").select("digest", F.col("first.row").alias("row_1"), F.col("first.k").alias("k_1"), F.expr("low < high").alias("other"))
     shared = join_one_per_key(each.select("digest", "row", "k"), held, "digest")
     later = (F.col("row") != F.col("row_1")) | (F.col("k") != F.col("k_1"))
-    marked = shared.select("row", F.struct("k", later.alias("later")).alias("m")).groupBy("row").agg(F.sort_array(F.collect_list("m")).alias("m"))
+    marked = shared.select("row", F.struct("k", later.alias("later"), "other").alias("m")).groupBy("row").agg(F.sort_array(F.collect_list("m")).alias("m"))
     out = rows.select("row", "doc_id", "at").join(marked, "row", "left")
-    none = F.array().cast("array<struct<k:int,later:boolean>>")
+    none = F.array().cast("array<struct<k:int,later:boolean,other:boolean>>")
     out = out.select("doc_id", "at", F.coalesce("m", none).alias("m")).select(
-        "doc_id", "at", F.transform("m", lambda x: x["k"]).alias("k"), F.size(F.filter("m", lambda x: x["later"])).alias("d"),
+        "doc_id", "at", numbers_of("m", lambda x: x["other"]).alias("k"), numbers_of("m", lambda x: x["later"]).alias("later"),
+        F.size("m").alias("n"), F.size(F.filter("m", lambda x: x["other"] & x["later"])).alias("d"),
     )
     out = out.select(
         "doc_id", F.element_at("at", -1).cast("long").alias("n_words"), (F.size("at") - 1).cast("long").alias("n_chunks"),
-        F.size("k").cast("long").alias("n_shared"), F.col("d").cast("long").alias("n_dropped"), passages(F.col("k"), F.col("at"), least).alias("passages"),
+        F.size("k").cast("long").alias("n_shared"), F.col("d").cast("long").alias("n_dropped"),
+        F.col("n").cast("long").alias("n_repeated"), F.size("later").cast("long").alias("n_later"), passages(F.col("k"), F.col("at"), least).alias("passages"),
     )
     return out.withColumn("repeats", F.size("passages") > 0)
 

@@ -119,6 +119,25 @@ def test_shared_chunks_by_brute_force(spark):
         assert [tuple(p) for p in r["passages"]] == spans
 
 
+def test_repeats_inside_a_document_by_brute_force(spark):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 9)))
+    some = lambda n: " ".join(word() for _ in range(n))
+    twice, line = some(60), some(25)
+    texts = [f"{some(40)} {twice} {some(40)} {twice} {some(10)}", "\n".join([line] * 6), "a " * 500, some(80), f"{some(30)} {line}", None]
+    chunks = [substrings.chunks_of(t)[1] for t in texts]
+    times, first = Counter(d for c in chunks for d in c), {}
+    for k, c in enumerate(chunks):
+        for i, d in enumerate(c):
+            first.setdefault(d, (k, i))
+    got = substrings.shared_passages(documents(spark, texts)).orderBy("doc_id").collect()
+    for k, (r, c) in enumerate(zip(got, chunks, strict=True)):
+        assert r["n_repeated"] == sum(times[d] > 1 for d in c)
+        assert r["n_later"] == sum(first[d] != (k, i) for i, d in enumerate(c))
+    assert got[0]["n_later"] >= 3 and got[0]["n_shared"] == 0 and not got[0]["repeats"]
+    assert got[1]["n_later"] > 0 and got[2]["n_later"] > 400 and got[3]["n_repeated"] == 0 and got[4]["n_dropped"] > 0
+
+
 # --- quality -----------------------------------------------------------------------------
 
 def slow_counts(text):
