@@ -11,6 +11,7 @@ enough words.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 from zlib import crc32
 
@@ -29,6 +30,7 @@ GEAR_WORDS, REACH = 4, 4
 PASSAGE_WORDS = 20
 #: Bytes of a digest; equal ones are taken as equal chunks.
 DIGEST = 12
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def ends_of(words: list[bytes], gear: int = GEAR_WORDS, reach: int = REACH) -> np.ndarray:
@@ -58,25 +60,25 @@ def chunks_of(text: str | None) -> tuple[list[int], list[bytes]]:
     return at, [hashlib.blake2b(b" ".join(words[i:j]), digest_size=DIGEST).digest() for i, j in zip(at, at[1:], strict=False)]
 
 
-def chunked(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id``, ``at`` (first words, and the number of words) and ``digests`` (one after the other) of every whole text."""
+def chunked(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep``, ``at`` (first words, and the number of words) and ``digests`` (one after the other) of every whole text."""
     ship(docs.sparkSession)
-    body = free_name("body", ["doc_id"])
-    frame = docs.select("doc_id", F.col(text).alias(body))
+    body = free_name("body", list(keep))
+    frame = docs.select(*keep, F.col(text).alias(body))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [chunks_of(t) for t in batch.column(1).to_pylist()]
+            made = [chunks_of(t) for t in batch.column(body).to_pylist()]
             at, digests = pa.array([m[0] for m in made], pa.list_(pa.int32())), pa.array([b"".join(m[1]) for m in made], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), at, digests], names=["doc_id", "at", "digests"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], at, digests], names=[*keep, "at", "digests"])
 
-    kinds = T.StructType([frame.schema["doc_id"], T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("digests", T.BinaryType())])
+    kinds = T.StructType([*[frame.schema[c] for c in keep], T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("digests", T.BinaryType())])
     return frame.mapInArrow(run, kinds)
 
 
 def passages(marks: Column, at: Column, least: int) -> Column:
-    """Runs of consecutive shared chunk numbers (sorted) with at least so many words, as (start, stop) in words."""
-    # A run starts where the number before is not shared, and stops where the number after is not.
+    """Runs of consecutive chunk numbers (sorted) with at least so many words, as (start, stop) in words."""
+    # A run starts where the number before is not among them, and stops where the number after is not.
     firsts = F.filter(marks, lambda x, i: (i == 0) | (F.get(marks, i - 1) < x - 1))
     lasts = F.filter(marks, lambda x, i: F.coalesce(F.get(marks, i + 1) > x + 1, F.lit(True)))
     runs = F.transform(F.arrays_zip(firsts.alias("a"), lasts.alias("b")), lambda r: F.struct(F.get(at, r["a"]).alias("start"), F.get(at, r["b"] + 1).alias("stop")))
@@ -87,19 +89,21 @@ def numbers_of(marks: str, which: Callable[[Column], Column]) -> Column:
     return F.transform(F.filter(marks, which), lambda x: x["k"])
 
 
-def shared_passages(docs: DataFrame, text: str = "text", least: int = PASSAGE_WORDS) -> DataFrame:
+def shared_passages(docs: DataFrame, text: str = "text", least: int = PASSAGE_WORDS, numbered: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_words``, ``n_chunks``, ``n_shared`` (chunks that other
     documents hold too), ``n_dropped`` (those of them that an earlier document, or this one before, holds),
     ``n_repeated`` (chunks that occur again anywhere, in this document too), ``n_later`` (those of them that
     are not the first occurrence), ``passages`` (array of start and stop in words, of chunks that other
-    documents hold) and ``repeats`` (whether there are any).
+    documents hold), ``repeats`` (whether there are any) and ``drop_spans`` (array of start and stop in words,
+    of all ``n_later`` chunks: without them every chunk occurs once in the corpus).
 
     Documents are told apart by rows, so repeated rows share everything; the smallest
     doc_id, null last, counts as the earliest. Null and blank texts have no chunks. Extra
-    columns are left out; an empty table gives no rows.
+    columns are left out; an empty table gives no rows. If ``numbered``, ``docs`` has a fixed
+    number of each row in ``row``, which is returned too.
     """
     # Row numbers are fixed by the cut: everything below reads them from the written rows.
-    rows = cut(chunked(docs, text).withColumn("row", F.monotonically_increasing_id()))
+    rows = cut(chunked(docs, text, ("doc_id", "row")) if numbered else chunked(docs, text).withColumn("row", F.monotonically_increasing_id()))
     numbers = F.sequence(F.lit(0), F.size("at") - 2)
     digests = F.transform(numbers, lambda k: F.substring(F.col("digests"), k * DIGEST + 1, F.lit(DIGEST)))
     order = F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long").alias("o")
@@ -114,19 +118,53 @@ def shared_passages(docs: DataFrame, text: str = "text", least: int = PASSAGE_WO
     marked = shared.select("row", F.struct("k", later.alias("later"), "other").alias("m")).groupBy("row").agg(F.sort_array(F.collect_list("m")).alias("m"))
     out = rows.select("row", "doc_id", "at").join(marked, "row", "left")
     none = F.array().cast("array<struct<k:int,later:boolean,other:boolean>>")
-    out = out.select("doc_id", "at", F.coalesce("m", none).alias("m")).select(
-        "doc_id", "at", numbers_of("m", lambda x: x["other"]).alias("k"), numbers_of("m", lambda x: x["later"]).alias("later"),
+    out = out.select("row", "doc_id", "at", F.coalesce("m", none).alias("m")).select(
+        "row", "doc_id", "at", numbers_of("m", lambda x: x["other"]).alias("k"), numbers_of("m", lambda x: x["later"]).alias("later"),
         F.size("m").alias("n"), F.size(F.filter("m", lambda x: x["other"] & x["later"])).alias("d"),
     )
     out = out.select(
-        "doc_id", F.element_at("at", -1).cast("long").alias("n_words"), (F.size("at") - 1).cast("long").alias("n_chunks"),
+        *["row"] * numbered, "doc_id", F.element_at("at", -1).cast("long").alias("n_words"), (F.size("at") - 1).cast("long").alias("n_chunks"),
         F.size("k").cast("long").alias("n_shared"), F.col("d").cast("long").alias("n_dropped"),
         F.col("n").cast("long").alias("n_repeated"), F.size("later").cast("long").alias("n_later"), passages(F.col("k"), F.col("at"), least).alias("passages"),
+        passages(F.col("later"), F.col("at"), 1).alias("drop_spans"),
     )
     return out.withColumn("repeats", F.size("passages") > 0)
 
 
+def without(text: str | None, spans: list[dict] | None) -> str | None:
+    """The text without the words of the spans (sorted, apart) and the white space after them."""
+    if not spans:
+        return text
+    body = text.encode("utf-8", "surrogatepass")
+    starts = [*[m.start() for m in WORD.finditer(body)], len(body)]
+    out, end = [], 0
+    for span in spans:
+        out.append(body[end : starts[span["start"]]])
+        end = starts[span["stop"]]
+    return b"".join([*out, body[end:]]).decode("utf-8", "surrogatepass")
+
+
+def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` without the later occurrences of chunks: of each chunk the first one stays, in the smallest doc_id.
+
+    All rows and columns stay; a text of which nothing is left is empty or white space.
+    """
+    row, spans = (free_name(x, docs.columns) for x in ("row", "drop_spans"))
+    names = docs.columns
+    known = cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    found = shared_passages(known.select("doc_id", F.col(row).alias("row"), F.col(text).alias("text")), numbered=True)
+    found = found.where("n_later > 0").select(F.col("row").alias(row), F.col("drop_spans").alias(spans))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [without(t, s) for t, s in zip(batch.column(text).to_pylist(), batch.column(spans).to_pylist(), strict=True)]
+            columns = [pa.array(texts, pa.string()) if c == text else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return join_one_per_key(known, found, row, "left").mapInArrow(run, docs.schema)
+
+
 def op9_substrings(spark: SparkSession, folder: str) -> DataFrame:
     found = shared_passages(table(spark, folder, "documents"))
-    spans = F.array_join(F.transform("passages", lambda p: F.concat_ws(":", p["start"], p["stop"])), ",")
-    return found.withColumn("passages", spans)
+    shown = lambda c: F.array_join(F.transform(c, lambda p: F.concat_ws(":", p["start"], p["stop"])), ",")
+    return found.withColumn("passages", shown("passages")).withColumn("drop_spans", shown("drop_spans"))

@@ -138,6 +138,30 @@ def test_repeats_inside_a_document_by_brute_force(spark):
     assert got[1]["n_later"] > 0 and got[2]["n_later"] > 400 and got[3]["n_repeated"] == 0 and got[4]["n_dropped"] > 0
 
 
+def test_one_occurrence_of_each_chunk_stays(spark):
+    rnd = random.Random(13)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnöp") for _ in range(rnd.randint(2, 9)))
+    some = lambda n: " ".join(word() for _ in range(n))
+    passage, copy = some(70), some(90)
+    texts = [f" {some(50)}\t{passage}\n{some(30)} ", f"{some(20)} {passage} {some(50)} {passage}", copy, copy, "a " * 300, None, "", f"é {passage}"]
+    df = documents(spark, texts).withColumnRenamed("lang", "row").withColumnRenamed("source", "drop_spans")
+    got = {r["doc_id"]: r for r in substrings.deduplicated(df).collect()}
+    seen, dropped = set(), {}
+    for k, t in enumerate(texts):
+        at, digests = substrings.chunks_of(t)
+        words, left = WORDS.findall(t or ""), []
+        for i, d in enumerate(digests):
+            left += words[at[i] : at[i + 1]] if d not in seen else []
+            seen.add(d)
+        assert WORDS.findall(got[k]["text"] or "") == left
+        dropped[k] = len(words) - len(left)
+    assert dropped[0] == 0 and got[0]["text"] == texts[0] and got[2]["text"] == copy and got[3]["text"] == "" and got[5]["text"] is None
+    assert min(dropped[1], dropped[7]) > 30 and dropped[4] > 250
+    assert substrings.deduplicated(df).columns == df.columns and substrings.deduplicated(df.where("false")).count() == 0
+    spans = {r["doc_id"]: r for r in substrings.shared_passages(documents(spark, texts)).collect()}
+    assert all(sum(b - a for a, b in r["drop_spans"]) == dropped[k] for k, r in spans.items()) and spans[2]["passages"] and not spans[2]["drop_spans"]
+
+
 # --- quality -----------------------------------------------------------------------------
 
 def slow_counts(text):
