@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlake.llm import bpe, embeddings, licenses, mixing, quality, secrets, simhash, substrings, toxicity, urls
+from cohortlake.llm import bpe, embeddings, licenses, merkle, mixing, periods, quality, secrets, simhash, substrings, topk, toxicity, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe": bpe.op8_bpe,
         "op9_substrings": substrings.op9_substrings,
         "op10_simhash": simhash.op10_simhash,
+        "op11_periods": periods.op11_periods,
+        "op12_manifest": merkle.op12_manifest,
+        "op13_topk": topk.op13_topk,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_urls": urls.OP1_SQL, "op5_licenses": licenses.OP5_SQL}
+    return {"op1_urls": urls.OP1_SQL, "op5_licenses": licenses.OP5_SQL, "op12_manifest": merkle.OP12_SQL, "op13_topk": topk.OP13_SQL}
