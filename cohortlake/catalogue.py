@@ -15,13 +15,13 @@ from .operators.quantiles import exact_medians
 from .operators.skew import join_one_per_key
 from .operators.topk import asc, desc
 from .plans import dashboard as d
-from .plans import features, models, quality
+from .plans import features, layers, models, quality
 from .plans import questions as ask
 from .plans.warehouse import Warehouse
 from .schemas import SEQ
 from .session import shared_folder
 from .sources import bindings
-from .sources.bronze import EOD_TABLE, read_raw, write_bronze
+from .sources.bronze import EOD_TABLE, LMS_TABLE, read_raw, write_bronze
 from .streaming.bronze_stream import start_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,7 @@ DAY = datetime.date(2024, 1, 10)
 
 _plans: dict[tuple[str, str, bool], Warehouse] = {}
 _bronze: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+_stored: dict[tuple[str, str], Warehouse] = {}
 _fits: dict[tuple[str, int], object] = {}
 
 
@@ -66,6 +67,18 @@ def sample(spark: SparkSession, folder: str, dense_ids: bool = False) -> Warehou
     return _plans[key]
 
 
+def stored(spark: SparkSession, folder: str) -> Warehouse:
+    """Silver and Gold of a sample as stored tables, written once per application like those of a refresh."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _stored:
+        frames, database = raw(spark, folder), _own_database(spark)
+        everything = {EOD_TABLE: None, LMS_TABLE: None}
+        bounds = (bindings.SAMPLE_LOW, bindings.SAMPLE_HIGH)
+        layers.refresh_layers(spark, layers.FrameSource(*frames), database, database, everything, *bounds)
+        _stored[key] = Warehouse.from_catalog(spark, database, database).with_raw(*frames, *bounds)
+    return _stored[key]
+
+
 def _fitted(name: str, t: Warehouse, fit: Callable[[], object]) -> object:
     """A model is trained once per application and sample; queries about it share it."""
     key = (name, id(t))
@@ -74,20 +87,26 @@ def _fitted(name: str, t: Warehouse, fit: Callable[[], object]) -> object:
     return _fits[key]
 
 
-def _on(build: Callable[[Warehouse], DataFrame], dense_ids: bool = False) -> Query:
+def _on(build: Callable[[Warehouse], DataFrame]) -> Query:
+    """Over the stored layers."""
+    return lambda spark, folder: build(stored(spark, folder))
+
+
+def _from_raw(build: Callable[[Warehouse], DataFrame], dense_ids: bool = False) -> Query:
+    """Over raw rows, with all layers that are needed in one plan."""
     return lambda spark, folder: build(sample(spark, folder, dense_ids))
 
 
 def _eod(columns: Callable[[], list[Column]]) -> Query:
-    return _on(lambda t: t["raw_eod_activities"].select(SEQ, *columns()))
+    return _from_raw(lambda t: t["raw_eod_activities"].select(SEQ, *columns()))
 
 
 def _lms(columns: Callable[[], list[Column]]) -> Query:
-    return _on(lambda t: t["raw_lms"].select(SEQ, *columns()))
+    return _from_raw(lambda t: t["raw_lms"].select(SEQ, *columns()))
 
 
 def _cleaned(columns: Callable[[], list[Column]]) -> Query:
-    return _on(lambda t: t["lms_clean"].select(SEQ, *columns()))
+    return _from_raw(lambda t: t["lms_clean"].select(SEQ, *columns()))
 
 
 def _c(name: str) -> Column:
@@ -190,7 +209,7 @@ def _cleaning() -> dict[str, Query]:
         "c6_hours": _eod(lambda: [numbers.parse_number(_c("Hours")).alias("hours")]),
         "c7_outlier_flag": _eod(_outliers),
         "c8_activity": _eod(lambda: [text.non_blank(_c("Activity")).alias("activity")]),
-        "c9_clean_eod": _on(lambda t: t["eod_clean"]),
+        "c9_clean_eod": _from_raw(lambda t: t["eod_clean"]),
         "c10_course_name": _lms(
             lambda: [lookups.course_name(_c("course_key"), _c("Course Name")).alias("course_name")]
         ),
@@ -201,16 +220,16 @@ def _cleaning() -> dict[str, Query]:
         "c13_fraction_triples": _lms(_triples),
         "c14_status": _lms(lambda: [lookups.status(_c("Overall Status")).alias("overall_status")]),
         "c15_mentor_text": _lms(lambda: [text.strip(_c("Mentor Name")).alias("mentor_name_raw")]),
-        "c16_clean_lms": _on(lambda t: t["lms_clean"]),
-        "c17_explode_mentors": _on(lambda t: t["mentors"]),
+        "c16_clean_lms": _from_raw(lambda t: t["lms_clean"]),
+        "c17_explode_mentors": _from_raw(lambda t: t["mentors"]),
         "c18_name_parts": _lms(_name_parts),
-        "c19_activity_category": _on(_categories),
-        "c20_calendar": _on(_calendar),
-        "c21_week_label": _on(_week_labels),
+        "c19_activity_category": _from_raw(_categories),
+        "c20_calendar": _from_raw(_calendar),
+        "c21_week_label": _from_raw(_week_labels),
         "c22_round_coalesce": _cleaned(_rounded),
         "c23_clip": _cleaned(lambda: [numbers.at_least(F.col("progress_pct"), 1).alias("tile")]),
         "c24_presentable": _cleaned(_plain_cells),
-        "c25_principal_key": _on(
+        "c25_principal_key": _from_raw(
             lambda t: t["dim_intern"].select(
                 "intern_id", text.principal_key(F.col("full_name")).alias("login")
             )
@@ -273,7 +292,7 @@ def _joins() -> dict[str, Query]:
 
 def _layers() -> dict[str, Query]:
     def table(name: str, dense_ids: bool = False) -> Query:
-        return _on(lambda t: t[name], dense_ids)
+        return _from_raw(lambda t: t[name], dense_ids)
 
     return {
         "w1_dim_intern": table("dim_intern"),
@@ -292,7 +311,7 @@ def _layers() -> dict[str, Query]:
         "q1_row_counts": _on(quality.row_counts),
         "q2_null_counts": _on(lambda t: quality.null_counts(t["fact_lms_progress"])),
         "q3_outlier_counts": _on(quality.outlier_counts),
-        "q4_cleaning_counts": _on(lambda t: quality.cleaning_counts(t["eod_clean"])),
+        "q4_cleaning_counts": _from_raw(lambda t: quality.cleaning_counts(t["eod_clean"])),
     }
 
 
@@ -322,7 +341,7 @@ def _dashboard() -> dict[str, Query]:
         "a22_mentor_names": _on(d.mentor_names),
         "a22_intern_names": _on(d.intern_names),
         "a23_principal": _on(lambda t: d.principal(t, " Customer000000008 ", "Intern")),
-        "n1_dense_ids": _on(lambda t: t["fact_eod_log"].select("log_id", "intern_id"), True),
+        "n1_dense_ids": _from_raw(lambda t: t["fact_eod_log"].select("log_id", "intern_id"), True),
         "n2_keep_first": _on(
             lambda t: keep_first(t["lms_clean"], ["intern_id"], [SEQ], ["course_name", "overall_status"])
         ),
@@ -366,7 +385,7 @@ def _ingestion() -> dict[str, Query]:
         query.awaitTermination()
         return read_raw(spark, database, EOD_TABLE)
 
-    return {"s5_s6_bronze_upsert": _on(upserted), "r1_bronze_stream": streamed}
+    return {"s5_s6_bronze_upsert": _from_raw(upserted), "r1_bronze_stream": streamed}
 
 
 def _set_operations() -> dict[str, Query]:
@@ -387,10 +406,10 @@ def _set_operations() -> dict[str, Query]:
         return t["eod_clean"].select(*people).unionByName(t["lms_clean"].select(*people[::-1]))
 
     return {
-        "u1_except": _on(lambda t: new_rows(staging(t), target(t))),
-        "u1_except_by_key": _on(by_key),
-        "u2_union_all": _on(union),
-        "u3_distinct": _on(lambda t: t["mentors"].select("mentor_name", "course_key").distinct()),
+        "u1_except": _from_raw(lambda t: new_rows(staging(t), target(t))),
+        "u1_except_by_key": _from_raw(by_key),
+        "u2_union_all": _from_raw(union),
+        "u3_distinct": _from_raw(lambda t: t["mentors"].select("mentor_name", "course_key").distinct()),
     }
 
 

@@ -64,27 +64,95 @@ def round_half_even(c: Column, digits: int) -> Column:
     return F.rint(c * F.lit(scale)) / F.lit(scale)
 
 
-# Sums of doubles depend on their order; sums of decimals do not. Values are summed to nine
-# places after the point. Those too large for that stay doubles: next to them no place matters.
-LARGE = 1e15
-
-
-def small_part(c: Column) -> Column:
-    return F.when(F.abs(c) < LARGE, c).cast("decimal(28,9)")
-
-
-def large_part(c: Column) -> Column:
-    return F.when(F.abs(c) >= LARGE, c)
-
-
-def merged_sum(small: Column, large: Column) -> Column:
-    """Sum of both parts, or of partial sums of them; null without values."""
-    s, g = F.sum(small).cast("double"), F.sum(large)
-    return F.coalesce(s + g, s, g)
+# Sums of doubles depend on their order; sums of whole numbers do not. A value is cut into
+# whole numbers of 62 bits, those of its integer part and of two steps of its fraction, and
+# each of them into pieces of 20 to 21 bits, whose sums stay exact for 2^42 rows. The pieces
+# are put together when all rows are summed, and the exact total is rounded once. Beside them
+# lie plain sums of what they do not reach: values of 2^62 and more, and bits below 2^-124.
+STEP = float(2**62)
+LOW, HIGH = 21, 42
+MASK = (1 << LOW) - 1
+PIECES = 3
+PARTS = [*[f"{part}{piece}" for part in ("whole", "fine", "finer") for piece in range(PIECES)], "rest", "large"]
+
+
+def _long(x: int) -> Column:
+    return F.lit(x).cast("bigint")
+
+
+def _pieces(whole: Column) -> list[Column]:
+    """The lowest 21 bits, the 21 bits above them, and the rest with the sign."""
+    return [whole.bitwiseAND(_long(MASK)), F.shiftright(whole, LOW).bitwiseAND(_long(MASK)), F.shiftright(whole, HIGH)]
+
+
+def _cut(c: Column) -> list[Column]:
+    """All parts of a value, in the order of ``PARTS``; every step is exact."""
+    near = F.when(F.abs(c) < STEP, c)
+    whole = near.cast("bigint")
+    scaled = (near - whole.cast("double")) * F.lit(STEP)
+    fine = scaled.cast("bigint")
+    scaled_again = (scaled - fine.cast("double")) * F.lit(STEP)
+    finer = scaled_again.cast("bigint")
+    rest = (scaled_again - finer.cast("double")) * F.lit(STEP**-2)
+    return [*_pieces(whole), *_pieces(fine), *_pieces(finer), rest, F.when(F.abs(c) < STEP, None).otherwise(c)]
+
+
+def sum_parts(c: Column, name: str) -> list[Column]:
+    """Aggregates of one group, named after ``name``, to be added up by ``summed_parts``."""
+    return [F.sum(x).alias(f"{name}_{part}") for x, part in zip(_cut(c), PARTS, strict=True)]
+
+
+def merged_parts(name: str) -> list[Column]:
+    """Aggregates that bring groups of ``sum_parts`` together, under the same names."""
+    return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in PARTS]
+
+
+def summed_parts(name: str, where: Column | None = None) -> Column:
+    """Exact sum over groups that ``sum_parts`` reduced, or those with ``where``; null without values."""
+    columns = [F.col(f"{name}_{part}") for part in PARTS]
+    return _total([F.sum(c if where is None else F.when(where, c)) for c in columns])
+
+
+def _total(sums: list[Column]) -> Column:
+    """Carry from the lowest piece up, then round the whole once to the nearest double."""
+    *pieces, rest, large = sums
+    digits, carry = [], _long(0)
+    for k, piece in enumerate(pieces[:-1]):
+        bits = 62 - HIGH if k % PIECES == PIECES - 1 else LOW
+        # The carry goes from finer to fine to whole, so the parts are walked from the last.
+        part, place = divmod(k, PIECES)
+        at = (2 - part) * PIECES + place
+        value = pieces[at] + carry
+        digits.append(value.bitwiseAND(_long((1 << bits) - 1)))
+        carry = F.shiftright(value, bits)
+    top = pieces[PIECES - 1] + carry
+    finer, fine = (_joined(digits[k : k + PIECES]) for k in (0, PIECES))
+    low = _joined(digits[2 * PIECES :])
+    exact = "decimal(38,0)"
+    whole = top.cast(exact) * _long(1 << HIGH) + low
+
+    def nearest(number: Column, more: Column, scale: float) -> Column:
+        """``number`` and a little above it if ``more``; an odd last bit stands for that little."""
+        return (number * F.lit(2) + more.cast("int")).cast("double") * F.lit(scale / 2)
+
+    wide = whole.cast(exact) * _long(1 << 62) + fine
+    widest = wide.cast(exact) * _long(1 << 62) + finer
+    total = (
+        F.when(F.abs(whole) >= _long(1 << 56), nearest(whole, (fine > 0) | (finer > 0), 1.0))
+        .when(F.abs(wide) >= _long(1 << 56), nearest(wide, finer > 0, STEP**-1))
+        .otherwise(widest.cast("double") * F.lit(STEP**-2))
+    )
+    total = total + rest
+    return F.coalesce(total + large, total, large)
+
+
+def _joined(digits: list[Column]) -> Column:
+    return digits[0] + F.shiftleft(digits[1], LOW) + (F.shiftleft(digits[2], HIGH) if len(digits) == PIECES else _long(0))
 
 
 def stable_sum(c: Column) -> Column:
-    return merged_sum(small_part(c), large_part(c))
+    """The exact sum, rounded once; null without values, the same for every order and partitioning."""
+    return _total([F.sum(x) for x in _cut(c)])
 
 
 def stable_avg(c: Column) -> Column:

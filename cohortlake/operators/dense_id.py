@@ -9,6 +9,7 @@ from ..session import ensure_checkpoint_dir
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in its lower 33 bits
 BLOCK_BITS = 18  # about 260,000 rows at most are numbered together
+GROUP_BITS = 11  # so many blocks, as a power of two, are added up together
 
 
 def range_sorted(df: DataFrame, order: list[str], partitions: int | None = None) -> DataFrame:
@@ -47,13 +48,8 @@ def with_dense_id(df: DataFrame, order: list[str], name: str, block_bits: int =
     blocked = df.withColumn("_block", F.shiftright(seq, block_bits))
     keys = [*outer, "_block"]
     within = Window.partitionBy(*keys).orderBy(seq)
-    # One row per block of 2^block_bits numbers.
-    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        blocked.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
+    blocks = blocked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    offsets = with_sums_before(blocks, keys, "_rows", "_offset").drop("_rows")
     return (
         blocked.withColumn("_row", F.row_number().over(within))
         .join(offsets, keys)
@@ -62,6 +58,33 @@ def with_dense_id(df: DataFrame, order: list[str], name: str, block_bits: int =
     )
 
 
+def with_sums_before(df: DataFrame, order: list[str], size: str, name: str, group_bits: int = GROUP_BITS) -> DataFrame:
+    """Append the sum of ``size`` over all rows that come before in the order of ``order``.
+
+    In two levels: within groups of 2^``group_bits`` numbers of the last order column, and
+    over the totals of the groups. 10^12 rows in blocks of 2^18 give some 4 million blocks,
+    but only some 2,000 groups; no window sees more rows than a group or all totals have.
+    The last order column must be a whole number, unique within the columns before it,
+    which must have few values and no nulls.
+    """
+    *outer, seq = order
+    grouped = df.withColumn("_group", F.shiftright(seq, group_bits))
+    groups = [*outer, "_group"]
+    inner = Window.partitionBy(*groups).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per group.
+    before = Window.orderBy(*groups).rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        grouped.groupBy(*groups).agg(F.sum(size).alias("_size"))
+        .select(*groups, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    )
+    return (
+        grouped.withColumn("_inner", F.coalesce(F.sum(size).over(inner), F.lit(0)))
+        .join(totals, groups)
+        .withColumn(name, F.col("_before") + F.col("_inner"))
+        .drop("_group", "_inner", "_before")
+    )
+
+
 def with_running_total(
     df: DataFrame, order: list[str], weight: str, name: str, partitions: int | None = None
 ) -> DataFrame:

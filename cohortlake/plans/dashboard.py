@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import week_label
 from ..functions.numbers import (
-    at_least, large_part, merged_sum, round_half_away, small_part, stable_avg, stable_sum,
+    at_least, round_half_away, stable_avg, stable_sum, sum_parts, summed_parts,
 )
-from ..functions.text import principal_key
+from ..functions.text import principal_key, short_id
 from ..operators.quantiles import box_stats, histogram
 from ..operators.skew import join_one_per_key
 from ..operators.topk import asc, desc, top, top_by_total
-from .gold import Tables
+from .gold import Tables, eod_groups, lms_groups
 
 TREND_PEOPLE = 3
 AT_RISK_BELOW = 50
@@ -37,7 +37,7 @@ def _one_row(parts: list[DataFrame]) -> DataFrame:
 
 
 def _eod_figures(per_person: DataFrame) -> DataFrame:
-    total = merged_sum(F.col("h_small"), F.col("h_large"))
+    total = summed_parts("h")
     return per_person.agg(
         F.coalesce(round_half_away(total, 1), F.lit(0.0)).alias("total_hours"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_eod"),
@@ -52,33 +52,19 @@ def _lms_figures(per_person: DataFrame) -> DataFrame:
     )
 
 
-def _eod_per_person(t: Tables) -> DataFrame:
-    h = F.col("hours")
-    return t["fact_eod_log"].groupBy("intern_id").agg(
-        F.sum(small_part(h)).alias("h_small"),
-        F.sum(large_part(h)).alias("h_large"),
-        F.count(F.lit(1)).alias("n"),
-    )
-
-
 def _lms_per_person(t: Tables) -> DataFrame:
-    return t["fact_lms_progress"].groupBy("intern_id").agg(
-        F.sum("progress_pct").alias("progress"),
-        F.count("progress_pct").alias("n_progress"),
-        F.count(F.when(F.col("overall_status") == "Completed", 1)).alias("done"),
-    )
+    return lms_groups(t, "intern_id").select("intern_id", "progress", "n_progress", F.col("completed").alias("done"))
 
 
 def kpis(t: Tables) -> DataFrame:
     """Figures over everything: one aggregate per fact table."""
-    h = F.col("hours")
     done = F.count(F.when(F.col("overall_status") == "Completed", 1))
     return _one_row(
         [
             t["dim_intern"].agg(F.count("intern_id").alias("total_interns")),
-            t["fact_eod_log"].agg(
-                F.coalesce(round_half_away(stable_sum(h), 1), F.lit(0.0)).alias("total_hours"),
-                F.count(F.lit(1)).alias("total_eod"),
+            eod_groups(t).agg(
+                F.coalesce(round_half_away(summed_parts("h"), 1), F.lit(0.0)).alias("total_hours"),
+                F.coalesce(F.sum("n"), F.lit(0)).alias("total_eod"),
             ),
             t["fact_lms_progress"].agg(
                 F.coalesce(round_half_away(F.avg("progress_pct"), 1), F.lit(0.0)).alias("avg_progress"),
@@ -91,14 +77,20 @@ def kpis(t: Tables) -> DataFrame:
 def _kpis_of(t: Tables, people: DataFrame) -> list[DataFrame]:
     """Facts are reduced per person first, so the semi-join meets one row per person."""
     return [
-        _eod_figures(_eod_per_person(t).join(people, "intern_id", "left_semi")),
+        _eod_figures(eod_groups(t, "intern_id").join(people, "intern_id", "left_semi")),
         _lms_figures(_lms_per_person(t).join(people, "intern_id", "left_semi")),
     ]
 
 
 def mentee_ids(t: Tables, mentor: str) -> DataFrame:
-    chosen = t["dim_mentor"].filter(F.col("mentor_name") == mentor)
-    return t["bridge_intern_mentor"].join(chosen, "mentor_id").select("intern_id").distinct()
+    """The mentor id is a function of the name, so both tables are filtered where they are read.
+
+    The join left over, with one row or none, is the check of the name as it is written.
+    """
+    mine = F.col("mentor_id") == short_id(F.lit(mentor))
+    chosen = t["dim_mentor"].filter(mine & (F.col("mentor_name") == mentor)).select("mentor_id")
+    rows = t["bridge_intern_mentor"].filter(mine).select("intern_id", "mentor_id").distinct()
+    return rows.join(chosen, "mentor_id", "left_semi").select("intern_id")
 
 
 def kpis_of_mentor(t: Tables, mentor: str) -> DataFrame:
@@ -120,8 +112,7 @@ def hours_histogram(t: Tables, bins: int = 30) -> DataFrame:
 
 
 def hours_by_activity(t: Tables) -> DataFrame:
-    h = F.col("hours")
-    per_id = t["fact_eod_log"].groupBy("activity_id").agg(stable_sum(h).alias("total_hours"))
+    per_id = eod_groups(t, "activity_id").groupBy("activity_id").agg(summed_parts("h").alias("total_hours"))
     return (
         per_id.join(t["dim_activity"], "activity_id")
         .select("activity_name", "total_hours")
@@ -233,14 +224,13 @@ def mentee_summary(t: Tables, mentor: str) -> DataFrame:
     per_name = mentee_progress(t, mentor).groupBy("full_name").agg(
         F.sum("progress_pct").alias("p"),
         F.count("progress_pct").alias("np"),
-        F.sum(small_part(kc)).alias("kc_small"),
-        F.sum(large_part(kc)).alias("kc_large"),
+        *sum_parts(kc, "kc"),
         F.count(kc).alias("nkc"),
     )
     return per_name.agg(
         F.count("full_name").alias("mentees"),
         F.try_divide(F.sum("p").cast("double"), F.sum("np")).alias("avg_progress"),
-        F.try_divide(merged_sum(F.col("kc_small"), F.col("kc_large")), F.sum("nkc")).alias("avg_kc"),
+        F.try_divide(summed_parts("kc"), F.sum("nkc")).alias("avg_kc"),
     )
 
 
@@ -273,12 +263,14 @@ def mentees_at_risk(t: Tables, mentor: str, below: int = AT_RISK_BELOW) -> DataF
 def kc_ranking(t: Tables, mentor: str, threshold: float = KC_THRESHOLD) -> DataFrame:
     """Knowledge checks with the person's mean, lowest mean first.
 
-    The mean is a grouped aggregate joined back, not a window over each person's rows.
+    The means come from the counts per person and course; joined to the rows they also pick the mentees.
     """
-    rows = mentee_progress(t, mentor).filter(F.col("kc_pct").isNotNull())
-    means = rows.groupBy("full_name").agg(stable_avg(F.col("kc_pct")).alias("avg_kc"))
+    people = mentee_ids(t, mentor)
+    known = lms_groups(t, "intern_id", "course_id").filter(F.col("course_id").isNotNull()).join(people, "intern_id", "left_semi")
+    means = known.groupBy("intern_id").agg(F.try_divide(summed_parts("kc_pct"), F.sum("n_kc_pct")).alias("avg_kc"))
+    rows = t["gold_course_progress"].filter(F.col("kc_pct").isNotNull())
     return (
-        join_one_per_key(rows, means, "full_name")
+        join_one_per_key(rows, means, "intern_id")
         .select(
             "full_name", "course_name", "kc_pct", "avg_kc",
             (F.col("kc_pct") < threshold).alias("below_threshold"),

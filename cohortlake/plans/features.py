@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import is_weekend
-from ..functions.numbers import large_part, merged_sum, small_part
+from ..functions.numbers import merged_parts, summed_parts
 from ..operators.quantiles import exact_medians
 from ..operators.skew import join_one_per_key
-from .gold import Tables, course_progress, lms_by_intern
+from .gold import Tables, course_progress, eod_groups, lms_by_intern
 
 # Domain-hours feature to activity category.
 DOMAINS = {
@@ -28,28 +28,30 @@ PERSON_FEATURES = [
 
 
 def _per_activity(t: Tables) -> DataFrame:
-    """Hours per person, activity and kind of day: what all hour features are made of."""
-    h = F.col("hours")
+    """Hours per person, activity and kind of day, with the category: what all hour features are made of.
+
+    The category is joined to aggregated rows; what has no category keeps a null.
+    """
     weekend = F.coalesce(is_weekend(F.col("date")), F.lit(False))
-    return t["fact_eod_log"].groupBy("intern_id", "activity_id", weekend.alias("weekend")).agg(
-        F.sum(small_part(h)).alias("h_small"), F.sum(large_part(h)).alias("h_large")
-    )
+    rows = eod_groups(t, "intern_id", "activity_id", "date")
+    reduced = rows.groupBy("intern_id", "activity_id", weekend.alias("weekend")).agg(*merged_parts("h"))
+    categories = t["dim_activity"].select("activity_id", "activity_category")
+    return join_one_per_key(reduced, categories, "activity_id", "left")
 
 
 def _hours_where(condition: Column) -> Column:
-    small, large = (F.when(condition, F.col(name)) for name in ("h_small", "h_large"))
-    return F.coalesce(merged_sum(small, large), F.lit(0.0))
+    return F.coalesce(summed_parts("h", condition), F.lit(0.0))
 
 
-def domain_hours(t: Tables) -> DataFrame:
-    """Hours per person in the four domains; the category is joined to aggregated rows."""
+def _domains() -> list[Column]:
     category = F.col("activity_category")
-    categories = t["dim_activity"].select("activity_id", "activity_category")
-    return (
-        join_one_per_key(_per_activity(t), categories, "activity_id")
-        .groupBy("intern_id")
-        .agg(*[_hours_where(category == c).alias(name) for name, c in DOMAINS.items()])
-    )
+    return [_hours_where(category == c).alias(name) for name, c in DOMAINS.items()]
+
+
+def domain_hours(t: Tables) -> DataFrame:
+    """Hours per person in the four domains."""
+    rows = _per_activity(t).where(F.col("activity_category").isNotNull())
+    return rows.groupBy("intern_id").agg(*_domains())
 
 
 def _zero_filled(df: DataFrame) -> DataFrame:
@@ -70,17 +72,16 @@ def course_features(t: Tables, zero_missing_test: bool = True) -> DataFrame:
 
 def person_features(t: Tables) -> DataFrame:
     """One row per person; every joined frame has one row per person as well."""
-    everything = F.lit(True)
     hours = _per_activity(t).groupBy("intern_id").agg(
-        _hours_where(everything).alias("total_hours"),
+        _hours_where(F.lit(True)).alias("total_hours"),
         F.countDistinct("activity_id").alias("distinct_activities"),
         _hours_where(F.col("weekend")).alias("weekend_hours"),
+        *_domains(),
     )
     progress = lms_by_intern(t).withColumnRenamed("lms_rows", "total_activity_entries")
     return _zero_filled(
         t["dim_intern"].select("intern_id", "full_name")
         .join(hours, "intern_id", "left")
-        .join(domain_hours(t), "intern_id", "left")
         .join(progress, "intern_id", "left")
     )
 

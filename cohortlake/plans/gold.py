@@ -12,25 +12,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..functions.numbers import large_part, merged_sum, small_part, stable_avg, stable_sum
+from ..functions.numbers import merged_parts, sum_parts, summed_parts
 from ..operators.skew import join_one_per_key
 from ..schemas import COLUMNS
 
 Tables = Mapping[str, DataFrame]
 
 
-def _hour_parts() -> list[Column]:
+LMS_SCORES = ("kc_pct", "test_pct", "assignment_ratio")
+
+
+def eod_groups(t: Tables, *keys: str) -> DataFrame:
+    """``n`` entries, ``n_hours`` with hours and exact parts of their sum, per group of the daily log.
+
+    Keys are among person, date and activity. Where the counts per day are stored as
+    ``eod_days``, they are added up; else the facts are.
+    """
     h = F.col("hours")
-    return [
-        F.count(F.lit(1)).alias("n"),
-        F.count(h).alias("n_hours"),
-        F.sum(small_part(h)).alias("h_small"),
-        F.sum(large_part(h)).alias("h_large"),
+    if "eod_days" in t:
+        counts = [F.sum("n").alias("n"), F.sum("n_hours").alias("n_hours"), *merged_parts("h")]
+        return t["eod_days"].groupBy(*keys).agg(*counts)
+    counts = [F.count(F.lit(1)).alias("n"), F.count(h).alias("n_hours"), *sum_parts(h, "h")]
+    return t["fact_eod_log"].groupBy(*keys).agg(*counts)
+
+
+def lms_groups(t: Tables, *keys: str) -> DataFrame:
+    """Rows, progress, states and exact parts of the scores per group of the progress facts; keys are person and course."""
+    status = F.col("overall_status")
+    sums = ("lms_rows", "progress", "n_progress", "completed", "not_started", *[f"n_{c}" for c in LMS_SCORES])
+    if "lms_people" in t:
+        counts = [*[F.sum(c).alias(c) for c in sums], *[part for c in LMS_SCORES for part in merged_parts(c)]]
+        return t["lms_people"].groupBy(*keys).agg(*counts)
+    counts = [
+        F.count(F.lit(1)).alias("lms_rows"), F.sum("progress_pct").alias("progress"), F.count("progress_pct").alias("n_progress"),
+        F.sum((status == "Completed").cast("bigint")).alias("completed"), F.sum((status == "Not Started").cast("bigint")).alias("not_started"),
+        *[F.count(c).alias(f"n_{c}") for c in LMS_SCORES], *[part for c in LMS_SCORES for part in sum_parts(F.col(c), c)],
     ]
+    return t["fact_lms_progress"].groupBy(*keys).agg(*counts)
 
 
 def _total_hours() -> Column:
-    return merged_sum(F.col("h_small"), F.col("h_large"))
+    return summed_parts("h")
 
 
 def _avg_hours() -> Column:
@@ -44,9 +66,7 @@ def weekly_hours(t: Tables) -> DataFrame:
     the date, so they are computed here instead of joined on a key of few values.
     """
     day = F.col("date")
-    daily = (
-        t["fact_eod_log"].filter(day.isNotNull()).groupBy("intern_id", "date").agg(*_hour_parts())
-    )
+    daily = eod_groups(t, "intern_id", "date").filter(day.isNotNull())
     weekly = daily.groupBy(
         "intern_id",
         dates.year(day).alias("year"),
@@ -63,15 +83,10 @@ def weekly_hours(t: Tables) -> DataFrame:
 
 
 def activity_summary(t: Tables) -> DataFrame:
-    hours = F.col("hours")
     per_activity = (
-        t["fact_eod_log"].filter(F.col("activity_id").isNotNull())
+        eod_groups(t, "intern_id", "activity_id").filter(F.col("activity_id").isNotNull())
         .groupBy("intern_id", "activity_id")
-        .agg(
-            F.count(F.lit(1)).alias("activity_count"),
-            stable_sum(hours).alias("total_hours"),
-            stable_avg(hours).alias("avg_hours"),
-        )
+        .agg(F.sum("n").alias("activity_count"), _total_hours().alias("total_hours"), _avg_hours().alias("avg_hours"))
     )
     people = t["dim_intern"].select("intern_id", "full_name")
     named = join_one_per_key(per_activity, t["dim_activity"], "activity_id")
@@ -88,10 +103,7 @@ def course_progress(t: Tables) -> DataFrame:
 
 
 def eod_by_intern(t: Tables) -> DataFrame:
-    per_activity = (
-        t["fact_eod_log"].groupBy("intern_id", "activity_id").agg(*_hour_parts())
-    )
-    return per_activity.groupBy("intern_id").agg(
+    return eod_groups(t, "intern_id", "activity_id").groupBy("intern_id").agg(
         _total_hours().alias("total_hours"),
         F.sum("n").alias("total_activity_entries"),
         F.count("activity_id").alias("distinct_activities"),
@@ -99,14 +111,16 @@ def eod_by_intern(t: Tables) -> DataFrame:
 
 
 def lms_by_intern(t: Tables) -> DataFrame:
-    done = F.when(F.col("overall_status") == "Completed", 1)
-    return t["fact_lms_progress"].groupBy("intern_id").agg(
-        F.avg("progress_pct").alias("avg_progress_pct"),
-        stable_avg(F.col("kc_pct")).alias("avg_kc_pct"),
-        stable_avg(F.col("test_pct")).alias("avg_test_pct"),
-        F.count(done).alias("courses_completed"),
-        stable_avg(F.col("assignment_ratio")).alias("avg_assignment_ratio"),
-        F.count("course_id").alias("lms_rows"),
+    def mean(c: str) -> Column:
+        return F.try_divide(summed_parts(c), F.sum(f"n_{c}"))
+
+    return lms_groups(t, "intern_id", "course_id").groupBy("intern_id").agg(
+        F.try_divide(F.sum("progress").cast("double"), F.sum("n_progress")).alias("avg_progress_pct"),
+        mean("kc_pct").alias("avg_kc_pct"),
+        mean("test_pct").alias("avg_test_pct"),
+        F.sum("completed").alias("courses_completed"),
+        mean("assignment_ratio").alias("avg_assignment_ratio"),
+        F.sum(F.when(F.col("course_id").isNotNull(), F.col("lms_rows")).otherwise(0)).alias("lms_rows"),
     )
 
 
@@ -127,17 +141,7 @@ def mentor_workload(t: Tables) -> DataFrame:
     Progress rows are reduced to one per person and course before they meet the bridge,
     so several rows of a person do not multiply with the person's mentors.
     """
-    status = F.col("overall_status")
-    per_course = (
-        t["fact_lms_progress"]
-        .groupBy("intern_id", "course_id")
-        .agg(
-            F.sum("progress_pct").alias("progress"),
-            F.count("progress_pct").alias("n_progress"),
-            F.sum((status == "Completed").cast("bigint")).alias("completed"),
-            F.sum((status == "Not Started").cast("bigint")).alias("not_started"),
-        )
-    )
+    per_course = lms_groups(t, "intern_id", "course_id")
     per_mentor = (
         t["bridge_intern_mentor"].join(per_course, ["intern_id", "course_id"])
         .groupBy("mentor_id", "course_id")

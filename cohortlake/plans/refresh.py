@@ -1,20 +1,18 @@
-"""The refresh job: Bronze upsert, Silver and Gold rebuild, training. Stops at the first failure."""
+"""The refresh job: Bronze upsert, Silver and Gold where rows are new, training. Stops at the first failure."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from ..operators.cleaning import HOURS_HIGH, HOURS_LOW
-from ..schemas import GOLD_TABLES, SILVER_TABLES
-from ..sources.bronze import EOD_TABLE, LMS_TABLE, read_bronze, write_bronze
+from ..sources.bronze import EOD_TABLE, LMS_TABLE, last_load, table_exists, touched_parts, write_bronze
 from ..sources.registry import Registry, ingest_all_lms, ingest_eod
 from ..sources.results import write_result
-from . import features, gold, models
+from . import features, layers, models
 from .warehouse import Warehouse
 
 
@@ -35,38 +33,63 @@ def ingest(spark: SparkSession, registry: Registry, dbs: Databases) -> None:
     write_bronze(spark, ingest_all_lms(spark, registry), dbs.bronze, LMS_TABLE)
 
 
-# Daily facts lie in one partition per day, so that questions about a day or week read no more.
-PARTITIONED = {"fact_eod_log": "date"}
-
-
-def write_tables(frames: Mapping[str, DataFrame], names: list[str], database: str) -> None:
-    for name in names:
-        df, day = frames[name], PARTITIONED.get(name)
-        if day:
-            # Rows of a day are brought together for large files; a crowded day is split again.
-            writer = df.hint("rebalance", day).write.partitionBy(day)
-        else:
-            writer = df.write
-        writer.format("parquet").mode("overwrite").saveAsTable(f"{database}.{name}")
-
-
 def build_warehouse(
-    spark: SparkSession, dbs: Databases, low: float = HOURS_LOW, high: float = HOURS_HIGH
+    spark: SparkSession, dbs: Databases, low: float = HOURS_LOW, high: float = HOURS_HIGH, everything: bool = False
 ) -> Warehouse:
-    """Rebuild Silver from Bronze and Gold from the stored Silver tables.
+    """Bring Silver and Gold up to date with Bronze: only months and courses with new rows are read.
 
-    Gold reads tables, not plans: sizes are then known, so small dimensions broadcast by
-    the planner's own check, and nothing is computed twice.
+    The ledger of Bronze tells which those are. They are written down before anything is
+    changed and struck out when all tables are done, so a run that broke off is made up for
+    by the next one; writing a partition again gives the same rows.
     """
-    raw_eod = read_bronze(spark, dbs.bronze, EOD_TABLE)
-    raw_lms = read_bronze(spark, dbs.bronze, LMS_TABLE)
-    derived = Warehouse.from_raw(raw_eod, raw_lms, low, high, dense_ids=True)
-    write_tables(derived, SILVER_TABLES, dbs.silver)
-    stored = {t: spark.table(f"{dbs.silver}.{t}") for t in SILVER_TABLES}
-    write_tables({n: build(stored) for n, build in gold.BUILDERS.items()}, GOLD_TABLES, dbs.gold)
+    loads = {kind: last_load(spark, dbs.bronze, kind) for kind in (EOD_TABLE, LMS_TABLE)}
+    state = State(spark, dbs.silver)
+    done = {} if everything else state.loads()
+    touched = {
+        kind: None if kind not in done else touched_parts(spark, dbs.bronze, kind, done[kind]) for kind in loads
+    }
+    touched = state.with_unfinished(touched)
+    state.begin(touched)
+    layers.refresh_layers(spark, layers.BronzeSource(spark, dbs.bronze), dbs.silver, dbs.gold, touched, low, high, also=state.begin)
+    state.finish(loads)
     return Warehouse.from_catalog(spark, dbs.silver, dbs.gold)
 
 
+class State:
+    """Which loads the layers hold, and which partitions a run has begun to rewrite: a table of a few lines a run."""
+
+    def __init__(self, spark: SparkSession, database: str):
+        self._spark, self._table = spark, f"{database}.refresh_state"
+
+    def _lines(self) -> list[dict]:
+        if not table_exists(self._spark, self._table):
+            return []
+        return [json.loads(r["line"]) for r in self._spark.table(self._table).orderBy("at").collect()]
+
+    def _add(self, line: dict) -> None:
+        rows = [(len(self._lines()), json.dumps(line))]
+        self._spark.createDataFrame(rows, "at long, line string").coalesce(1).write.format("parquet").mode("append").saveAsTable(self._table)
+
+    def loads(self) -> dict[str, int]:
+        finished = [line["loads"] for line in self._lines() if "loads" in line]
+        return finished[-1] if finished else {}
+
+    def with_unfinished(self, touched: dict[str, list[str] | None]) -> dict[str, list[str] | None]:
+        out = dict(touched)
+        for line in reversed(self._lines()):
+            if "loads" in line:
+                break
+            for kind, parts in line["touched"].items():
+                out[kind] = None if parts is None or out[kind] is None else sorted({*out[kind], *parts})
+        return out
+
+    def begin(self, touched: dict[str, list[str] | None]) -> None:
+        self._add({"touched": touched})
+
+    def finish(self, loads: dict[str, int]) -> None:
+        self._add({"loads": loads})
+
+
 @dataclass(frozen=True)
 class Trained:
     classifier: models.Classifier
@@ -79,7 +102,7 @@ def train(warehouse: Warehouse, folder: str, trees: int = 100, depth: int = 30)
 
     The feature frames are stored first: every model and result reads them again.
     """
-    spark = SparkSession.getActiveSession()
+    spark = warehouse["dim_intern"].sparkSession
     write_result(features.course_features(warehouse), folder, "course_features")
     write_result(features.person_features(warehouse), folder, "person_features")
     courses = spark.read.parquet(f"{folder}/course_features.parquet")
@@ -95,14 +118,13 @@ def train(warehouse: Warehouse, folder: str, trees: int = 100, depth: int = 30)
         models.regression_results(trained.regression, courses), folder, "regression_results"
     )
     write_result(models.pca_results(people, assigned), folder, "pca_results")
-    save_models(trained, folder)
+    save_models(spark, trained, folder)
     return trained
 
 
-def save_models(trained: Trained, folder: str) -> None:
+def save_models(spark: SparkSession, trained: Trained, folder: str) -> None:
     for name in ("classifier", "clustering", "regression"):
         getattr(trained, name).model.write().overwrite().save(f"{folder}/{name}")
-    spark = SparkSession.getActiveSession()
     facts = {
         "labels": trained.classifier.labels,
         "accuracy": trained.classifier.accuracy,

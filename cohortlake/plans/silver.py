@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, lookups, text
-from ..operators.dedup import keep_first
 from ..operators.dense_id import with_dense_id
 from ..schemas import COLUMNS, SEQ
 
@@ -21,39 +20,48 @@ def _named(df: DataFrame) -> DataFrame:
     return df.filter(text.strip(F.col("full_name")) != "")
 
 
-def dim_intern(eod: DataFrame, lms: DataFrame) -> DataFrame:
-    """One row per person; daily logs win over progress exports, then the first row wins."""
-    from_eod = keep_first(_named(eod), ["intern_id"], [SEQ], NAME).withColumn("source", F.lit(0))
-    from_lms = (
-        keep_first(
-            _named(lms).withColumn("course_rank", lookups.course_rank(F.col("course_key"))),
-            ["intern_id"],
-            ["course_rank", SEQ],
-            ["full_name"],
-        )
-        .withColumn("first_name", text.first_name(F.col("full_name")))
-        .withColumn("last_name", text.last_name(F.col("full_name")))
-        .withColumn("source", F.lit(1))
+def eod_names(eod: DataFrame, *by: str) -> DataFrame:
+    """Ways a person is written in the daily logs, with the first row of each; ``source`` and ``course_rank`` put them first."""
+    first = _named(eod).groupBy("intern_id", *NAME, *by).agg(F.min(SEQ).alias(SEQ))
+    return first.select("intern_id", F.lit(0).alias("source"), F.lit(0).alias("course_rank"), SEQ, *NAME, *by)
+
+
+def lms_names(lms: DataFrame, *by: str) -> DataFrame:
+    """The same for progress exports, with the first row of each course."""
+    rank = lookups.course_rank(F.col("course_key")).cast("int")
+    first = _named(lms).groupBy("intern_id", rank.alias("course_rank"), "full_name", *by).agg(F.min(SEQ).alias(SEQ))
+    name = F.col("full_name")
+    return first.select(
+        "intern_id", F.lit(1).alias("source"), "course_rank", SEQ,
+        "full_name", text.first_name(name).alias("first_name"), text.last_name(name).alias("last_name"), *by,
     )
-    both = from_eod.unionByName(from_lms)
-    return (
-        both.groupBy("intern_id")
-        .agg(F.min(F.struct("source", *NAME)).alias("best"))
-        .select("intern_id", *[F.col("best")[c].alias(c) for c in NAME])
+
+
+def best_names(names: DataFrame) -> DataFrame:
+    """One row per person; daily logs win over progress exports, then the first row wins."""
+    best = F.min(F.struct("source", "course_rank", SEQ, *NAME)).alias("best")
+    return names.groupBy("intern_id").agg(best).select("intern_id", *[F.col("best")[c].alias(c) for c in NAME])
+
+
+def dim_intern(eod: DataFrame, lms: DataFrame) -> DataFrame:
+    return best_names(eod_names(eod).unionByName(lms_names(lms)))
+
+
+def course_variants(lms: DataFrame) -> DataFrame:
+    """Names of a course as they are written, with the first row, earliest start and latest end of each."""
+    return lms.groupBy("course_key", "course_name").agg(
+        F.min(SEQ).alias(SEQ), F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date")
     )
 
 
 def dim_course(lms: DataFrame) -> DataFrame:
     """One row per course key: its first name, earliest start, latest end."""
-    variants = lms.groupBy("course_key", "course_name").agg(
-        F.min(SEQ).alias("seq"), F.min("start_date").alias("s"), F.max("end_date").alias("e")
-    )
     return (
-        variants.groupBy("course_key")
+        course_variants(lms).groupBy("course_key")
         .agg(
-            F.min_by("course_name", "seq").alias("course_name"),
-            F.min("s").alias("start_date"),
-            F.max("e").alias("end_date"),
+            F.min_by("course_name", SEQ).alias("course_name"),
+            F.min("start_date").alias("start_date"),
+            F.max("end_date").alias("end_date"),
         )
         .withColumn("course_id", text.short_id(F.col("course_name")))
         .select(*COLUMNS["dim_course"])

@@ -7,9 +7,12 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cleaning import HOURS_HIGH, HOURS_LOW, clean_eod, clean_lms, explode_mentors
-from ..schemas import GOLD_TABLES, SILVER_TABLES
+from ..schemas import COLUMNS, GOLD_TABLES, SILVER_TABLES
 from . import gold, silver
 
+#: Stored beside the Silver tables: facts reduced per day and per person and course.
+REDUCED = ["eod_days", "lms_people"]
+
 
 class Warehouse(Mapping):
     """Table name to DataFrame; a table's plan is built when it is first asked for."""
@@ -29,6 +32,13 @@ class Warehouse(Mapping):
     def __len__(self) -> int:
         return len(self._builders)
 
+    def __contains__(self, name: object) -> bool:
+        return name in self._builders
+
+    def replaced(self, **frames: DataFrame) -> "Warehouse":
+        """The same tables, some of them replaced by other frames; what is derived from them follows."""
+        return Warehouse({**self._builders, **{n: lambda w, f=f: f for n, f in frames.items()}})
+
     @staticmethod
     def from_raw(
         raw_eod: DataFrame,
@@ -40,11 +50,7 @@ class Warehouse(Mapping):
         """Without ``dense_ids`` everything stays lazy and the facts lack their row id."""
         return Warehouse(
             {
-                "raw_eod_activities": lambda w: raw_eod,
-                "raw_lms": lambda w: raw_lms,
-                "eod_clean": lambda w: clean_eod(raw_eod, low, high),
-                "lms_clean": lambda w: clean_lms(raw_lms),
-                "mentors": lambda w: explode_mentors(w["lms_clean"]),
+                **_cleaned(raw_eod, raw_lms, low, high),
                 **(silver.DENSE_BUILDERS if dense_ids else silver.BUILDERS),
                 **gold.BUILDERS,
             }
@@ -54,6 +60,25 @@ class Warehouse(Mapping):
     def from_catalog(
         spark: SparkSession, silver_db: str = "silver", gold_db: str = "gold"
     ) -> "Warehouse":
-        names = {t: f"{silver_db}.{t}" for t in SILVER_TABLES}
-        names |= {t: f"{gold_db}.{t}" for t in GOLD_TABLES}
-        return Warehouse({t: lambda w, n=n: spark.table(n) for t, n in names.items()})
+        """The stored tables, with their columns in the order of the schema."""
+        def stored(database: str, name: str) -> Callable[["Warehouse"], DataFrame]:
+            if name in COLUMNS:
+                return lambda w: spark.table(f"{database}.{name}").select(*COLUMNS[name])
+            return lambda w: spark.table(f"{database}.{name}")
+
+        found = {t: stored(silver_db, t) for t in (*SILVER_TABLES, *REDUCED)}
+        return Warehouse(found | {t: stored(gold_db, t) for t in GOLD_TABLES})
+
+    def with_raw(self, raw_eod: DataFrame, raw_lms: DataFrame, low: float = HOURS_LOW, high: float = HOURS_HIGH) -> "Warehouse":
+        """Stored tables with the raw and cleaned rows they came from."""
+        return Warehouse({**_cleaned(raw_eod, raw_lms, low, high), **self._builders})
+
+
+def _cleaned(raw_eod: DataFrame, raw_lms: DataFrame, low: float, high: float) -> dict[str, Callable[[Warehouse], DataFrame]]:
+    return {
+        "raw_eod_activities": lambda w: raw_eod,
+        "raw_lms": lambda w: raw_lms,
+        "eod_clean": lambda w: clean_eod(raw_eod, low, high),
+        "lms_clean": lambda w: clean_lms(raw_lms),
+        "mentors": lambda w: explode_mentors(w["lms_clean"]),
+    }

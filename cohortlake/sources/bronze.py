@@ -1,4 +1,10 @@
-"""Bronze tables: first load keeps every row, later loads add only rows not seen before."""
+"""Bronze tables: first load keeps every row, later loads add only rows not seen before.
+
+Beside the rows lie two small tables. The key table holds each row key once, bucketed by key,
+so that a later load is compared without moving what is stored. The ledger has one line per
+load, ingested piece (the rows one task wrote) and table partition: it numbers the rows and
+tells which months or courses a load touched, without reading the rows again.
+"""
 
 from __future__ import annotations
 
@@ -8,13 +14,18 @@ from pyspark.sql import types as T
 
 from ..functions.dates import parse_eod_date
 from ..operators.cleaning import with_columns_of
-from ..operators.dedup import new_rows_by_key, row_key
+from ..operators.dedup import row_key
+from ..operators.dense_id import with_sums_before
 from ..schemas import RAW_EOD, RAW_LMS, SEQ
+from ..session import ensure_checkpoint_dir
 
 EOD_TABLE = "raw_eod_activities"
 LMS_TABLE = "raw_lms"
+LEDGER = "bronze_ledger"
 KEY = "row_key"
 PART = "bronze_part"
+BUCKETS = 32  # files of keys per table partition; more for partitions of very many rows
+_ROW_BITS = 33  # a row's ingestion number is its piece and, in the lower 33 bits, its place there
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
@@ -38,52 +49,106 @@ def partition_value(kind: str) -> Column:
 def _staged(df: DataFrame, kind: str) -> DataFrame:
     schema = bronze_schema(kind)
     full = with_columns_of(df, schema)
-    return full.select(
-        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema]
-    )
+    columns = schema.fieldNames()
+    typed = full.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    return typed.withColumn(KEY, row_key(columns)).withColumn(PART, partition_value(kind))
+
+
+def keys_table(database: str, kind: str) -> str:
+    return f"{database}.{kind}_keys"
 
 
-def _append(df: DataFrame, table: str, mode: str) -> None:
-    df.write.format("parquet").partitionBy(PART).mode(mode).saveAsTable(table)
+def ledger(spark: SparkSession, database: str, kind: str) -> DataFrame:
+    """``load_no``, ``piece``, ``bronze_part``, ``n`` rows, ``rows_before`` the piece; no rows before the first load."""
+    table = f"{database}.{LEDGER}"
+    if not table_exists(spark, table):
+        return spark.createDataFrame([], f"load_no long, piece long, {PART} string, n long, rows_before long")
+    return spark.table(table).where(F.col("kind") == kind).drop("kind")
 
 
-def write_bronze(spark: SparkSession, df: DataFrame, database: str, kind: str) -> None:
+def write_bronze(spark: SparkSession, df: DataFrame, database: str, kind: str, buckets: int = BUCKETS) -> None:
     """Create the table with all rows, or add the distinct rows it lacks.
 
-    Adding is idempotent, so a repeated batch adds nothing. Equal rows lie in the same
-    table partition; only the partitions that occur in the batch are compared.
-    One writer per table is assumed.
+    Adding is idempotent, so a repeated batch adds nothing. The batch is written to the
+    checkpoint folder once; its keys are compared with the key table's, of the partitions
+    that occur in the batch. One writer per table is assumed. What a load that broke off
+    had written is entered in the ledger by the next one.
     """
     table = f"{database}.{kind}"
-    columns = bronze_schema(kind).fieldNames()
     staged = _staged(df, kind)
-    if not table_exists(spark, table):
+    register(spark, database, kind, buckets)
+    first = ledger(spark, database, kind).agg(F.coalesce(F.max("piece") + 1, F.lit(0))).first()[0]
+    if table_exists(spark, table):
+        ensure_checkpoint_dir(spark)
+        batch = staged.distinct().checkpoint()
+        # One value per month or course of the batch.
+        parts = [r[0] for r in batch.select(PART).distinct().collect()]
+        known = spark.table(keys_table(database, kind)).where(F.col(PART).isin(parts)).select(KEY)
+        rows = batch.join(known, KEY, "left_anti").hint("rebalance", PART).withColumn(SEQ, _mark(first))
+    else:
         # The mark follows the order of reading; the rebalance after it only sizes the files.
-        first = (
-            staged.withColumn(SEQ, F.monotonically_increasing_id())
-            .withColumn(KEY, row_key(columns))
-            .withColumn(PART, partition_value(kind))
-        )
-        _append(first.hint("rebalance", PART), table, "errorifexists")
+        rows = staged.withColumn(SEQ, _mark(first)).hint("rebalance", PART)
+    columns = [F.col(f"`{c}`") for c in bronze_schema(kind).fieldNames()]
+    rows.select(*columns, SEQ, KEY, PART).write.format("parquet").partitionBy(PART).mode("append").saveAsTable(table)
+    register(spark, database, kind, buckets)
+
+
+def _mark(first_piece: int) -> Column:
+    return F.monotonically_increasing_id() + F.lit(first_piece << _ROW_BITS).cast("bigint")
+
+
+def register(spark: SparkSession, database: str, kind: str, buckets: int = BUCKETS) -> None:
+    """Enter rows beyond the ledger's last piece in the key table and then in the ledger.
+
+    The ingestion number is filtered at the scan, so files of earlier loads are skipped by
+    their statistics. A load that broke off between the steps enters its keys twice, which
+    an anti-join does not notice.
+    """
+    table = f"{database}.{kind}"
+    if not table_exists(spark, table):
+        return
+    done = ledger(spark, database, kind).agg(
+        F.coalesce(F.max("piece") + 1, F.lit(0)).alias("piece"), F.coalesce(F.max("load_no") + 1, F.lit(0)).alias("load"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+    ).first()
+    new = spark.table(table).where(F.col(SEQ) >= F.lit(done["piece"] << _ROW_BITS))
+    counts = new.groupBy(F.shiftright(SEQ, _ROW_BITS).alias("piece"), PART).agg(F.count(F.lit(1)).alias("n"))
+    ensure_checkpoint_dir(spark)
+    counts = counts.checkpoint()
+    if counts.isEmpty():
         return
-    # The planner prunes the table's partitions by those of the batch while it runs.
-    parts = staged.select(partition_value(kind).alias(PART)).distinct()
-    target = spark.table(table).join(parts, PART, "left_semi")
-    base = spark.table(table).agg(F.coalesce(F.max(SEQ) + 1, F.lit(0)).alias("n")).first()["n"]
-    fresh = (
-        new_rows_by_key(staged, target, columns, KEY)
-        .withColumn(PART, partition_value(kind))
-        .hint("rebalance", PART)
-        .withColumn(SEQ, F.monotonically_increasing_id() + F.lit(base))
-    )
-    _append(fresh.select(*columns, SEQ, KEY, PART), table, "append")
-
-
-def read_bronze(spark: SparkSession, database: str, kind: str) -> DataFrame:
-    """Raw columns and the ingestion order."""
-    return spark.table(f"{database}.{kind}").select(
-        *[F.col(f"`{c}`") for c in bronze_schema(kind).fieldNames()], SEQ
-    )
+    keys = new.select(KEY, PART).distinct().repartition(buckets, KEY)
+    keys.write.format("parquet").partitionBy(PART).bucketBy(buckets, KEY).sortBy(KEY).mode("append").saveAsTable(keys_table(database, kind))
+    pieces = counts.groupBy("piece").agg(F.sum("n").alias("size"))
+    placed = with_sums_before(pieces, ["piece"], "size", "before").select("piece", (F.col("before") + done["n"]).alias("rows_before"))
+    lines = counts.join(placed, "piece").select(F.lit(kind).alias("kind"), F.lit(done["load"]).cast("bigint").alias("load_no"), "piece", PART, "n", "rows_before")
+    lines.coalesce(1).write.format("parquet").mode("append").saveAsTable(f"{database}.{LEDGER}")
+
+
+def touched_parts(spark: SparkSession, database: str, kind: str, after_load: int) -> list[str]:
+    """The months or courses that got rows in a load after ``after_load``."""
+    lines = ledger(spark, database, kind).where(F.col("load_no") > after_load)
+    return [r[0] for r in lines.select(PART).distinct().orderBy(PART).collect()]
+
+
+def last_load(spark: SparkSession, database: str, kind: str) -> int:
+    return ledger(spark, database, kind).agg(F.coalesce(F.max("load_no"), F.lit(-1))).first()[0]
+
+
+def numbered_rows(rows: DataFrame, spark: SparkSession, database: str, kind: str, name: str) -> DataFrame:
+    """``rows`` with their dense number over all loads; a row keeps its number for good."""
+    pieces = ledger(spark, database, kind).select("piece", "rows_before").distinct()
+    place = F.col(SEQ).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    joined = rows.withColumn("piece", F.shiftright(SEQ, _ROW_BITS)).join(pieces, "piece")
+    return joined.withColumn(name, F.col("rows_before") + place).drop("piece", "rows_before")
+
+
+def read_bronze(spark: SparkSession, database: str, kind: str, parts: list[str] | None = None) -> DataFrame:
+    """Raw columns and the ingestion order, of all partitions or of ``parts``."""
+    table = spark.table(f"{database}.{kind}")
+    if parts is not None:
+        table = table.where(F.col(PART).isin(parts))
+    extra = [] if parts is None else [PART]
+    return table.select(*[F.col(f"`{c}`") for c in bronze_schema(kind).fieldNames()], SEQ, *extra)
 
 
 def read_raw(spark: SparkSession, database: str, kind: str) -> DataFrame:

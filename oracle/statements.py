@@ -298,7 +298,7 @@ COURSE_SQL = f"""select p.intern_id, p.full_name, p.course_name, p.progress_pct,
   from gold_course_progress p left join ({DOMAIN_SQL}) h on p.intern_id = h.intern_id"""
 
 def _of(condition: str) -> str:
-    return f"coalesce(cast(sum(cast(r.h as decimal(38,9))) filter ({condition}) as double), 0)"
+    return f"coalesce({c.ssum(f'case when {condition} then r.h end')}, 0)"
 
 
 PERSON_SQL = f"""select i.intern_id, i.full_name, {_of('true')} as total_hours,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cohortlake import catalogue
 from cohortlake.plans import quality, refresh
 from cohortlake.plans.refresh import Databases
+from cohortlake.plans.warehouse import REDUCED
 from cohortlake.schemas import COLUMNS, GOLD_TABLES, SILVER_TABLES
 from cohortlake.sources import bronze, registry, results
 from cohortlake.streaming.bronze_stream import export_stream, start_bronze
@@ -128,7 +129,7 @@ def test_refresh(spark, tmp_path, database):
         counts.append(sorted(map(tuple, report.collect())))
     assert counts[0] == counts[1]
     assert all(n for *_, n in counts[0])
-    assert set(warehouse) == {*SILVER_TABLES, *GOLD_TABLES}
+    assert set(warehouse) == {*SILVER_TABLES, *GOLD_TABLES, *REDUCED}
     assert warehouse["dim_course"].count() == 4
     lazy = catalogue.sample(spark, SAMPLE)["gold_weekly_hours"]
     assert sorted(map(tuple, warehouse["gold_weekly_hours"].collect())) == sorted(map(tuple, lazy.collect()))
