@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.operators.skew import join_one_per_key
-from cohortlake.session import ensure_checkpoint_dir
+from cohortlake.session import ensure_checkpoint_dir, shared_folder
 
 #: White space that ends a word, as a character class for Java and SQL patterns.
 SPACE = r"[\x20\x09-\x0D]"
@@ -43,6 +44,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The same rows from Parquet files in the shared folder.
+
+    The planner then knows their true size. After a checkpoint it keeps the estimate of the
+    plan before, which is the product of the sizes for a join, so over many rounds of joins
+    the estimates get so long that planning takes minutes.
+    """
+    place = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 def free_name(wanted: str, taken: list[str]) -> str:
     """``wanted``, with underscores before it until no column of the input has that name in either case."""
     lower = {x.lower() for x in taken}

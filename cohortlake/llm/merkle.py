@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import cut, free_name, table
+from cohortlake.llm.common import free_name, table, written
 
 ARITY = 3
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its lower 33 bits
@@ -51,7 +51,7 @@ def numbered(rows: DataFrame, group: list[str], order: list[str], name: str) ->
     tied = rows.withColumn(mark, F.monotonically_increasing_id())
     by = [F.col(c).asc_nulls_first() for c in (*group, *order, mark)]
     placed = tied.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(mark, F.monotonically_increasing_id())
-    placed = cut(placed.withColumn(part, F.shiftright(mark, _ROW_BITS)))
+    placed = written(placed.withColumn(part, F.shiftright(mark, _ROW_BITS)))
     pieces = placed.groupBy(*group, part).agg(F.min(mark).alias(first), F.count("*").alias("n"))
     earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn(before, F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col(first))
@@ -77,7 +77,7 @@ def levels(nodes: DataFrame, arity: int = ARITY) -> tuple[list[DataFrame], DataF
             shifted = nodes.where(f"idx % {arity} = {slot}").select("tree", (F.col("idx") - slot).alias("idx"), F.col("sha").alias(f"sha_{slot}"))
             level = level.join(shifted, ["tree", "idx"], "left")
         run = F.array_compact(F.array(*[f"sha_{slot}" for slot in range(arity)]))
-        level = cut(level.select("tree", F.floor(F.col("idx") / arity).alias("up"), "n", run.alias("run")))
+        level = written(level.select("tree", F.floor(F.col("idx") / arity).alias("up"), "n", run.alias("run")))
         runs.append(level)
         sha = digest(F.array_join(F.transform("run", as_text), ""))
         nodes = level.select("tree", F.col("up").alias("idx"), F.ceil(F.col("n") / arity).alias("n"), sha.alias("sha"))
@@ -152,14 +152,14 @@ def manifest(docs: DataFrame, group: str = "source", order: str = "doc_id", colu
         row_digest([F.col(f"`{c}`") for c in columns]).alias("sha"),
         row_digest([now.get(c, F.col(f"`{c}`")) for c in columns]).alias("now"),
     )
-    leaves = cut(numbered(cut(kept), ["grp"], ["ord", "sha"], "idx"))
-    sizes = leaves.groupBy("grp").agg(F.count("*").alias("leaves"))
+    kept = written(kept)
+    leaves = numbered(kept, ["grp"], ["ord", "sha"], "idx")
+    sizes = kept.groupBy("grp").agg(F.count("*").alias("leaves"))
     everything = F.lit(0).alias("all")
-    trees = cut(numbered(sizes.select(everything, "grp", "leaves"), ["all"], ["grp"], "tree").drop("all"))
-    leaves = leaves.alias("l").join(trees.alias("t"), F.expr("l.grp <=> t.grp")).select("l.*", "t.tree", "t.leaves")
-    leaves = cut(leaves)
+    trees = written(numbered(sizes.select(everything, "grp", "leaves"), ["all"], ["grp"], "tree").drop("all"))
+    leaves = written(leaves.alias("l").join(trees.alias("t"), F.expr("l.grp <=> t.grp")).select("l.*", "t.tree", "t.leaves"))
     runs, tops = levels(leaves.select("tree", "idx", F.col("leaves").alias("n"), "sha"), arity)
-    tops = cut(tops.select(F.lit(0).cast("long").alias("one"), F.col("tree").alias("idx"), "sha"))
+    tops = written(tops.select(F.lit(0).cast("long").alias("one"), F.col("tree").alias("idx"), "sha"))
     n_trees = tops.count()
     top_runs, root = levels(tops.select(F.col("one").alias("tree"), "idx", F.lit(n_trees).cast("long").alias("n"), "sha"), arity)
     root = root.first()  # none if there are no rows
@@ -167,7 +167,7 @@ def manifest(docs: DataFrame, group: str = "source", order: str = "doc_id", colu
     one = docs.sparkSession.range(1).select(F.col("id").alias("tree"), F.lit(n_trees).cast("long").alias("leaves"))
     top = paths(top_runs, one, arity).select("up", F.col("runs").alias("top"))
     subroots = tops.withColumn("up", F.floor(F.col("idx") / arity)).join(top, "up").select(F.col("idx").alias("tree"), F.col("sha").alias("subroot"), "top")
-    path = paths(runs, cut(trees.select("tree", "leaves").join(subroots, "tree")), arity).drop("leaves")
+    path = paths(runs, written(trees.select("tree", "leaves").join(subroots, "tree")), arity).drop("leaves")
     joined = leaves.withColumn("up", F.floor(F.col("idx") / arity)).join(path, ["tree", "up"])
     inner = folded(F.col("now"), F.col("idx"), F.col("runs"), arity)
     proved = joined.select("grp", "ord", "sha", "subroot", "tree", "top", inner.alias("inner"))
