@@ -65,98 +65,95 @@ def round_half_even(c: Column, digits: int) -> Column:
 
 
 # Sums of doubles depend on their order; sums of whole numbers do not. A value is cut into
-# whole numbers of 62 bits, those of its integer part and of two steps of its fraction, and
-# each of them into pieces of 20 to 21 bits, whose sums stay exact for 2^42 rows. The pieces
-# are put together when all rows are summed, and the exact total is rounded once. Beside them
-# lie plain sums of what they do not reach: values of 2^62 and more, and bits below 2^-124.
-STEP = float(2**62)
-LOW, HIGH = 21, 42
-MASK = (1 << LOW) - 1
-PIECES = 3
+# whole numbers of 63 bits, those of its integer part and of two steps of its fraction, and
+# each of them into pieces of 21 bits, whose sums stay exact for 2^42 rows. The pieces are
+# put together when all rows are summed, and the exact total is rounded once. Beside them
+# lie plain sums of what they do not reach: values of 2^62 and more, and bits below 2^-126.
+STEP, BITS = 63, 21
+PIECES = STEP // BITS
 PARTS = [*[f"{part}{piece}" for part in ("whole", "fine", "finer") for piece in range(PIECES)], "rest", "large"]
 
+# The expressions are written as SQL text: built call by call they would cost most of a second each.
 
-def _long(x: int) -> Column:
-    return F.lit(x).cast("bigint")
 
+def _text(c: Column | str) -> str:
+    return c if isinstance(c, str) else c._jc.node().sql()
 
-def _pieces(whole: Column) -> list[Column]:
-    """The lowest 21 bits, the 21 bits above them, and the rest with the sign."""
-    return [whole.bitwiseAND(_long(MASK)), F.shiftright(whole, LOW).bitwiseAND(_long(MASK)), F.shiftright(whole, HIGH)]
 
-
-def _cut(c: Column) -> list[Column]:
-    """All parts of a value, in the order of ``PARTS``; every step is exact."""
-    near = F.when(F.abs(c) < STEP, c)
-    whole = near.cast("bigint")
-    scaled = (near - whole.cast("double")) * F.lit(STEP)
-    fine = scaled.cast("bigint")
-    scaled_again = (scaled - fine.cast("double")) * F.lit(STEP)
-    finer = scaled_again.cast("bigint")
-    rest = (scaled_again - finer.cast("double")) * F.lit(STEP**-2)
-    return [*_pieces(whole), *_pieces(fine), *_pieces(finer), rest, F.when(F.abs(c) < STEP, None).otherwise(c)]
+def _power(exponent: int) -> str:
+    return f"double('{float(2) ** exponent!r}')"
 
 
-def sum_parts(c: Column, name: str) -> list[Column]:
+def _cut(x: str) -> list[str]:
+    """All parts of a value, in the order of ``PARTS``; every step is exact."""
+    near = f"(case when abs({x}) < {_power(62)} then {x} end)"
+    whole = f"cast({near} as bigint)"
+    scaled = f"(({near} - cast({whole} as double)) * {_power(STEP)})"
+    fine = f"cast({scaled} as bigint)"
+    scaled_again = f"(({scaled} - cast({fine} as double)) * {_power(STEP)})"
+    finer = f"cast({scaled_again} as bigint)"
+    mask = f"{(1 << BITS) - 1}L"
+    # The lowest bits, those above them, and the rest with the sign.
+    pieces = [p for n in (whole, fine, finer) for p in (f"({n} & {mask})", f"(shiftright({n}, {BITS}) & {mask})", f"shiftright({n}, {2 * BITS})")]
+    rest = f"(({scaled_again} - cast({finer} as double)) * {_power(-2 * STEP)})"
+    return [*pieces, rest, f"(case when abs({x}) < {_power(62)} then null else {x} end)"]
+
+
+def sum_parts(c: Column | str, name: str) -> list[Column]:
     """Aggregates of one group, named after ``name``, to be added up by ``summed_parts``."""
-    return [F.sum(x).alias(f"{name}_{part}") for x, part in zip(_cut(c), PARTS, strict=True)]
+    return [F.expr(f"sum({x}) as `{name}_{part}`") for x, part in zip(_cut(_text(c)), PARTS, strict=True)]
 
 
 def merged_parts(name: str) -> list[Column]:
     """Aggregates that bring groups of ``sum_parts`` together, under the same names."""
-    return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in PARTS]
+    return [F.expr(f"sum(`{name}_{part}`) as `{name}_{part}`") for part in PARTS]
+
+
+def summed_parts(name: str, where: str | None = None) -> Column:
+    """Exact sum over groups that ``sum_parts`` reduced, or those with ``where`` (SQL); null without values."""
+    columns = [f"`{name}_{part}`" for part in PARTS]
+    return F.expr(_total([f"sum({c})" if where is None else f"sum(case when {where} then {c} end)" for c in columns]))
 
 
-def summed_parts(name: str, where: Column | None = None) -> Column:
-    """Exact sum over groups that ``sum_parts`` reduced, or those with ``where``; null without values."""
-    columns = [F.col(f"{name}_{part}") for part in PARTS]
-    return _total([F.sum(c if where is None else F.when(where, c)) for c in columns])
+def _let(name: str, value: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _total(sums: list[Column]) -> Column:
+def _total(sums: list[str]) -> str:
     """Carry from the lowest piece up, then round the whole once to the nearest double."""
     *pieces, rest, large = sums
-    digits, carry = [], _long(0)
-    for k, piece in enumerate(pieces[:-1]):
-        bits = 62 - HIGH if k % PIECES == PIECES - 1 else LOW
-        # The carry goes from finer to fine to whole, so the parts are walked from the last.
-        part, place = divmod(k, PIECES)
-        at = (2 - part) * PIECES + place
-        value = pieces[at] + carry
-        digits.append(value.bitwiseAND(_long((1 << bits) - 1)))
-        carry = F.shiftright(value, bits)
-    top = pieces[PIECES - 1] + carry
-    finer, fine = (_joined(digits[k : k + PIECES]) for k in (0, PIECES))
-    low = _joined(digits[2 * PIECES :])
-    exact = "decimal(38,0)"
-    whole = top.cast(exact) * _long(1 << HIGH) + low
+    low = [p for part in (2, 1, 0) for p in pieces[part * PIECES : (part + 1) * PIECES]]
+    given = f"named_struct('low', array({', '.join(low[:-1])}), 'top', {low[-1]}, 'rest', {rest}, 'large', {large})"
+    digits = f"""aggregate(s.low, named_struct('carry', 0L, 'digits', cast(array() as array<bigint>)), (a, x) ->
+        named_struct('carry', shiftright(a.carry + x, {BITS}), 'digits', array_append(a.digits, (a.carry + x) & {(1 << BITS) - 1}L)))"""
 
-    def nearest(number: Column, more: Column, scale: float) -> Column:
-        """``number`` and a little above it if ``more``; an odd last bit stands for that little."""
-        return (number * F.lit(2) + more.cast("int")).cast("double") * F.lit(scale / 2)
+    def joined(first: int, n: int) -> str:
+        return "(" + " + ".join(f"shiftleft(d.digits[{first + k}], {BITS * k})" for k in range(n)) + ")"
 
-    wide = whole.cast(exact) * _long(1 << 62) + fine
-    widest = wide.cast(exact) * _long(1 << 62) + finer
-    total = (
-        F.when(F.abs(whole) >= _long(1 << 56), nearest(whole, (fine > 0) | (finer > 0), 1.0))
-        .when(F.abs(wide) >= _long(1 << 56), nearest(wide, finer > 0, STEP**-1))
-        .otherwise(widest.cast("double") * F.lit(STEP**-2))
-    )
-    total = total + rest
-    return F.coalesce(total + large, total, large)
+    exact = "decimal(38,0)"
+    whole = f"cast(cast(s.top + d.carry as {exact}) * {1 << 2 * BITS}L + {joined(2 * PIECES, PIECES - 1)} as {exact})"
+    parts = f"named_struct('whole', {whole}, 'fine', {joined(PIECES, PIECES)}, 'finer', {joined(0, PIECES)})"
+    wide = f"cast(p.whole * {1 << STEP} + p.fine as {exact})"
 
+    def nearest(number: str, more: str, exponent: int) -> str:
+        """``number`` and a little above it if ``more``; an odd last bit stands for that little."""
+        return f"cast({number} * 2 + cast({more} as int) as double) * {_power(exponent - 1)}"
 
-def _joined(digits: list[Column]) -> Column:
-    return digits[0] + F.shiftleft(digits[1], LOW) + (F.shiftleft(digits[2], HIGH) if len(digits) == PIECES else _long(0))
+    rounded = f"""case
+        when abs(p.whole) >= {1 << 56}L then {nearest("p.whole", "p.fine > 0 or p.finer > 0", 0)}
+        when abs({wide}) >= {1 << 56}L then {nearest(wide, "p.finer > 0", -STEP)}
+        else cast(cast({wide} * {1 << STEP} + p.finer as {exact}) as double) * {_power(-2 * STEP)} end"""
+    near = f"{_let('d', digits, _let('p', parts, rounded))} + s.rest"
+    return _let("s", given, f"case when s.top is null then s.large else {near} + coalesce(s.large, 0D) end")
 
 
-def stable_sum(c: Column) -> Column:
+def stable_sum(c: Column | str) -> Column:
     """The exact sum, rounded once; null without values, the same for every order and partitioning."""
-    return _total([F.sum(x) for x in _cut(c)])
+    return F.expr(_total([f"sum({x})" for x in _cut(_text(c))]))
 
 
-def stable_avg(c: Column) -> Column:
-    return F.try_divide(stable_sum(c), F.count(c))
+def stable_avg(c: Column | str) -> Column:
+    return F.try_divide(stable_sum(c), F.count(F.expr(_text(c))))
 
 
 def at_least(c: Column, low: float | int) -> Column:

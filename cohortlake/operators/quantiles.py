@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dense_id import with_running_total
@@ -56,12 +56,56 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     return known.select(bin_no.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("entry_count"))
 
 
-def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
+#: Ranks that a sketch may be off by, as a part of all rows: the bracket round a median holds twice that.
+SKETCH_ERROR = 1e-4
+
+
+def exact_medians(df: DataFrame, columns: list[str], error: float = SKETCH_ERROR) -> DataFrame:
     """(feature, median) of every column, nulls skipped, for values with any number of levels.
 
-    Equal values are counted first, so a value that fills most of a column is one row of
-    the range sort; the middle ranks are then found by running counts.
+    A mergeable sketch brackets the middle ranks of all columns in one pass. Values below
+    the bracket are only counted; those inside, a small part of the rows, are counted per
+    level and sorted by range, and the exact middle ranks are found by running counts. No
+    group's levels lie in one buffer.
     """
+    reach = 4 * error
+    shares = F.array(F.lit(0.5 - reach), F.lit(0.5 + reach))
+    accuracy = F.lit(int(1 / error))
+    sketches = df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, accuracy).alias(c) for c in columns])
+    bounds = sketches.first()  # two numbers per column
+    known = [c for c in columns if bounds[c] is not None]
+    if not known:
+        return df.sparkSession.createDataFrame([], "feature string, median double")
+    values = {c: F.col(c).cast("double") for c in known}
+    counts = df.agg(
+        *[F.count(v).alias(f"n_{c}") for c, v in values.items()],
+        *[F.count_if(v < bounds[c][0]).alias(f"b_{c}") for c, v in values.items()],
+        *[F.count_if(v <= bounds[c][1]).alias(f"u_{c}") for c, v in values.items()],
+    ).first()
+    if any(not counts[f"b_{c}"] <= (counts[f"n_{c}"] - 1) // 2 <= counts[f"n_{c}"] // 2 < counts[f"u_{c}"] for c in known):
+        raise RuntimeError("a sketch missed its error bound")
+    inside = {c: F.when((v >= bounds[c][0]) & (v <= bounds[c][1]), v) for c, v in values.items()}
+    placed = _ranked(df.select(*[v.alias(c) for c, v in inside.items()]), known)
+    # One span row per column named in the call, so it may be broadcast.
+    spans = placed.groupBy("feature").agg(F.min("before").alias("start"))
+    spans = F.broadcast(spans)
+    low_rank = {c: (counts[f"n_{c}"] - 1) // 2 - counts[f"b_{c}"] for c in known}
+    high_rank = {c: counts[f"n_{c}"] // 2 - counts[f"b_{c}"] for c in known}
+
+    def rank(of: dict[str, int]) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for c, r in of.items() for x in (c, r)]), F.col("feature"))
+
+    first = F.col("before") - F.col("start")
+    last = first + F.col("n") - 1
+
+    def at(r: Column) -> Column:
+        return F.max(F.when((first <= r) & (r <= last), F.col("value")))
+
+    return placed.join(spans, "feature").groupBy("feature").agg(((at(rank(low_rank)) + at(rank(high_rank))) / 2).alias("median"))
+
+
+def _ranked(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(feature, value, n, before): levels of all columns, each with the number of values that lie before it."""
     cells = F.array(
         *[
             F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
@@ -75,20 +119,4 @@ def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
         .groupBy("feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    placed = with_running_total(levels, ["feature", "value"], "n", "before")
-    # One span row per column named in the call, so it may be broadcast.
-    spans = placed.groupBy("feature").agg(F.min("before").alias("start"), F.sum("n").alias("rows"))
-    low_rank = F.floor((F.col("rows") - 1) / 2)
-    high_rank = F.floor(F.col("rows") / 2)
-    first = F.col("before") - F.col("start")
-    last = first + F.col("n") - 1
-    return (
-        placed.join(F.broadcast(spans), "feature")
-        .select(
-            "feature",
-            F.when((first <= low_rank) & (low_rank <= last), F.col("value")).alias("low"),
-            F.when((first <= high_rank) & (high_rank <= last), F.col("value")).alias("high"),
-        )
-        .groupBy("feature")
-        .agg(((F.max("low") + F.max("high")) / 2).alias("median"))
-    )
+    return with_running_total(levels, ["feature", "value"], "n", "before")

@@ -125,7 +125,7 @@ def _label() -> Column:
 
 
 def _total() -> Column:
-    return stable_sum(F.col("total_hours"))
+    return stable_sum("total_hours")
 
 
 def top_people(t: Tables, k: int = TREND_PEOPLE) -> DataFrame:
@@ -224,7 +224,7 @@ def mentee_summary(t: Tables, mentor: str) -> DataFrame:
     per_name = mentee_progress(t, mentor).groupBy("full_name").agg(
         F.sum("progress_pct").alias("p"),
         F.count("progress_pct").alias("np"),
-        *sum_parts(kc, "kc"),
+        *sum_parts("kc_pct", "kc"),
         F.count(kc).alias("nkc"),
     )
     return per_name.agg(
@@ -323,7 +323,7 @@ def own_score_and_batch(t: Tables, full_name: str) -> DataFrame:
     """
     progress = t["gold_course_progress"]
     # One row per registered course.
-    batch = progress.groupBy("course_name").agg(stable_avg(F.col("test_pct")).alias("avg_test"))
+    batch = progress.groupBy("course_name").agg(stable_avg("test_pct").alias("avg_test"))
     mine = _mine(progress, full_name).select("course_name", "test_pct")
     own = mine.join(batch, "course_name")
     without = batch.join(mine.select("course_name").distinct(), "course_name", "left_anti")

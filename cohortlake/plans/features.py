@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import is_weekend
 from ..functions.numbers import merged_parts, summed_parts
-from ..operators.quantiles import exact_medians
 from ..operators.skew import join_one_per_key
 from .gold import Tables, course_progress, eod_groups, lms_by_intern
+from .preparation import MedianImputer, PopulationScaler, levels_of  # noqa: F401
 
 # Domain-hours feature to activity category.
 DOMAINS = {
@@ -19,6 +20,7 @@ DOMAINS = {
     "hours_bi": "BI/Reporting",
 }
 
+# What each model is trained on.
 COURSE_FEATURES = ["progress_pct", "assignment_ratio", "kc_pct", "test_pct", *DOMAINS]
 SCORE_FEATURES = ["progress_pct", "kc_pct", "assignment_ratio", *DOMAINS]
 PERSON_FEATURES = [
@@ -39,13 +41,12 @@ def _per_activity(t: Tables) -> DataFrame:
     return join_one_per_key(reduced, categories, "activity_id", "left")
 
 
-def _hours_where(condition: Column) -> Column:
+def _hours_where(condition: str | None) -> Column:
     return F.coalesce(summed_parts("h", condition), F.lit(0.0))
 
 
 def _domains() -> list[Column]:
-    category = F.col("activity_category")
-    return [_hours_where(category == c).alias(name) for name, c in DOMAINS.items()]
+    return [_hours_where(f"activity_category = '{c}'").alias(name) for name, c in DOMAINS.items()]
 
 
 def domain_hours(t: Tables) -> DataFrame:
@@ -73,9 +74,9 @@ def course_features(t: Tables, zero_missing_test: bool = True) -> DataFrame:
 def person_features(t: Tables) -> DataFrame:
     """One row per person; every joined frame has one row per person as well."""
     hours = _per_activity(t).groupBy("intern_id").agg(
-        _hours_where(F.lit(True)).alias("total_hours"),
+        _hours_where(None).alias("total_hours"),
         F.countDistinct("activity_id").alias("distinct_activities"),
-        _hours_where(F.col("weekend")).alias("weekend_hours"),
+        _hours_where("weekend").alias("weekend_hours"),
         *_domains(),
     )
     progress = lms_by_intern(t).withColumnRenamed("lms_rows", "total_activity_entries")
@@ -92,12 +93,6 @@ def one_hot(df: DataFrame, column: str, levels: list[str]) -> DataFrame:
     return df.withColumns(flags)
 
 
-def levels_of(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values of a category column; each becomes a column of its own, so they are few."""
-    values = df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
-    return [r[0] for r in values.collect()]
-
-
 def label_codes(df: DataFrame, column: str) -> DataFrame:
     """(value, code): codes count up in alphabetical order."""
     from pyspark.ml.feature import StringIndexer
@@ -111,20 +106,12 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
 
 
 def median_imputed(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Nulls replaced by the column's exact median (one number per column reaches the driver)."""
-    medians = {r["feature"]: r["median"] for r in exact_medians(df, columns).collect()}
-    return df.fillna(medians)
+    """Nulls replaced by the column's exact median."""
+    return MedianImputer(columns=columns).fit(df).transform(df)
 
 
 def standardised(df: DataFrame, columns: list[str]) -> DataFrame:
     """Columns minus mean over population deviation; constant columns become 0."""
-    stats = df.agg(
-        *[F.avg(c).alias(f"m_{c}") for c in columns],
-        *[F.stddev_pop(c).alias(f"s_{c}") for c in columns],
-    ).first()
-
-    def z(c: str) -> Column:
-        deviation = stats[f"s_{c}"]
-        return (F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(deviation) if deviation else F.lit(0.0)
-
-    return df.withColumns({c: z(c) for c in columns})
+    scaler = PopulationScaler(columns=columns, arrays=[], output="_scaled").fit(df)
+    scaled = scaler.transform(df).withColumn("_scaled", vector_to_array("_scaled"))
+    return scaled.withColumns({c: F.col("_scaled")[i] for i, c in enumerate(columns)}).drop("_scaled")

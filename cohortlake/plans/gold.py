@@ -28,11 +28,10 @@ def eod_groups(t: Tables, *keys: str) -> DataFrame:
     Keys are among person, date and activity. Where the counts per day are stored as
     ``eod_days``, they are added up; else the facts are.
     """
-    h = F.col("hours")
     if "eod_days" in t:
         counts = [F.sum("n").alias("n"), F.sum("n_hours").alias("n_hours"), *merged_parts("h")]
         return t["eod_days"].groupBy(*keys).agg(*counts)
-    counts = [F.count(F.lit(1)).alias("n"), F.count(h).alias("n_hours"), *sum_parts(h, "h")]
+    counts = [F.count(F.lit(1)).alias("n"), F.count("hours").alias("n_hours"), *sum_parts("hours", "h")]
     return t["fact_eod_log"].groupBy(*keys).agg(*counts)
 
 
@@ -46,7 +45,7 @@ def lms_groups(t: Tables, *keys: str) -> DataFrame:
     counts = [
         F.count(F.lit(1)).alias("lms_rows"), F.sum("progress_pct").alias("progress"), F.count("progress_pct").alias("n_progress"),
         F.sum((status == "Completed").cast("bigint")).alias("completed"), F.sum((status == "Not Started").cast("bigint")).alias("not_started"),
-        *[F.count(c).alias(f"n_{c}") for c in LMS_SCORES], *[part for c in LMS_SCORES for part in sum_parts(F.col(c), c)],
+        *[F.count(c).alias(f"n_{c}") for c in LMS_SCORES], *[part for c in LMS_SCORES for part in sum_parts(c, c)],
     ]
     return t["fact_lms_progress"].groupBy(*keys).agg(*counts)
 

@@ -10,9 +10,11 @@ Sums are kept in exact parts, so adding up months gives what one pass over all r
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Protocol
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from . import gold, silver
 from .warehouse import Warehouse
 
 PART = "part"
+SIDE_BY_SIDE = 4
 Touched = dict[str, list[str] | None]
 
 #: How the tables are partitioned; those not named are rewritten whole, from reduced tables.
@@ -74,7 +77,11 @@ def month(day: Column) -> Column:
 
 
 def write_partitions(df: DataFrame, database: str, name: str, whole: bool) -> None:
-    """Write a table anew, or only the partitions that occur in ``df``."""
+    """Write a table anew, or only the partitions that occur in ``df``.
+
+    Partitions are replaced under the table's path, since the writer's option for that is
+    not heeded by inserts by table name; the catalog is told of new ones afterwards.
+    """
     by = PARTITIONED.get(name, [])
     table = f"{database}.{name}"
     if by:
@@ -82,8 +89,11 @@ def write_partitions(df: DataFrame, database: str, name: str, whole: bool) -> No
         df = df.hint("rebalance", *by)
     spark = df.sparkSession
     if by and not whole and table_exists(spark, table):
+        place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
         columns = spark.table(table).columns
-        df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(place)
+        spark.catalog.recoverPartitions(table)
+        spark.catalog.refreshTable(table)
         return
     writer = df.write.format("parquet").mode("overwrite")
     (writer.partitionBy(*by) if by else writer).saveAsTable(table)
@@ -104,42 +114,69 @@ def refresh_layers(
         write_partitions(df, silver_db, name, kind is None or touched[kind] is None)
 
     months, courses = touched[EOD_TABLE], touched[LMS_TABLE]
+    jobs: list[Callable[[], None]] = []
     if months != []:
         eod = clean_eod(source.rows(EOD_TABLE, months), low, high)
-        facts = source.numbered(silver.eod_facts(eod), EOD_TABLE, "log_id").select(*COLUMNS["fact_eod_log"])
-        put("fact_eod_log", facts, EOD_TABLE)
-        put("eod_names", _by_part(eod, silver.eod_names, month(F.col("date"))), EOD_TABLE)
-        put("activity_names", eod.select("activity", month(F.col("date")).alias(PART)).distinct(), EOD_TABLE)
-        fresh = stored("fact_eod_log") if months is None else stored("fact_eod_log").where(month(F.col("date")).isin(months))
-        days = gold.eod_groups({"fact_eod_log": fresh}, "intern_id", "date", "activity_id")
-        put("eod_days", days.withColumn(PART, month(F.col("date"))), EOD_TABLE)
+
+        def logs() -> None:
+            facts = source.numbered(silver.eod_facts(eod), EOD_TABLE, "log_id").select(*COLUMNS["fact_eod_log"])
+            put("fact_eod_log", facts, EOD_TABLE)
+            table = stored("fact_eod_log")
+            fresh = table if months is None else table.where(month(F.col("date")).isin(months))
+            days = gold.eod_groups({"fact_eod_log": fresh}, "intern_id", "date", "activity_id")
+            put("eod_days", days.withColumn(PART, month(F.col("date"))), EOD_TABLE)
+
+        jobs += [
+            logs,
+            lambda: put("eod_names", _by_part(eod, silver.eod_names, month(F.col("date"))), EOD_TABLE),
+            lambda: put("activity_names", eod.select("activity", month(F.col("date")).alias(PART)).distinct(), EOD_TABLE),
+        ]
     if courses != []:
         lms = clean_lms(source.rows(LMS_TABLE, courses))
         part = F.coalesce("course_key", F.lit("none"))
-        put("lms_names", _by_part(lms, silver.lms_names, part), LMS_TABLE)
-        put("course_names", silver.course_variants(lms).withColumn(PART, part), LMS_TABLE)
-        put("dim_course", silver.dim_course(stored("course_names")))
-        dim = stored("dim_course")
-        facts = source.numbered(silver.lms_facts(lms, dim), LMS_TABLE, "progress_id").select(*COLUMNS["fact_lms_progress"])
-        put("fact_lms_progress", facts, LMS_TABLE)
-        put("mentor_names", explode_mentors(lms).withColumn(PART, part), LMS_TABLE)
-        keyed = stored("fact_lms_progress").join(dim.select("course_id", "course_key"), "course_id", "left")
-        fresh = keyed if courses is None else keyed.where(part.isin(courses))
-        people = gold.lms_groups({"fact_lms_progress": fresh}, "intern_id", "course_id", "course_key")
-        put("lms_people", people.withColumn(PART, part).drop("course_key"), LMS_TABLE)
+
+        def progress() -> None:
+            put("course_names", silver.course_variants(lms).withColumn(PART, part), LMS_TABLE)
+            put("dim_course", silver.dim_course(stored("course_names")))
+            dim = stored("dim_course")
+            facts = source.numbered(silver.lms_facts(lms, dim), LMS_TABLE, "progress_id").select(*COLUMNS["fact_lms_progress"])
+            put("fact_lms_progress", facts, LMS_TABLE)
+            keyed = stored("fact_lms_progress").join(dim.select("course_id", "course_key"), "course_id", "left")
+            fresh = keyed if courses is None else keyed.where(part.isin(courses))
+            people = gold.lms_groups({"fact_lms_progress": fresh}, "intern_id", "course_id", "course_key")
+            put("lms_people", people.withColumn(PART, part).drop("course_key"), LMS_TABLE)
+
+        jobs += [
+            progress,
+            lambda: put("lms_names", _by_part(lms, silver.lms_names, part), LMS_TABLE),
+            lambda: put("mentor_names", explode_mentors(lms).withColumn(PART, part), LMS_TABLE),
+        ]
+    _side_by_side(spark, jobs)
 
     names = stored("eod_names").unionByName(stored("lms_names"))
     renamed = _renamed(spark, f"{silver_db}.dim_intern", names, touched)
     also(renamed)
-    put("dim_intern", silver.best_names(names))
+    jobs = [lambda: put("dim_intern", silver.best_names(names))]
     if months != []:
-        put("dim_activity", silver.dim_activity(stored("activity_names")))
-        put("dim_date", silver.dim_date(stored("eod_days")))
+        jobs += [
+            lambda: put("dim_activity", silver.dim_activity(stored("activity_names"))),
+            lambda: put("dim_date", silver.dim_date(stored("eod_days"))),
+        ]
     if courses != []:
-        put("dim_mentor", silver.dim_mentor(stored("mentor_names")))
-        put("bridge_intern_mentor", silver.bridge_intern_mentor(stored("mentor_names"), stored("dim_course")))
-    t = Warehouse({**Warehouse.from_catalog(spark, silver_db, gold_db)._builders, **gold.BUILDERS})
-    _write_gold(t, gold_db, renamed)
+        jobs += [
+            lambda: put("dim_mentor", silver.dim_mentor(stored("mentor_names"))),
+            lambda: put("bridge_intern_mentor", silver.bridge_intern_mentor(stored("mentor_names"), stored("dim_course"))),
+        ]
+    _side_by_side(spark, jobs)
+    t = Warehouse.from_catalog(spark, silver_db, gold_db).replaced_by(gold.BUILDERS)
+    _side_by_side(spark, _gold_jobs(t, gold_db, renamed))
+
+
+def _side_by_side(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
+    """Tables that do not need each other are written at the same time; the first failure is raised."""
+    with ThreadPoolExecutor(max_workers=SIDE_BY_SIDE) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            done.result()
 
 
 def _by_part(rows: DataFrame, reduce: Callable[..., DataFrame], part: Column) -> DataFrame:
@@ -163,22 +200,24 @@ def _renamed(spark: SparkSession, table: str, names: DataFrame, touched: Mapping
     return out
 
 
-def _write_gold(t: Warehouse, database: str, touched: Touched) -> None:
+def _gold_jobs(t: Warehouse, database: str, touched: Touched) -> list[Callable[[], None]]:
     months, courses = touched[EOD_TABLE], touched[LMS_TABLE]
 
-    def put(name: str, df: DataFrame, whole: bool = True) -> None:
-        write_partitions(df, database, name, whole)
+    def put(name: str, df: DataFrame, whole: bool = True) -> Callable[[], None]:
+        return lambda: write_partitions(df, database, name, whole)
 
+    jobs = []
     if months != []:
         days = t["eod_days"] if months is None else t["eod_days"].where(F.col(PART).isin(months))
-        put("gold_weekly_hours", gold.weekly_hours(t.replaced(eod_days=days)), months is None)
-        put("gold_activity_summary", gold.activity_summary(t))
+        jobs.append(put("gold_weekly_hours", gold.weekly_hours(t.replaced(eod_days=days)), months is None))
+        jobs.append(put("gold_activity_summary", gold.activity_summary(t)))
     if courses != []:
         facts = t["fact_lms_progress"]
         if courses is not None:
             part = F.coalesce("course_key", F.lit("none"))
             facts = facts.join(t["dim_course"].where(part.isin(courses)).select("course_id"), "course_id", "left_semi")
-        put("gold_course_progress", gold.course_progress(t.replaced(fact_lms_progress=facts)), courses is None)
-        put("gold_mentor_workload", gold.mentor_workload(t))
-    if months != [] or courses != []:
-        put("gold_intern_performance", gold.intern_performance(t))
+        jobs.append(put("gold_course_progress", gold.course_progress(t.replaced(fact_lms_progress=facts)), courses is None))
+        jobs.append(put("gold_mentor_workload", gold.mentor_workload(t)))
+    if jobs:
+        jobs.append(put("gold_intern_performance", gold.intern_performance(t)))
+    return jobs

@@ -1,31 +1,29 @@
-"""The three models and the projection, as pyspark.ml pipelines trained and scored in batch."""
+"""The three models and the projection, as pipelines trained and scored in batch."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
+import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import (
-    PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
-)
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numbers import round_half_even
+from ..functions.numbers import round_half_even, stable_avg
+from ..operators.moments import dot, moments
 from ..operators.topk import desc
+from ..session import ensure_checkpoint_dir
 from .features import COURSE_FEATURES, PERSON_FEATURES, SCORE_FEATURES
+from .preparation import CentresOfStarts, LevelFlags, MedianImputer, PopulationScaler, Ridge, joined
 
 SEED = 42
 CLUSTERS = 3
 RESTARTS = 10
-PARALLEL_STARTS = 4
+CENTRE_SAMPLE = 10_000  # rows that starting centres are drawn from
 # Names of the clusters, by mean hours, highest first.
 CLUSTER_NAMES = ["High Performer", "Average Performer", "At Risk"]
 UNKNOWN_CLUSTER = "Unknown"
@@ -43,14 +41,11 @@ def with_features(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _course_stages(numeric: list[str]) -> list:
-    """Course as one flag per level, next to the numeric features; an unseen course has no flag set."""
+    """Exact medians for what is missing, a flag per course, all scaled; an unseen course has no flag set."""
     return [
-        StringIndexer(
-            inputCol="course_name", outputCol="course_index",
-            stringOrderType="alphabetAsc", handleInvalid="keep",
-        ),
-        OneHotEncoder(inputCol="course_index", outputCol="course_flags", dropLast=False),
-        VectorAssembler(inputCols=[*numeric, "course_flags"], outputCol="features"),
+        MedianImputer(columns=numeric),
+        LevelFlags(column="course_name", output="course_flags"),
+        PopulationScaler(columns=numeric, arrays=["course_flags"], output="features"),
     ]
 
 
@@ -100,7 +95,7 @@ def train_classifier(
             indexer.transform(data)
         )
         scored = model.transform(indexer.transform(data))
-        accuracy = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(scored)
+        accuracy = scored.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
         return Classifier(model, list(indexer.labels), accuracy)
     finally:
         data.unpersist()
@@ -137,54 +132,37 @@ class Clustering:
 
 def train_clustering(
     people: DataFrame,
-    features: list[str] = PERSON_FEATURES,
-    order_by: str = "total_hours",
+    features: list[str] | str = PERSON_FEATURES,
+    order_by: Column | str = "total_hours",
     k: int = CLUSTERS,
     restarts: int = RESTARTS,
     seed: int = SEED,
     max_iter: int = 300,
 ) -> Clustering:
-    """k-means on standardised features, the best of several starts.
-
-    The scaler divides by the sample deviation; the population deviation would stretch
-    all features by one common factor, which leaves the clusters as they are.
-    """
-    data = with_features(people, features).select(*features)
-    prepare = Pipeline(
+    """k-means on standardised features, the best of several starts; ``features`` are columns or one array column."""
+    columns, arrays = (features, []) if isinstance(features, list) else ([], [features])
+    data = with_features(people, columns)
+    model = Pipeline(
         stages=[
-            VectorAssembler(inputCols=features, outputCol="raw_features"),
-            StandardScaler(inputCol="raw_features", outputCol="scaled", withMean=True, withStd=True),
+            *([MedianImputer(columns=columns)] if columns else []),
+            PopulationScaler(columns=columns, arrays=arrays, output="scaled"),
+            CentresOfStarts(features="scaled", output="cluster_raw", k=k, starts=restarts, seed=seed, rounds=max_iter, sample=CENTRE_SAMPLE),
         ]
     ).fit(data)
-    spark = people.sparkSession
-    scaled = prepare.transform(data).select("scaled", order_by)
-    scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        def fit(start: int) -> KMeansModel:
-            return KMeans(
-                k=k, seed=seed + start, maxIter=max_iter, featuresCol="scaled", predictionCol="cluster_raw"
-            ).fit(scaled)
-
-        # The starts are independent jobs over one stored frame; a few run at a time.
-        with ThreadPoolExecutor(max_workers=PARALLEL_STARTS) as pool:
-            fits = list(pool.map(inheritable_thread_target(spark)(fit), range(restarts)))
-        best = min(fits, key=lambda m: m.summary.trainingCost)
-        means = (
-            best.transform(scaled).groupBy("cluster_raw").agg(F.avg(order_by).alias("mean"))
-            .orderBy(desc("mean"), "cluster_raw")
-            .collect()  # k rows
-        )
-        names = [UNKNOWN_CLUSTER] * k
-        for rank, row in enumerate(means):
-            if rank < len(CLUSTER_NAMES):
-                names[row["cluster_raw"]] = CLUSTER_NAMES[rank]
-        return Clustering(
-            PipelineModel(stages=[*prepare.stages, best]), names, best.summary.trainingCost
-        )
-    finally:
-        scaled.unpersist()
+    means = (
+        model.transform(data.withColumn("_order", F.col(order_by) if isinstance(order_by, str) else order_by))
+        .groupBy("cluster_raw").agg(stable_avg("_order").alias("mean"))
+        .orderBy(desc("mean"), "cluster_raw")
+        .collect()  # k rows
+    )
+    names = [UNKNOWN_CLUSTER] * k
+    for rank, row in enumerate(means):
+        if rank < len(CLUSTER_NAMES):
+            names[row["cluster_raw"]] = CLUSTER_NAMES[rank]
+    return Clustering(model, names, model.stages[-1].value("cost"))
 
 
+# The columns of the stored result.
 CLUSTER_RESULT = [
     "intern_id", "full_name", "cluster_raw", "cluster_label", "total_hours", "distinct_activities",
     "avg_progress_pct", "avg_assignment_ratio", "avg_kc_pct", "avg_test_pct",
@@ -193,11 +171,28 @@ CLUSTER_RESULT = [
 
 
 def assign_clusters(
-    clustering: Clustering, people: DataFrame, features: list[str] = PERSON_FEATURES
+    clustering: Clustering, people: DataFrame, features: list[str] | str = PERSON_FEATURES
 ) -> DataFrame:
-    scored = clustering.model.transform(with_features(people, features))
+    rows = with_features(people, features) if isinstance(features, list) else people
+    scored = clustering.model.transform(rows)
     label = F.coalesce(_label_at(clustering.names, F.col("cluster_raw")), F.lit(UNKNOWN_CLUSTER))
-    return scored.withColumn("cluster_label", label).drop("raw_features", "scaled")
+    return scored.withColumn("cluster_label", label).drop("scaled")
+
+
+def cluster_certificate(clustering: Clustering, people: DataFrame, features: list[str] | str = PERSON_FEATURES) -> DataFrame:
+    """Per cluster: ``people``, and the largest gap between its centre and the mean of its members.
+
+    Members are the rows whose nearest centre it is, so gaps of zero say that no row and no
+    centre would move: the clustering is a fixed point of k-means. One aggregate.
+    """
+    rows = with_features(people, features) if isinstance(features, list) else people
+    scored = clustering.model.transform(rows).select("cluster_raw", vector_to_array("scaled").alias("x"))
+    centres = clustering.model.stages[-1].value("centres")
+    centre = F.array(*[F.array(*[F.lit(v) for v in c]) for c in centres])
+    at = scored.select("cluster_raw", F.posexplode("x").alias("at", "x"))
+    means = at.groupBy("cluster_raw", "at").agg(stable_avg("x").alias("mean"), F.count(F.lit(1)).alias("people"))
+    gap = F.abs(F.col("mean") - F.get(F.get(centre, F.col("cluster_raw")), F.col("at")))
+    return means.groupBy("cluster_raw").agg(F.max("people").alias("people"), F.max(gap).alias("gap"))
 
 
 def cluster_profiles(assigned: DataFrame) -> DataFrame:
@@ -217,40 +212,31 @@ class Regression:
     mae: float
 
 
+def _scored_rows(rows: DataFrame, drop_missing_target: bool) -> DataFrame:
+    return rows.dropna(subset=["test_pct"]) if drop_missing_target else rows.fillna(0, ["test_pct"])
+
+
 def train_regression(
     rows: DataFrame, alpha: float = 1.0, drop_missing_target: bool = False
 ) -> Regression:
-    """Ridge regression of the test score.
+    """Ridge regression of the test score on population-standardised features.
 
-    The penalty of ridge on population-standardised features, restated for an objective
-    that averages over rows and standardises features and target by itself.
+    One pass of cross products gives weights and R2, one more the mean absolute error.
     """
-    data = rows.dropna(subset=["test_pct"]) if drop_missing_target else rows.fillna(0, ["test_pct"])
-    data = with_features(data, SCORE_FEATURES).select("course_name", "test_pct", *SCORE_FEATURES)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = with_features(_scored_rows(rows, drop_missing_target), SCORE_FEATURES)
+    data = data.select("course_name", "test_pct", *SCORE_FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = data.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("test_pct").alias("s")).first()
-        penalty = alpha * (stats["s"] or 0.0) / stats["n"]
-        ridge = LinearRegression(
-            labelCol="test_pct", featuresCol="features", predictionCol="predicted_test_pct",
-            solver="normal", elasticNetParam=0.0, standardization=True, regParam=penalty,
-        )
+        ridge = Ridge(features="features", target="test_pct", output="predicted_test_pct", alpha=alpha)
         model = Pipeline(stages=[*_course_stages(SCORE_FEATURES), ridge]).fit(data)
-        scored = model.transform(data)
-
-        def measure(name: str) -> float:
-            return RegressionEvaluator(
-                labelCol="test_pct", predictionCol="predicted_test_pct", metricName=name
-            ).evaluate(scored)
-
-        return Regression(model, measure("r2"), measure("mae"))
+        mae = model.transform(data).agg(stable_avg("abs(test_pct - predicted_test_pct)")).first()[0]
+        return Regression(model, model.stages[-1].value("r2"), mae)
     finally:
         data.unpersist()
 
 
 def predict_scores(regression: Regression, rows: DataFrame) -> DataFrame:
     scored = regression.model.transform(with_features(rows, SCORE_FEATURES))
-    return scored.drop("course_index", "course_flags", "features")
+    return scored.drop("course_flags", "features")
 
 
 def regression_results(regression: Regression, rows: DataFrame) -> DataFrame:
@@ -260,32 +246,109 @@ def regression_results(regression: Regression, rows: DataFrame) -> DataFrame:
     )
 
 
+def regression_report(regression: Regression, rows: DataFrame) -> DataFrame:
+    """``row_count``, ``r2`` and ``mae`` of the predictions, computed from them in one aggregate."""
+    scored = regression_results(regression, rows)
+    y, off = F.col("test_pct"), F.col("test_pct") - F.col("predicted_test_pct")
+    return scored.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        (F.lit(1.0) - F.sum(off * off) / (F.var_pop(y) * F.count(y))).alias("r2"),
+        stable_avg("abs(test_pct - predicted_test_pct)").alias("mae"),
+    )
+
+
 # ---- projection -------------------------------------------------------------------
 
-def project(people: DataFrame, features: list[str] = PERSON_FEATURES) -> DataFrame:
+def project(people: DataFrame, features: list[str] | str = PERSON_FEATURES) -> DataFrame:
     """Append ``pca_x`` and ``pca_y``: principal components of the centred, unscaled features.
 
-    The sign of a component is free; here its weight of greatest size is positive.
+    ``features`` are columns or one array column. The cross products are one pass; their
+    two main directions are found on the driver, whose matrix has the size of the features
+    squared. The sign of a component is free; here its weight of greatest size is positive.
     """
-    data = with_features(people, features)
-    model = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=features, outputCol="raw_features"),
-            StandardScaler(inputCol="raw_features", outputCol="centred", withMean=True, withStd=False),
-            PCA(k=2, inputCol="centred", outputCol="components"),
-        ]
-    ).fit(data.select(*features))
-    weights = model.stages[-1].pc.toArray()  # features x 2
-    signs = [1.0 if w[abs(w).argmax()] >= 0 else -1.0 for w in weights.T]
-    at = vector_to_array("components")
-    return (
-        model.transform(data)
-        .withColumn("pca_x", at[0] * F.lit(signs[0]))
-        .withColumn("pca_y", at[1] * F.lit(signs[1]))
-        .drop("raw_features", "centred", "components")
-    )
+    columns, arrays = (features, []) if isinstance(features, list) else ([], [features])
+    data = with_features(people, columns)
+    whole = data.select(joined(columns, arrays).alias("x"))
+    first = whole.first()
+    width = len(first["x"]) if first else len(columns)
+    found = moments(whole, "x", width)
+    _, directions = np.linalg.eigh(found.scatter)
+    parts = {}
+    for name, at in (("pca_x", -1), ("pca_y", -2)):
+        w = directions[:, at] if width >= -at else np.zeros(width)
+        w = w if w[np.abs(w).argmax()] >= 0 else -w
+        parts[name] = dot(joined(columns, arrays), w.tolist()) - F.lit(float(w @ found.mean))
+    return data.withColumns(parts)
 
 
 def pca_results(people: DataFrame, assigned: DataFrame) -> DataFrame:
     names = assigned.select("intern_id", "cluster_label", "full_name")
     return project(people).select("intern_id", "pca_x", "pca_y").join(names, "intern_id", "left")
+
+
+# ---- forest as a table ------------------------------------------------------------
+
+def forest_nodes(spark: SparkSession, classifier: Classifier, folder: str) -> DataFrame:
+    """The trees as rows: ``tree``, ``node``, ``feature`` (null for a leaf), ``threshold``, ``low``, ``high``, ``shares``.
+
+    The library writes a fitted model as such rows; they are read back from ``folder``.
+    ``shares`` are a node's weights per class, as parts of their sum.
+    """
+    classifier.model.stages[-1].write().overwrite().save(folder)
+    rows = spark.read.parquet(f"{folder}/data").select("treeID", "nodeData.*")
+    inner = F.col("leftChild") >= 0
+    total = F.aggregate("impurityStats", F.lit(0.0), lambda a, x: a + x)
+    return rows.select(
+        F.col("treeID").alias("tree"), F.col("id").alias("node"),
+        F.when(inner, F.col("split.featureIndex")).alias("feature"),
+        F.when(inner, F.col("split.leftCategoriesOrThreshold")[0]).alias("threshold"),
+        F.col("leftChild").alias("low"), F.col("rightChild").alias("high"),
+        F.transform("impurityStats", lambda x: x / total).alias("shares"),
+    )
+
+
+def forest_shares(nodes: DataFrame, rows: DataFrame, key: str, features: str, depth: int) -> DataFrame:
+    """``key`` and ``by_class``, the mean shares of the leaves a row ends in, by a join with the trees.
+
+    A tree is one row, its nodes arrays in the order of their numbers, so a row meets each
+    tree once and walks down inside the joined row, ``depth`` steps at most. ``features`` is an array column. A tree has at most twice as many nodes as rows
+    it was fitted on, which training bounds. ``share`` arrays have one entry per class.
+    """
+    at = F.array_sort(F.collect_list(F.struct("node", "feature", "threshold", "low", "high", "shares")))
+    trees = nodes.groupBy("tree").agg(at.alias("nodes")).select("tree", *[F.col(f"nodes.{c}").alias(c) for c in ("feature", "threshold", "low", "high", "shares")])
+    # Cut here: else the planner would take the arrays apart again at every step.
+    ensure_checkpoint_dir(rows.sparkSession)
+    trees = trees.checkpoint()
+    numbers = F.sequence(F.lit(0), F.lit(nodes.agg(F.max("tree")).first()[0]))
+    met = rows.select(key, F.col(features).alias("x"), F.explode(numbers).alias("tree")).join(trees, "tree")
+
+    def down(node: Column, _: Column) -> Column:
+        feature = F.get("feature", node)
+        goes_low = F.get("x", feature) <= F.get("threshold", node)
+        return F.when(feature.isNull(), node).when(goes_low, F.get("low", node)).otherwise(F.get("high", node))
+
+    steps = F.sequence(F.lit(1), F.lit(depth))
+    leaf = F.aggregate(steps, F.lit(0), down)
+    votes = met.select(key, F.posexplode(F.get("shares", leaf)).alias("class", "share"))
+    means = votes.groupBy(key, "class").agg(F.avg("share").alias("share"))
+    ordered = F.array_sort(F.collect_list(F.struct("class", "share")))  # one entry per class
+    return means.groupBy(key).agg(F.transform(ordered, lambda s: s["share"]).alias("by_class"))
+
+
+def forest_certificate(spark: SparkSession, classifier: Classifier, rows: DataFrame, folder: str) -> DataFrame:
+    """Per true status: rows, rows whose shares by joins differ from the library's, rows whose shares do not add up to one."""
+    ensure_checkpoint_dir(spark)
+    # Each row becomes as many as there are trees, so a small table is spread over all cores first.
+    tasks = max(rows.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+    scored = classifier.model.transform(with_features(rows.repartition(tasks), COURSE_FEATURES)).select(
+        F.monotonically_increasing_id().alias("row"), "overall_status", vector_to_array("features").alias("x"),
+        vector_to_array("probability").alias("library"),
+    ).checkpoint()
+    depth = classifier.model.stages[-1].getOrDefault("maxDepth")
+    shares = forest_shares(forest_nodes(spark, classifier, folder), scored, "row", "x", depth)
+    off = F.exists(F.zip_with("library", "by_class", lambda a, b: F.coalesce(F.abs(a - b) > 1e-9, F.lit(True))), lambda x: x)
+    total = F.aggregate("by_class", F.lit(0.0), lambda a, x: a + x)
+    return scored.join(shares, "row", "left").groupBy("overall_status").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(F.coalesce(off, F.lit(True))).alias("differing"),
+        F.count_if(F.coalesce(F.abs(total - 1) > 1e-9, F.lit(True))).alias("unbalanced"),
+    )

@@ -170,7 +170,7 @@ def with_status(t: Tables, term: str, status: str = "Not Started", k: int | None
 
 def average_test_per_course(t: Tables) -> DataFrame:
     return t["gold_course_progress"].groupBy("course_name").agg(
-        stable_avg(F.col("test_pct")).alias("avg_test_pct")
+        stable_avg("test_pct").alias("avg_test_pct")
     )
 
 

@@ -39,6 +39,9 @@ class Warehouse(Mapping):
         """The same tables, some of them replaced by other frames; what is derived from them follows."""
         return Warehouse({**self._builders, **{n: lambda w, f=f: f for n, f in frames.items()}})
 
+    def replaced_by(self, builders: Mapping[str, Callable[["Warehouse"], DataFrame]]) -> "Warehouse":
+        return Warehouse({**self._builders, **builders})
+
     @staticmethod
     def from_raw(
         raw_eod: DataFrame,

@@ -228,7 +228,8 @@ def _set_operations() -> dict[str, str]:
     with_hours = f'select {cells} from raw_eod where "Hours" is not null'
     return {
         "s5_s6_bronze_upsert": f"{with_hours} union all (select {cells} from raw_eod except {with_hours})",
-        "r1_bronze_stream": f"select {cells} from raw_eod",
+        "r1_bronze_stream": f"""select {cells} from raw_eod where ingest_seq % 3 = 0 union all (
+            select {cells} from raw_eod except select {cells} from raw_eod where ingest_seq % 3 = 0)""",
         "u1_except": except_sql,
         "u1_except_by_key": except_sql,
         "u2_union_all": "select intern_id, full_name from eod_clean union all select intern_id, full_name from lms_clean",
@@ -236,6 +237,32 @@ def _set_operations() -> dict[str, str]:
     }
 
 
+def _refresh() -> dict[str, str]:
+    """What two runs of the refresh leave, of rows that arrived in two parts."""
+    undated = f"""{c.eod_date('"Date"')} is null"""
+    late = "course_key in ('pyspark', 'big_data')"
+    tables = [
+        ("Bronze", "raw_eod_activities", "raw_eod"), ("Bronze", "raw_lms", "raw_lms"),
+        *[("Silver", t, t) for t in ("dim_intern", "dim_course", "dim_mentor", "dim_activity", "fact_eod_log", "fact_lms_progress")],
+        *[("Gold", t, t) for t in ("gold_weekly_hours", "gold_activity_summary", "gold_course_progress", "gold_intern_performance", "gold_mentor_workload")],
+    ]
+    return {
+        "r2_refresh_counts": " union all ".join(
+            f"select '{layer}' as layer, '{name}' as table_name, count(*) as row_count from {cte}" for layer, name, cte in tables
+        ),
+        "r2_refresh_loads": f"""select 'raw_eod_activities' as kind, case when {undated} then 1 else 0 end as load_no,
+            case when {undated} then 'undated' else strftime({c.eod_date('"Date"')}, '%Y-%m') end as bronze_part, count(*) as row_count from raw_eod group by all
+            union all select 'raw_lms', case when {late} then 1 else 0 end, course_key, count(*) from raw_lms group by all""",
+        "s9_silver_ids": """select 'fact_eod_log' as table_name, 0 as first, count(*) - 1 as last, count(*) as ids from eod_clean
+            union all select 'fact_lms_progress', 0, count(*) - 1, count(*) from lms_clean""",
+        "s9_silver_logs": "select * exclude (log_id) from fact_eod_log",
+        "s9_silver_progress": "select * exclude (progress_id) from fact_lms_progress",
+        "s10_gold_weekly": "select * exclude (full_name) from gold_weekly_hours",
+        "s10_gold_people": "select * exclude (full_name) from gold_intern_performance",
+        "s10_gold_workload": "select * from gold_mentor_workload",
+    }
+
+
 def _questions() -> dict[str, str]:
     adhoc = """select course_name, overall_status, count(*) as n from gold_course_progress
         where full_name <> 'O''Brien' group by 1, 2"""
@@ -340,7 +367,87 @@ def _features() -> dict[str, str]:
     }
 
 
+SCORE_FEATURES = ["progress_pct", "kc_pct", "assignment_ratio", *[k for k, _ in DOMAINS]]
+PERSON_FEATURES = [
+    "total_hours", "distinct_activities", "avg_progress_pct", "avg_assignment_ratio", *[k for k, _ in DOMAINS], "weekend_hours",
+]
+
+
+def _array(columns: list[str], flags: list[str] = ()) -> str:
+    cells = [f"cast({x} as double)" for x in columns] + [f"case when course_name = '{v}' then 1.0::double else 0 end" for v in flags]
+    return "[" + ", ".join(cells) + "]"
+
+
+def _ridge() -> str:
+    """Weights by elimination on (Z'Z + I | Z'y), which is positive definite and needs no pivoting."""
+    levels = sorted(name or "Introduction to Data Engineering & Big Data" for *_, name, _ in c.COURSES)
+    seen = [v for v in levels]
+    return f"""samples as (select row_number() over () as r, intern_id, course_name, test_pct as y, {_array(SCORE_FEATURES, seen)} as x from ({COURSE_SQL})),
+      cells as (select r, y, unnest(x) as v, generate_subscripts(x, 1) as j from samples),
+      spread as (select j, avg(v) as m, stddev_pop(v) as s from cells group by j),
+      scaled as (select r, y - (select avg(y) from samples) as y, j, case when s > 0 then (v - m) / s else 0 end as z from cells join spread using (j)),
+      cross_products as (select a.j as i, b.j as j, sum(a.z * b.z) + case when a.j = b.j then 1 else 0 end as g from scaled a join scaled b using (r) group by a.j, b.j),
+      own_products as (select j as i, sum(z * y) as b from scaled group by j),
+      system as (select list(line order by i) as m from (
+        select i, list_concat(list(g order by j), [any_value(b)]) as line from cross_products join own_products using (i) group by i)),
+      steps as (
+        select 0 as k, m from system
+        union all
+        select k + 1, list_transform(m, lambda line, i: case when i = k + 1 then list_transform(line, lambda v: v / line[k + 1])
+          else list_transform(line, lambda v, col: v - line[k + 1] * m[k + 1][col] / m[k + 1][k + 1]) end)
+        from steps where k < len(m)),
+      weights as (select unnest(list_transform(m, lambda line: line[-1])) as w, generate_subscripts(m, 1) as j from steps order by k desc limit {len(SCORE_FEATURES) + len(seen)}),
+      guesses as (select r, sum(z * w) + (select avg(y) from samples) as p from scaled join weights using (j) group by r)"""
+
+
+def _main_direction(matrix: str, name: str) -> str:
+    """The matrix squared until only its main direction is left, scaled to trace 1."""
+    trace = "list_sum(list_transform(m, lambda line, i: line[i]))"
+    return f"""{name}_powers as (
+        select 0 as k, list_transform(m, lambda line: list_transform(line, lambda v: v / {trace})) as m from {matrix}
+        union all
+        select k + 1, list_transform(s, lambda line: list_transform(line, lambda v: v / t)) from (
+          select k, s, list_sum(list_transform(s, lambda line, i: line[i])) as t from (
+            select k, list_transform(m, lambda a: list_transform(m, lambda b: list_dot_product(a, b))) as s from {name}_powers where k < 40))),
+      {name} as (
+        select list_transform(m[top], lambda v: v / sqrt(m[top][top])) as w from (
+          select m, list_position(list_transform(m, lambda line, i: line[i]), list_max(list_transform(m, lambda line, i: line[i]))) as top
+          from (select m from {name}_powers order by k desc limit 1)))"""
+
+
+def _projection() -> str:
+    n = len(PERSON_FEATURES)
+    return f"""people as (select intern_id, {_array(PERSON_FEATURES)} as x from ({PERSON_SQL})),
+      cells as (select intern_id, unnest(x) as v, generate_subscripts(x, 1) as j from people),
+      middle as (select list(m order by j) as m from (select j, avg(v) as m from cells group by j)),
+      centred as (select intern_id, list_transform(x, lambda v, i: v - m[i]) as x from people, middle),
+      gaps as (select intern_id, unnest(x) as v, generate_subscripts(x, 1) as j from centred),
+      scatter as (select list(line order by i) as m from (select i, list(g order by j) as line from (
+        select a.j as i, b.j as j, sum(a.v * b.v) as g from gaps a join gaps b using (intern_id) group by a.j, b.j) group by i)),
+      {_main_direction("scatter", "first_direction")},
+      leftover as (
+        select list_transform(m, lambda line, i: list_transform(line, lambda v, j: v - size * w[i] * w[j])) as m from (
+          select m, w, list_sum(list_transform(m, lambda line, i: list_dot_product(line, w) * w[i])) as size from scatter, first_direction)),
+      {_main_direction("leftover", "second_direction")}"""
+
+
+def _models() -> dict[str, str | tuple[str, str]]:
+    """Closed forms, and what any right fit must show: counts, no row at odds, nothing left to move."""
+    scores = f"select intern_id, course_name, y as test_pct, round(p, 4) as predicted_test_pct from samples join guesses using (r)"
+    report = "select count(*) as row_count, round(1 - sum((y - p) ** 2) / (var_pop(y) * count(*)), 8) as r2, round(avg(abs(y - p)), 6) as mae from samples join guesses using (r)"
+    projected = """select intern_id, round(list_dot_product(x, a.w), 4) as pca_x, round(list_dot_product(x, b.w), 4) as pca_y
+        from centred, first_direction a, second_direction b"""
+    return {
+        "m8_m17_forest_by_joins": f"select overall_status, count(*) as row_count, 0 as differing, 0 as unbalanced from ({COURSE_SQL}) group by overall_status",
+        "m10_m11_cluster_certificate": "select 3 as clusters, count(*) as members, true as at_rest from dim_intern",
+        "m10_embedding_certificate": "select 3 as clusters, count(*) as members, true as at_rest from embeddings",
+        "m13_ridge_scores": (scores, _ridge()),
+        "m14_score_report": (report, _ridge()),
+        "m15_projection": (projected, _projection()),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    groups = (_cleaning, _predicates, _joins, _layers, _dashboard, _set_operations, _questions, _features)
+    groups = (_cleaning, _predicates, _joins, _layers, _dashboard, _set_operations, _refresh, _questions, _features, _models)
     bodies = {name: sql for group in groups for name, sql in group().items()}
-    return {name: c.statement(sql) for name, sql in bodies.items()}
+    return {name: c.statement(*sql) if isinstance(sql, tuple) else c.statement(sql) for name, sql in bodies.items()}
