@@ -308,29 +308,22 @@ def forest_nodes(spark: SparkSession, classifier: Classifier, folder: str) -> Da
 
 
 def forest_shares(nodes: DataFrame, rows: DataFrame, key: str, features: str, depth: int) -> DataFrame:
-    """``key`` and ``by_class``, the mean shares of the leaves a row ends in, by a join with the trees.
+    """``key`` and ``by_class``, the mean shares of the leaves a row ends in, one per tree, by joins with the node table.
 
-    A tree is one row, its nodes arrays in the order of their numbers, so a row meets each
-    tree once and walks down inside the joined row, ``depth`` steps at most. ``features`` is an array column. A tree has at most twice as many nodes as rows
-    it was fitted on, which training bounds. ``share`` arrays have one entry per class.
+    A row stands at the root of every tree and goes down one level per join, ``depth`` at
+    most. ``features`` is an array column. Nodes join by (tree, node), so a forest too large
+    to be broadcast only makes the planner choose another join.
     """
-    at = F.array_sort(F.collect_list(F.struct("node", "feature", "threshold", "low", "high", "shares")))
-    trees = nodes.groupBy("tree").agg(at.alias("nodes")).select("tree", *[F.col(f"nodes.{c}").alias(c) for c in ("feature", "threshold", "low", "high", "shares")])
-    # Cut here: else the planner would take the arrays apart again at every step.
-    ensure_checkpoint_dir(rows.sparkSession)
-    trees = trees.checkpoint()
-    numbers = F.sequence(F.lit(0), F.lit(nodes.agg(F.max("tree")).first()[0]))
-    met = rows.select(key, F.col(features).alias("x"), F.explode(numbers).alias("tree")).join(trees, "tree")
-
-    def down(node: Column, _: Column) -> Column:
-        feature = F.get("feature", node)
-        goes_low = F.get("x", feature) <= F.get("threshold", node)
-        return F.when(feature.isNull(), node).when(goes_low, F.get("low", node)).otherwise(F.get("high", node))
-
-    steps = F.sequence(F.lit(1), F.lit(depth))
-    leaf = F.aggregate(steps, F.lit(0), down)
-    votes = met.select(key, F.posexplode(F.get("shares", leaf)).alias("class", "share"))
-    means = votes.groupBy(key, "class").agg(F.avg("share").alias("share"))
+    trees = nodes.agg(F.max("tree")).first()[0] + 1
+    at = rows.select(key, F.col(features).alias("x"), F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("node"))
+    inner = nodes.select("tree", "node", "feature", "threshold", "low", "high").where("feature is not null")
+    going = F.when(F.get("x", F.col("feature")) <= F.col("threshold"), F.col("low")).otherwise(F.col("high"))
+    for _ in range(depth):
+        stepped = at.join(inner, ["tree", "node"], "left")
+        at = stepped.select(key, "x", "tree", F.when(F.col("feature").isNull(), F.col("node")).otherwise(going).alias("node"))
+    leaves = at.select(key, "tree", "node").join(nodes.select("tree", "node", "shares"), ["tree", "node"])
+    each = leaves.select(key, F.posexplode("shares").alias("class", "share"))
+    means = each.groupBy(key, "class").agg((F.sum("share") / trees).alias("share"))
     ordered = F.array_sort(F.collect_list(F.struct("class", "share")))  # one entry per class
     return means.groupBy(key).agg(F.transform(ordered, lambda s: s["share"]).alias("by_class"))
 
