@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-import re
+import uuid
 from collections.abc import Mapping
 from functools import reduce
 from typing import Any
@@ -22,17 +22,10 @@ ANSWER_LIMIT = 50
 PREVIEW_ROWS = 10
 
 # What a question must not contain, regardless of case.
-BLOCKED = [
-    r"ignore previous",
-    r"system prompt",
-    r"drop table",
-    r"delete from",
-    r"update\s+\w",
-    r"insert into",
-    r"truncate\s+\w",
-    r"--\s",
-    r"/\*",
-]
+BLOCKED = (
+    r"(?iuU)(ignore previous|system prompt|drop table|delete from|update\s+\w|"
+    r"insert into|truncate\s+\w|--\s|/\*)"
+)
 OUT_OF_CONTEXT = "OUT_OF_CONTEXT"
 
 # How people name the courses, and what the course name then contains.
@@ -48,7 +41,7 @@ COURSE_TERMS = {
 
 
 def allowed(question: Column) -> Column:
-    return ~question.rlike("(?iuU)(" + "|".join(BLOCKED) + ")")
+    return ~question.rlike(BLOCKED)
 
 
 def _head(answer: Column) -> Column:
@@ -66,9 +59,44 @@ def statement(answer: Column) -> Column:
     return F.when(~out_of_context(answer), strip(F.rtrim(_head(answer), F.lit(";" + WHITESPACE))))
 
 
-# Functions that call into the JVM, however they are quoted.
-REFLECTION = re.compile(r"\b(try_reflect|reflect|java_method)\b`?\s*\(", re.I)
-COMMENT = re.compile(r"/\*.*?\*/|--[^\n]*", re.S)
+# Expressions that run code from outside the engine, or tell of its surroundings.
+REFUSED = {
+    "CallMethodViaReflection", "ScalaUDF", "PythonUDF", "PythonUDAF", "InputFileName", "InputFileBlockStart",
+    "InputFileBlockLength", "CurrentUser", "CurrentDatabase", "CurrentCatalog", "SparkVersion", "Version",
+}
+EXPRESSIONS = "org.apache.spark.sql.catalyst."
+# Plans without rows from outside the statement.
+OWN_ROWS = {"OneRowRelation", "LocalRelation", "Range", "CTERelationRef"}
+
+
+def _listed(seq: Any) -> list[Any]:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _check_expression(node: Any, views: set[str]) -> None:
+    kind = node.getClass()
+    if kind.getSimpleName() in REFUSED or not kind.getName().startswith(EXPRESSIONS):
+        raise ValueError(f"{kind.getSimpleName()} is not run")
+    for child in _listed(node.children()):
+        _check_expression(child, views)
+    if hasattr(node, "plan") and "Subquery" in kind.getSimpleName():
+        _check_plan(node.plan(), views)
+
+
+def _check_plan(node: Any, views: set[str]) -> None:
+    """Refuse rows from anything but the named views and the statement itself, and refused expressions."""
+    kind = node.getClass().getSimpleName()
+    if kind == "View":
+        if not node.isTempView() or node.desc().identifier().table() not in views:
+            raise ValueError("only the given views are read")
+        return
+    children = _listed(node.children())
+    if not children and kind not in OWN_ROWS:
+        raise ValueError(f"only the given views are read, not {kind}")
+    for expression in _listed(node.expressions()):
+        _check_expression(expression, views)
+    for child in children:
+        _check_plan(child, views)
 
 
 def run_sql(
@@ -80,27 +108,29 @@ def run_sql(
     """Run one query over the named views; cells come back as plain values.
 
     The text is placed in a FROM clause, where the grammar admits queries only, so a
-    statement that writes or changes anything does not parse. Functions that reach the
-    JVM and files named as tables are refused. The views are gone afterwards.
+    statement that writes or changes anything does not parse. It is analysed, but not run,
+    in a session of its own; the analysed plan is then walked: it may read the given views
+    and rows it makes itself, no other table or file, and call no refused expression. The
+    caller's session, its settings and its views stay as they are, so calls do not disturb
+    each other.
     """
     text = sql.strip().rstrip(";")
     if not text.upper().startswith(("SELECT", "WITH")):
         raise ValueError("only SELECT and WITH statements are run")
-    if REFLECTION.search(COMMENT.sub(" ", text)):
-        raise ValueError("functions that call into the JVM are not run")
-    on_files = spark.conf.get("spark.sql.runSQLOnFiles", "true")
-    spark.conf.set("spark.sql.runSQLOnFiles", "false")
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
+    own = spark.newSession()
+    shared = {name: f"v{uuid.uuid4().hex}" for name in views or {}}
     try:
-        result = spark.sql(f"SELECT * FROM (\n{text}\n)", args=dict(args or {}))
+        for name, df in (views or {}).items():
+            df.createGlobalTempView(shared[name])
+            own.table(f"global_temp.{shared[name]}").createTempView(name)
+        result = own.sql(f"SELECT * FROM (\n{text}\n)", args=dict(args or {}))
+        _check_plan(result._jdf.queryExecution().analyzed(), set(shared))
         return result.select(
             *[presentable(F.col(f"`{c}`"), dtype).alias(c) for c, dtype in result.dtypes]
         )
     finally:
-        spark.conf.set("spark.sql.runSQLOnFiles", on_files)
-        for name in views or {}:
-            spark.catalog.dropTempView(name)
+        for name in shared.values():
+            spark.catalog.dropGlobalTempView(name)
 
 
 def answered(

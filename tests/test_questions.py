@@ -103,3 +103,27 @@ def test_sql_reaches_neither_the_jvm_nor_files(spark, tmp_path):
     columns, rows, error = questions.answered(spark, "SELECT full_name FROM people_of_test", {"people_of_test": people})
     assert (columns, rows, error) == (["full_name"], [("Ann",)], None)
     assert not spark.catalog.tableExists("people_of_test")
+
+
+def test_sql_is_judged_by_its_plan(spark, database):
+    """Text that hides a call in literals or comments, stored tables, and subqueries over them."""
+    people = spark.createDataFrame([("Ann", 1.0), ("Bo", 3.0)], "full_name string, score double")
+    people.write.saveAsTable(f"{database}.secret")
+    views, before = {"people": people}, dict(spark.sparkContext.getConf().getAll()) | {"f": spark.conf.get("spark.sql.runSQLOnFiles")}
+    for sql in (
+        "SELECT '/*' AS a, reflect('java.lang.System','getProperty','java.version') AS b, '*/' AS c",
+        "SELECT reflect/*/**/*/('java.lang.System','getProperty','java.version')",
+        "SELECT 1 WHERE (SELECT reflect('java.lang.System','getProperty','java.version')) > ''",
+        f"SELECT * FROM {database}.secret",
+        f"SELECT full_name FROM people WHERE score IN (SELECT score FROM {database}.secret)",
+        f"WITH s AS (SELECT * FROM {database}.secret) SELECT 1 FROM people WHERE EXISTS (SELECT 1 FROM s)",
+        "SELECT input_file_name() FROM people",
+        "SELECT current_user()",
+    ):
+        with pytest.raises(Exception):
+            questions.run_sql(spark, sql, views)
+    sql = """WITH p AS (SELECT upper(full_name) AS n, score FROM people WHERE score > (SELECT avg(score) FROM people))
+        SELECT n, count(*) AS c, sum(score) OVER (PARTITION BY n) AS s, 'reflect(' AS text FROM p, (VALUES (1), (2)) v(x) GROUP BY n, score"""
+    assert [tuple(r) for r in questions.run_sql(spark, sql, views).collect()] == [("BO", 2, 3.0, "reflect(")]
+    assert dict(spark.sparkContext.getConf().getAll()) | {"f": spark.conf.get("spark.sql.runSQLOnFiles")} == before
+    assert not [t for t in spark.catalog.listTables("global_temp") if t.namespace == ["global_temp"]]
