@@ -10,11 +10,12 @@ they come out live; the fixed kinds always stay.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,14 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: Kinds that the method adds: (kind, what must occur in a text, pattern, group of the value).
 WIDER = (
     ("bearer", "earer ", re.compile(r"[Bb]earer\x20+([A-Za-z0-9._~+/=-]{20,})", re.A), 1),
-    ("key_block", "PRIVATE KEY-----", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----([^-]{20,})-----END [A-Z ]*PRIVATE KEY-----"), 1),
-    ("url_login", "://", re.compile(r"://[^\s:/@]{1,64}:([^\s:/@]{6,128})@"), 1),
+    # Up to the next end mark; headers of encrypted keys, with their hyphens, are part of it.
+    ("key_block", "PRIVATE KEY-----", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----((?:(?!-----).){20,}?)-----END [A-Z ]*PRIVATE KEY-----", re.S), 1),
+    ("url_login", "://", re.compile(r"://[^\s:/@]+:([^\s:/@]{6,})@"), 1),
 )
+#: Ids that look random and open nothing.
+UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+#: Part of the neighbours in a mixed run that differ in kind, from which on it is a token.
+CHANGES = 0.4
 MIXED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}", re.A)
 #: Owners, and repositories of all owners together, from which on a value is an example.
 EXAMPLE_OWNERS, EXAMPLE_REPOS = 3, 4
@@ -60,6 +66,46 @@ def random_looking(value: str, least: float = LIVE_BITS) -> bool:
     return 0 < digits < len(value) and bits(value) >= least
 
 
+class Covered:
+    """Stretches of a text that are taken, overlapping ones joined, in order; questions take a binary search."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self._starts: list[int] = []
+        self._stops: list[int] = []
+        for a, b in sorted(spans):
+            if self._stops and a < self._stops[-1]:
+                self._stops[-1] = max(b, self._stops[-1])
+            else:
+                self._starts.append(a)
+                self._stops.append(b)
+
+    def free(self, a: int, b: int) -> bool:
+        after = bisect.bisect_right(self._stops, a)
+        return after == len(self._starts) or self._starts[after] >= b
+
+    def add(self, a: int, b: int) -> None:
+        """Take a free stretch."""
+        at = bisect.bisect_left(self._starts, a)
+        self._starts.insert(at, a)
+        self._stops.insert(at, b)
+
+
+def kind_of(c: str) -> int:
+    return 0 if c.islower() else 1 if c.isupper() else 2
+
+
+def one_token(value: str, least: float = CHANGES) -> bool:
+    """Whether a mixed run is one random token, and no path, slug, URL or UUID.
+
+    It has small and capital letters and digits, and goes from one to another often: 62 of
+    100 neighbours differ in kind in random tokens, a third at most in words put together.
+    """
+    kinds = [kind_of(c) for c in value if c.isalnum()]
+    if len(set(kinds)) < 3 or UUID.fullmatch(value):
+        return False
+    return sum(a != b for a, b in zip(kinds, kinds[1:])) >= least * (len(kinds) - 1)
+
+
 def candidates(text: str | None) -> list[tuple[int, int, int, bytes, bool]]:
     """(kind, start, stop, hash of the value, may be live), by start and kind; code points, stop exclusive.
 
@@ -69,12 +115,12 @@ def candidates(text: str | None) -> list[tuple[int, int, int, bytes, bool]]:
     found = [("assign", *m.span(), m[1]) for m in ASSIGN.finditer(text) if len(m[1]) >= 6] if "=" in text or ":" in text else []
     found += [("access", *m.span(), m[0]) for m in ACCESS.finditer(text)] if "AKIA" in text else []
     found += [("hex", *m.span(), m[0]) for m in HEX.finditer(text)]
-    covered = [(a, b) for _, a, b, _ in found]
+    covered = Covered((a, b) for _, a, b, _ in found)
     wider = [(kind, *m.span(), m[group]) for kind, need, rule, group in WIDER if need in text for m in rule.finditer(text)]
-    wider += [("mixed", *m.span(), m[0]) for m in MIXED.finditer(text) if any(c.isdigit() for c in m[0])]
+    wider += [("mixed", *m.span(), m[0]) for m in MIXED.finditer(text) if one_token(m[0])]
     for kind, a, b, value in wider:
-        if random_looking(value) and not any(a < y and x < b for x, y in covered):
-            covered.append((a, b))
+        if random_looking(value) and covered.free(a, b):
+            covered.add(a, b)
             found.append((kind, a, b, value))
     rows = [(KINDS.index(k), a, b, hashlib.sha256(v.encode()).digest()[:16], k in BASE or random_looking(v)) for k, a, b, v in found]
     return sorted(rows, key=lambda r: (r[1], r[0]))

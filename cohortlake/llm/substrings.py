@@ -3,9 +3,9 @@
 Chunks end at words where a gear rolling hash of the words is smallest among its
 neighbours. That depends on nothing but a few words around the end, so an insertion moves
 no other end, and a passage is cut alike wherever it stands. Chunks with equal digests are
-duplicates, in one document or in several; of each, the first occurrence in the smallest
-doc_id stays. Consecutive chunks that other documents hold too form a passage once they have
-enough words.
+duplicates, in one document or in several. Consecutive chunks that occur before form a passage
+once they have enough words; of each passage the first occurrence in the smallest doc_id stays,
+and phrases below that length are left alone.
 """
 
 from __future__ import annotations
@@ -76,26 +76,34 @@ def chunked(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
     return frame.mapInArrow(run, kinds)
 
 
-def passages(marks: Column, at: Column, least: int) -> Column:
-    """Runs of consecutive chunk numbers (sorted) with at least so many words, as (start, stop) in words."""
+def runs_of(marks: Column, at: Column, least: int) -> Column:
+    """Runs of consecutive chunk numbers (sorted) with at least so many words: first and last chunk, start and stop in words."""
     # A run starts where the number before is not among them, and stops where the number after is not.
     firsts = F.filter(marks, lambda x, i: (i == 0) | (F.get(marks, i - 1) < x - 1))
     lasts = F.filter(marks, lambda x, i: F.coalesce(F.get(marks, i + 1) > x + 1, F.lit(True)))
-    runs = F.transform(F.arrays_zip(firsts.alias("a"), lasts.alias("b")), lambda r: F.struct(F.get(at, r["a"]).alias("start"), F.get(at, r["b"] + 1).alias("stop")))
+    runs = F.transform(
+        F.arrays_zip(firsts.alias("a"), lasts.alias("b")),
+        lambda r: F.struct(r["a"].alias("a"), r["b"].alias("b"), F.get(at, r["a"]).alias("start"), F.get(at, r["b"] + 1).alias("stop")),
+    )
     return F.filter(runs, lambda r: r["stop"] - r["start"] >= least)
 
 
+def spans_of(runs: str) -> Column:
+    return F.transform(runs, lambda r: F.struct(r["start"].alias("start"), r["stop"].alias("stop")))
+
+
 def numbers_of(marks: str, which: Callable[[Column], Column]) -> Column:
     return F.transform(F.filter(marks, which), lambda x: x["k"])
 
 
 def shared_passages(docs: DataFrame, text: str = "text", least: int = PASSAGE_WORDS, numbered: bool = False) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_words``, ``n_chunks``, ``n_shared`` (chunks that other
-    documents hold too), ``n_dropped`` (those of them that an earlier document, or this one before, holds),
-    ``n_repeated`` (chunks that occur again anywhere, in this document too), ``n_later`` (those of them that
-    are not the first occurrence), ``passages`` (array of start and stop in words, of chunks that other
-    documents hold), ``repeats`` (whether there are any) and ``drop_spans`` (array of start and stop in words,
-    of all ``n_later`` chunks: without them every chunk occurs once in the corpus).
+    """One row per row of ``docs``: ``doc_id``, ``n_words``, ``n_chunks``, ``n_common`` (chunks that other
+    documents hold too), ``n_shared`` (those of them that lie in passages), ``n_dropped`` (those of the shared
+    that an earlier document, or this one before, holds), ``n_repeated`` (chunks that occur again anywhere, in
+    this document too), ``n_later`` (those of them that are not the first occurrence), ``passages`` (array of
+    start and stop in words, of consecutive chunks that other documents hold, ``least`` words at least),
+    ``repeats`` (whether there are any) and ``drop_spans`` (array of start and stop in words, of consecutive
+    chunks among ``n_later``, ``least`` words at least). A phrase below that is nobody's copy: it stays.
 
     Documents are told apart by rows, so repeated rows share everything; the smallest
     doc_id, null last, counts as the earliest. Null and blank texts have no chunks. Extra
@@ -119,14 +127,17 @@ def shared_passages(docs: DataFrame, text: str = "text", least: int = PASSAGE_WO
     out = rows.select("row", "doc_id", "at").join(marked, "row", "left")
     none = F.array().cast("array<struct<k:int,later:boolean,other:boolean>>")
     out = out.select("row", "doc_id", "at", F.coalesce("m", none).alias("m")).select(
-        "row", "doc_id", "at", numbers_of("m", lambda x: x["other"]).alias("k"), numbers_of("m", lambda x: x["later"]).alias("later"),
-        F.size("m").alias("n"), F.size(F.filter("m", lambda x: x["other"] & x["later"])).alias("d"),
+        "row", "doc_id", "at", "m", numbers_of("m", lambda x: x["other"]).alias("k"), numbers_of("m", lambda x: x["later"]).alias("later"),
     )
+    out = out.select("*", runs_of(F.col("k"), F.col("at"), least).alias("shared"), runs_of(F.col("later"), F.col("at"), least).alias("dropped"))
+    inside = lambda x: F.exists("shared", lambda r: (r["a"] <= x["k"]) & (x["k"] <= r["b"]))
     out = out.select(
         *["row"] * numbered, "doc_id", F.element_at("at", -1).cast("long").alias("n_words"), (F.size("at") - 1).cast("long").alias("n_chunks"),
-        F.size("k").cast("long").alias("n_shared"), F.col("d").cast("long").alias("n_dropped"),
-        F.col("n").cast("long").alias("n_repeated"), F.size("later").cast("long").alias("n_later"), passages(F.col("k"), F.col("at"), least).alias("passages"),
-        passages(F.col("later"), F.col("at"), 1).alias("drop_spans"),
+        F.size("k").cast("long").alias("n_common"),
+        F.aggregate("shared", F.lit(0).cast("long"), lambda n, r: n + r["b"] - r["a"] + 1).alias("n_shared"),
+        F.size(F.filter("m", lambda x: x["other"] & x["later"] & inside(x))).cast("long").alias("n_dropped"),
+        F.size("m").cast("long").alias("n_repeated"), F.size("later").cast("long").alias("n_later"),
+        spans_of("shared").alias("passages"), spans_of("dropped").alias("drop_spans"),
     )
     return out.withColumn("repeats", F.size("passages") > 0)
 
@@ -144,16 +155,16 @@ def without(text: str | None, spans: list[dict] | None) -> str | None:
     return b"".join([*out, body[end:]]).decode("utf-8", "surrogatepass")
 
 
-def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without the later occurrences of chunks: of each chunk the first one stays, in the smallest doc_id.
+def deduplicated(docs: DataFrame, text: str = "text", least: int = PASSAGE_WORDS) -> DataFrame:
+    """``docs`` without the later occurrences of passages of ``least`` words: the first one stays, in the smallest doc_id.
 
-    All rows and columns stay; a text of which nothing is left is empty or white space.
+    Shorter repeats stay too; with ``least`` 1 every chunk is left once in the corpus. All rows and columns stay; a text of which nothing is left is empty or white space.
     """
     row, spans = (free_name(x, docs.columns) for x in ("row", "drop_spans"))
     names = docs.columns
     known = cut(docs.withColumn(row, F.monotonically_increasing_id()))
-    found = shared_passages(known.select("doc_id", F.col(row).alias("row"), F.col(text).alias("text")), numbered=True)
-    found = found.where("n_later > 0").select(F.col("row").alias(row), F.col("drop_spans").alias(spans))
+    found = shared_passages(known.select("doc_id", F.col(row).alias("row"), F.col(text).alias("text")), least=least, numbered=True)
+    found = found.where(F.size("drop_spans") > 0).select(F.col("row").alias(row), F.col("drop_spans").alias(spans))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
