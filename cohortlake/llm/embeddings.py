@@ -197,7 +197,7 @@ def linked(queries: np.ndarray, points: np.ndarray, own: np.ndarray, cosine: flo
     ``own``: for each query the point that is the query itself, or -1. A beam that does not
     find it has lost its way and is widened like a full one.
     """
-    graph = Graph(points) if len(points) > 4 * beam else None
+    graph = Graph(points)
     lean = 1e-5  # single precision finds, double precision decides
 
     def confirmed(q: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -213,7 +213,7 @@ def linked(queries: np.ndarray, points: np.ndarray, own: np.ndarray, cosine: flo
 
     def walk(q: np.ndarray, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
         out, wider = [], []
-        if graph is None or 4 * width >= len(points):
+        if width >= len(points):
             return scan(q)  # a beam as wide as the shard
         for k in range(0, len(q), BATCH):
             part = q[k : k + BATCH]

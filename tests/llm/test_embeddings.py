@@ -47,6 +47,23 @@ def test_sample_against_all_pairs(spark, shard):
     assert sorted(repr((r[0], r[1], r[2])) for r in got) == want
 
 
+def test_thousands_of_one_label_through_the_graph(spark):
+    """Groups of copies and of near vectors among vectors apart, in several shards; no beam is as wide as a shard."""
+    rng = np.random.default_rng(3)
+    apart, middles = rng.standard_normal((1500, 32)), rng.standard_normal((60, 32))
+    near = (middles[:, None] + 0.03 * rng.standard_normal((60, 10, 32))).reshape(-1, 32)
+    data = np.concatenate([apart, near, np.repeat(apart[:3], 40, axis=0)]).astype(np.float32)
+    order = rng.permutation(len(data))
+    rows = [(int(k), 7, data[i].tolist()) for k, i in enumerate(order)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(df, shard=700).collect()}
+    unit = embeddings.unit(data[order])
+    x, y = np.nonzero(np.triu(unit @ unit.T >= 0.98, 1))
+    roots = local_roots(len(data), x, y)
+    links = np.bincount(np.concatenate([x, y]), minlength=len(data))
+    assert got == {k: (int(links[k]), int(roots[k])) for k in range(len(data))}
+
+
 def test_graph_finds_large_groups_and_neighbours():
     rng = np.random.default_rng(0)
     apart, middle = rng.standard_normal((1500, 32)), rng.standard_normal(32)
