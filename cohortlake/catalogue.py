@@ -336,6 +336,8 @@ def _layers() -> dict[str, Query]:
         "g4_intern_performance": table("gold_intern_performance"),
         "g5_mentor_workload": table("gold_mentor_workload"),
         "q1_row_counts": _on(quality.row_counts),
+        "q1_course_counts": _from_raw(lambda t: quality.course_counts(t["raw_lms"])),
+        "q4_progress_losses": _from_raw(quality.progress_losses),
         "q2_null_counts": _on(lambda t: quality.null_counts(t["fact_lms_progress"])),
         "q3_outlier_counts": _on(quality.outlier_counts),
         "q4_cleaning_counts": _from_raw(lambda t: quality.cleaning_counts(t["eod_clean"])),
@@ -719,7 +721,7 @@ def _models() -> dict[str, Query]:
         "m15_j9_pca_results": _on(projected),
         "m15_embedding_projection": embedding_projection,
         "a19_cluster_distribution": _on(lambda t: d.cluster_distribution(projected(t))),
-        "a20_score_range": _on(lambda t: d.score_range(scored(t))),
+        "a20_score_range": _on(lambda t: d.score_range(scored(t)).select(F.round("low", 4).alias("low"), F.round("high", 4).alias("high"))),
         "a21_cluster_table": _on(lambda t: d.cluster_table(clustered(t))),
     }
 

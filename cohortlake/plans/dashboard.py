@@ -27,6 +27,7 @@ KC_THRESHOLD = 60.0
 
 # ---- headline figures -------------------------------------------------------------
 
+# The headline figures.
 KPIS = ["total_interns", "total_hours", "total_eod", "avg_progress", "completions"]
 
 
@@ -386,7 +387,7 @@ def principal(t: Tables, login: str, role: str) -> DataFrame:
 # ---- model results ----------------------------------------------------------------
 
 def cluster_distribution(pca: DataFrame) -> DataFrame:
-    return pca.groupBy("cluster_label").agg(F.count(F.lit(1)).alias("people")).orderBy(desc("people"))
+    return pca.groupBy("cluster_label").agg(F.count(F.lit(1)).alias("people")).orderBy(desc("people"), asc("cluster_label"))
 
 
 def score_range(regression: DataFrame) -> DataFrame:

@@ -85,6 +85,28 @@ def cleaning_counts(eod_clean: DataFrame) -> DataFrame:
     return eod_clean.agg(*_losses())
 
 
+def course_counts(raw_lms: DataFrame) -> DataFrame:
+    """Raw rows of each course's export; the course partitions the table."""
+    return raw_lms.groupBy("course_key").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def progress_losses(t: Tables) -> DataFrame:
+    """What cleaning and joining lose of the progress rows, per course: one aggregate, and one over people."""
+    lms, people = t["lms_clean"], t["dim_intern"].select("intern_id", F.lit(1).alias("known"))
+    scores = ("progress_pct", "kc_pct", "test_pct", "assignment_ratio")
+    per_person = lms.groupBy("course_key", "intern_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("start_date").isNull()).alias("undated"),
+        F.count_if(F.col("overall_status") == "Unknown").alias("unknown"),
+        *[F.count_if(F.col(c).isNull()).alias(f"no_{c}") for c in scores],
+    )
+    lost = F.when(F.col("known").isNull() | F.col("course_key").isNull(), F.col("n")).otherwise(0)
+    return per_person.join(people, "intern_id", "left").groupBy("course_key").agg(
+        F.sum("n").alias("row_count"), F.sum("undated").alias("undated_rows"), F.sum("unknown").alias("unknown_status_rows"),
+        *[F.sum(f"no_{c}").alias(f"no_{c}_rows") for c in scores], F.sum(lost).alias("rows_not_in_gold"),
+    )
+
+
 def observed_cleaning(eod_clean: DataFrame, observation: Observation) -> DataFrame:
     """The same counts as a by-product of whatever job reads the returned frame."""
     return eod_clean.observe(observation, *_losses())

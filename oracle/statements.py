@@ -139,6 +139,13 @@ def _layers() -> dict[str, str]:
         f"select '{layer}' as layer, '{name}' as table_name, count(*) as row_count from {cte}"
         for layer, name, cte in report
     )
+    out["q1_course_counts"] = "select course_key, count(*) as row_count from raw_lms group by course_key"
+    out["q4_progress_losses"] = """select course_key, count(*) as row_count, count(*) filter (start_date is null) as undated_rows,
+        count(*) filter (overall_status = 'Unknown') as unknown_status_rows, count(*) filter (progress_pct is null) as no_progress_pct_rows,
+        count(*) filter (kc_pct is null) as no_kc_pct_rows, count(*) filter (test_pct is null) as no_test_pct_rows,
+        count(*) filter (assignment_ratio is null) as no_assignment_ratio_rows,
+        count(*) filter (course_key is null or intern_id not in (select intern_id from dim_intern)) as rows_not_in_gold
+        from lms_clean group by course_key"""
     out["q2_null_counts"] = " union all ".join(
         f"select '{col}' as column_name, count(*) - count({col}) as null_count from fact_lms_progress"
         for col in ("test_pct", "kc_pct", "assignment_ratio", "progress_pct")
@@ -448,6 +455,7 @@ def _models() -> dict[str, str | tuple[str, str]]:
         "m10_m11_cluster_certificate": "select 3 as clusters, count(*) as members, true as at_rest from dim_intern",
         "m10_embedding_certificate": "select 3 as clusters, count(*) as members, true as at_rest from embeddings",
         "m13_ridge_scores": (scores, _ridge()),
+        "a20_score_range": ("select round(least(min(y), min(p)), 4) as low, round(greatest(max(y), max(p)), 4) as high from samples join guesses using (r)", _ridge()),
         "m14_score_report": (report, _ridge()),
         "m15_projection": (projected, _projection()),
     }
