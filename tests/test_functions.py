@@ -112,3 +112,26 @@ def test_sum_does_not_depend_on_order(spark, xs):
     one, two = total(xs, 1), total(xs[::-1], 3)
     assert one == pytest.approx(math.fsum(xs), rel=1e-15, abs=1e-12)
     assert one == pytest.approx(two, rel=1e-15, abs=1e-15)
+
+
+def test_sums_of_all_scales_are_exact(spark):
+    """Against sums of fractions, in one pass and through stored parts; signs cancel, values of 1e-12 stand beside 1e14."""
+    import random
+    from fractions import Fraction
+
+    rnd = random.Random(3)
+    rows, want = [], {}
+    for g in range(120):
+        scale = rnd.choice([0, 10, -40, -60, -100, 40, 55, 61])
+        xs = [rnd.choice([-1, 1]) * rnd.random() * 2.0 ** (scale - rnd.randrange(30)) for _ in range(rnd.randrange(20))]
+        xs += [-x for x in xs[1:]] if rnd.random() < 0.3 else []
+        xs += [1e14, 1e-12, 4e-10] if rnd.random() < 0.3 else []
+        want[g] = float(sum(map(Fraction, xs), Fraction(0))) if xs else None
+        rows += [(g, x) for x in xs] or [(g, None)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "g int, x double")
+    assert {r[0]: r[1] for r in df.groupBy("g").agg(numbers.stable_sum("x")).collect()} == want
+    parts = df.groupBy("g", F.pmod(F.xxhash64("x"), F.lit(3)).alias("part")).agg(*numbers.sum_parts("x", "x"))
+    assert {r[0]: r[1] for r in parts.groupBy("g").agg(numbers.summed_parts("x")).collect()} == want
+    tiny = spark.createDataFrame([(4e-10,)] * 1000, "x double")
+    assert tiny.agg(numbers.stable_sum("x")).first()[0] == float(1000 * Fraction(4e-10))

@@ -103,3 +103,39 @@ def test_feature_helpers(spark):
     assert sum(r["x"] ** 2 for r in z) == pytest.approx(3.0) and {r["k"] for r in z} == {0.0}
     assert [tuple(r) for r in features.label_codes(df, "c").orderBy("code").collect()] == [("a", 0), ("b", 1)]
     assert features.levels_of(df, "c") == ["a", "b"]
+
+
+def test_forest_by_joins_equals_the_library(spark, courses, tmp_path):
+    fit = models.train_classifier(courses, trees=7, depth=6)
+    rows = models.forest_certificate(spark, fit, courses, str(tmp_path / "forest")).collect()
+    assert sum(r["row_count"] for r in rows) == 90 and not any(r["differing"] or r["unbalanced"] for r in rows)
+
+
+def test_moments_keep_their_digits(spark):
+    from cohortlake.operators.moments import moments
+
+    rng = np.random.default_rng(2)
+    x = 1e6 + rng.normal(size=(500, 3)) * [1, 1e-3, 5]
+    df = spark.createDataFrame([(row.tolist(),) for row in x], "x array<double>").repartition(5)
+    found = moments(df, "x", 3)
+    centred = x - x.mean(axis=0)
+    assert found.n == 500 and np.allclose(found.scatter, centred.T @ centred, rtol=1e-6, atol=1e-5)
+    assert moments(df.limit(0), "x", 3).n == 0
+
+
+def test_k_means_stops_where_nothing_moves(spark, people):
+    fit = models.train_clustering(people, restarts=4)
+    rows = models.cluster_certificate(fit, people).collect()
+    assert sum(r["people"] for r in rows) == 100 and max(r["gap"] for r in rows) < 1e-9
+
+
+def test_stages_are_saved_and_loaded(spark, courses, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    fit = models.train_regression(courses)
+    fit.model.write().overwrite().save(str(tmp_path / "m"))
+    again = models.Regression(PipelineModel.load(str(tmp_path / "m")), fit.r2, fit.mae)
+    one, two = (sorted(map(tuple, models.regression_results(m, courses).collect())) for m in (fit, again))
+    assert one == two
+    report = models.regression_report(fit, courses).first()
+    assert report["r2"] == pytest.approx(fit.r2) and report["mae"] == pytest.approx(fit.mae)

@@ -192,3 +192,89 @@ def test_sums_of_any_size_do_not_depend_on_order(spark):
         assert df.where("x < 1e20").agg(stable_sum(F.col("x"))).first()[0] == 12.0
         assert df.agg(stable_sum(F.col("x"))).first()[0] == pytest.approx(3e300)
     assert spark.createDataFrame([(None,)], "x double").agg(stable_sum(F.col("x"))).first()[0] is None
+
+
+def lms_rows(spark, *rows):
+    schema = "`User Name` string, `Course Name` string, `Start Date` string, `Mentor Name` string, `Progress (%)` string, `Overall Status` string, course_key string"
+    return spark.createDataFrame(list(rows), schema)
+
+
+P1 = ("Ann Lee", "x", "2026-01-05", "M One, M Two", "80%", "completed", "sql")
+P2 = ("bo li", "x", "2026-01-06", "M Two", "40%", "in progress", "python")
+P3 = ("ann lee", "x", "2026-02-05", "M One", "10%", "not started", "pyspark")
+GOLD_WITHOUT_IDS = ["gold_weekly_hours", "gold_activity_summary", "gold_course_progress", "gold_intern_performance", "gold_mentor_workload"]
+
+
+def gold_rows(warehouse):
+    return {n: sorted(map(repr, map(tuple, warehouse[n].collect()))) for n in GOLD_WITHOUT_IDS}
+
+
+def loaded(spark, dbs, eod_rows, progress_rows):
+    bronze.write_bronze(spark, eod(spark, *eod_rows), dbs.bronze, bronze.EOD_TABLE)
+    bronze.write_bronze(spark, lms_rows(spark, *progress_rows), dbs.bronze, bronze.LMS_TABLE)
+
+
+def test_refresh_rewrites_what_a_load_touched(spark, database, monkeypatch):
+    """Three loads, one of them after a run that broke off; then everything again gives the same."""
+    from cohortlake.plans import layers
+
+    dbs = Databases(database, database, database)
+    march = ("01/03/2026", "Ann", "Lee", "SQL Revision", "1.5")
+    renamed = ("02/03/2026", "BO", "LI", "SQL Revision", "2.0")
+    loaded(spark, dbs, [A, A, march], [P1, P2])
+    refresh.build_warehouse(spark, dbs)
+    written = []
+    write = layers.write_partitions
+
+    def noted(df, db, name, whole):
+        if layers.PARTITIONED.get(name) == [layers.PART]:
+            written.append((name, whole, sorted(r[0] for r in df.select(layers.PART).distinct().collect())))
+        write(df, db, name, whole)
+
+    monkeypatch.setattr(layers, "write_partitions", noted)
+    loaded(spark, dbs, [A, C, renamed], [P1, P3])
+    monkeypatch.setattr(layers, "_gold_jobs", lambda *a: [lambda: 1 / 0])
+    with pytest.raises(ZeroDivisionError):
+        refresh.build_warehouse(spark, dbs)
+    days = [w for w in written if w[0] == "eod_days"]
+    assert days == [("eod_days", False, ["2026-03", "undated"])]
+    assert [w for w in written if w[0] == "lms_people"] == [("lms_people", False, ["pyspark"])]
+    monkeypatch.undo()
+    after = gold_rows(refresh.build_warehouse(spark, dbs))
+    names = {r["full_name"] for r in spark.table(f"{database}.gold_course_progress").collect()}
+    assert names & {"BO LI", "Bo Li"} and "bo li" not in names
+    assert after == gold_rows(refresh.build_warehouse(spark, dbs))
+    assert after == gold_rows(refresh.build_warehouse(spark, dbs, everything=True))
+    ids = sorted(r[0] for r in spark.table(f"{database}.fact_eod_log").select("log_id").collect())
+    assert ids == list(range(5))
+
+
+def test_a_load_that_broke_off_is_entered_by_the_next(spark, database, monkeypatch):
+    bronze.write_bronze(spark, eod(spark, A), database, bronze.EOD_TABLE)
+    calls = []
+
+    def broken(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return entered(*args)
+
+    entered = bronze.register
+    monkeypatch.setattr(bronze, "register", broken)
+    with pytest.raises(RuntimeError):
+        bronze.write_bronze(spark, eod(spark, A, B), database, bronze.EOD_TABLE)
+    monkeypatch.undo()
+    bronze.write_bronze(spark, eod(spark, B, C), database, bronze.EOD_TABLE)
+    assert content(spark, database) == sorted([A, B, C], key=str)
+    lines = bronze.ledger(spark, database, bronze.EOD_TABLE).groupBy("load_no").agg(F.sum("n")).orderBy("load_no").collect()
+    assert [tuple(r) for r in lines] == [(0, 1), (1, 1), (2, 1)]
+    rows = bronze.numbered_rows(spark.table(f"{database}.{bronze.EOD_TABLE}"), spark, database, bronze.EOD_TABLE, "no")
+    assert sorted(r["no"] for r in rows.collect()) == [0, 1, 2]
+
+
+def test_stored_keys_are_not_shuffled(spark, database):
+    bronze.write_bronze(spark, eod(spark, A, B), database, bronze.EOD_TABLE, buckets=4)
+    known = spark.table(bronze.keys_table(database, bronze.EOD_TABLE)).select(bronze.KEY)
+    batch = spark.table(f"{database}.{bronze.EOD_TABLE}").select(bronze.KEY)
+    plan = batch.hint("merge").join(known.hint("merge"), bronze.KEY, "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
