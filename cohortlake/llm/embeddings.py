@@ -213,8 +213,8 @@ def linked(queries: np.ndarray, points: np.ndarray, own: np.ndarray, cosine: flo
 
     def walk(q: np.ndarray, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
         out, wider = [], []
-        if width >= len(points):
-            return scan(q)  # a beam as wide as the shard
+        if width >= len(points) or (width > beam and 4 * width >= len(points)):
+            return scan(q)  # a beam widened to most of the shard takes all of it
         for k in range(0, len(q), BATCH):
             part = q[k : k + BATCH]
             ids, sims = graph.search(queries[part].astype(np.float32), width)
