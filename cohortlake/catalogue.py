@@ -37,6 +37,7 @@ INTERN = "Customer 000000008"
 NAMES = ["Customer 000000008", "Customer 000000003", "O'Brien"]
 YEAR, WEEK = 2024, 2
 STREAM_FILES = 3
+SAMPLE_BUCKETS = 4  # of the key table; the sample has few keys
 DAY = datetime.date(2024, 1, 10)
 
 _plans: dict[tuple[str, str, bool], Warehouse] = {}
@@ -428,8 +429,8 @@ def _ingestion() -> dict[str, Query]:
         spark = t["raw_eod_activities"].sparkSession
         database = _own_database(spark)
         rows = t["raw_eod_activities"].drop(SEQ)
-        write_bronze(spark, rows.filter(F.col("Hours").isNotNull()), database, EOD_TABLE)
-        write_bronze(spark, rows, database, EOD_TABLE)
+        write_bronze(spark, rows.filter(F.col("Hours").isNotNull()), database, EOD_TABLE, SAMPLE_BUCKETS)
+        write_bronze(spark, rows, database, EOD_TABLE, SAMPLE_BUCKETS)
         return read_raw(spark, database, EOD_TABLE)
 
     def streamed(spark: SparkSession, folder: str) -> DataFrame:
@@ -442,9 +443,9 @@ def _ingestion() -> dict[str, Query]:
             part.coalesce(1).write.parquet(f"{place}/in/{third}")
             # One batch a file; a started stream goes on from its checkpoint.
             stream = export_stream(spark, f"{place}/in/*", EOD_TABLE, files_per_batch=1)
-            start_bronze(stream, database, EOD_TABLE, f"{place}/progress").awaitTermination()
+            start_bronze(stream, database, EOD_TABLE, f"{place}/progress", SAMPLE_BUCKETS).awaitTermination()
         again = export_stream(spark, f"{place}/in/*", EOD_TABLE, files_per_batch=1)
-        start_bronze(again, database, EOD_TABLE, f"{place}/replay").awaitTermination()
+        start_bronze(again, database, EOD_TABLE, f"{place}/replay", SAMPLE_BUCKETS).awaitTermination()
         return read_raw(spark, database, EOD_TABLE)
 
     return {"s5_s6_bronze_upsert": _from_raw(upserted), "r1_bronze_stream": streamed}
@@ -460,7 +461,7 @@ def _refreshed(spark: SparkSession, folder: str) -> tuple[str, Warehouse]:
         first = (eod.where(partition_value(EOD_TABLE) != "undated"), lms.where(~F.col("course_key").isin("pyspark", "big_data")))
         for frames in (first, (eod, lms)):
             for kind, rows in zip((EOD_TABLE, LMS_TABLE), frames):
-                write_bronze(spark, rows, database, kind)
+                write_bronze(spark, rows, database, kind, SAMPLE_BUCKETS)
             build_warehouse(spark, dbs, bindings.SAMPLE_LOW, bindings.SAMPLE_HIGH)
         _refreshes[key] = database
     database = _refreshes[key]

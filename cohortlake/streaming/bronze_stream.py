@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import RAW_EOD, RAW_LMS
-from ..sources.bronze import EOD_TABLE, write_bronze
+from ..sources.bronze import BUCKETS, EOD_TABLE, write_bronze
 
 
 def export_stream(
@@ -30,7 +30,7 @@ def export_stream(
     return rows if course_key is None else rows.withColumn("course_key", F.lit(course_key))
 
 
-def start_bronze(rows: DataFrame, database: str, kind: str, checkpoint: str) -> StreamingQuery:
+def start_bronze(rows: DataFrame, database: str, kind: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
     """Ingest what is there and stop.
 
     A batch that is run again after a failure adds nothing, because its rows are in the
@@ -38,7 +38,7 @@ def start_bronze(rows: DataFrame, database: str, kind: str, checkpoint: str) ->
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        write_bronze(batch.sparkSession, batch, database, kind)
+        write_bronze(batch.sparkSession, batch, database, kind, buckets)
 
     return (
         rows.writeStream.foreachBatch(upsert)
