@@ -278,3 +278,30 @@ def test_stored_keys_are_not_shuffled(spark, database):
     batch = spark.table(f"{database}.{bronze.EOD_TABLE}").select(bronze.KEY)
     plan = batch.hint("merge").join(known.hint("merge"), bronze.KEY, "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+
+def test_only_the_tables_a_query_reads_are_written(spark, database, tmp_path):
+    """A table asked for brings those it reads, no others; all tables hold the rows of a full refresh, copies included."""
+    from cohortlake.plans import layers
+
+    lms = spark.createDataFrame(
+        [("Ann Lee", "50%", "3/4", "M One, M Two", "Completed", "sql", 1), ("Ann Lee", "50%", "3/4", "M One, M Two", "Completed", "sql", 2),
+         ("ann lee", "9%", None, None, "paused", None, 3), (None, None, "1/0", "M Two", "Completed", "python", 4)],
+        "`User Name` string, `Progress (%)` string, `Overall Test` string, `Mentor Name` string, `Overall Status` string, course_key string, ingest_seq long",
+    )
+    logs = eod(spark, A, A, B, C).coalesce(1).withColumn("ingest_seq", F.monotonically_increasing_id())
+    source = layers.FrameSource({bronze.EOD_TABLE: logs, bronze.LMS_TABLE: lms})
+    lazy, full = f"{database}_lazy", f"{database}_full"
+    try:
+        for name in (lazy, full):
+            spark.sql(f"CREATE DATABASE {name}")
+        tables = layers.on_demand(spark, source, lazy, 0.5, 4.0)
+        assert not spark.catalog.listTables(lazy)
+        tables["gold_intern_performance"]
+        assert {x.name for x in spark.catalog.listTables(lazy)} == {"gold_intern_performance", "dim_intern", "dim_course"}
+        layers.refresh_layers(spark, source, full, full, {bronze.EOD_TABLE: None, bronze.LMS_TABLE: None}, 0.5, 4.0)
+        for name, columns in COLUMNS.items():
+            rows = [sorted(map(str, frame.select(*columns).collect())) for frame in (tables[name], spark.table(f"{full}.{name}"))]
+            assert rows[0] == rows[1] and rows[0], name
+    finally:
+        for name in (lazy, full):
+            spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
