@@ -97,13 +97,23 @@ def nearest_centre(array: Column, centres: list[list[float]]) -> Column:
     return best["i"].cast("int")
 
 
-def centre_sums(df: DataFrame, column: str, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For starts x k centres: sums and counts of the rows nearest to each, and each start's cost. One job."""
+def packed(df: DataFrame, column: str, width: int) -> DataFrame:
+    """Rows as ``block``, each a batch of arrays as the bytes of a matrix: read many times, they are converted once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([block(batch.column(0), width).tobytes()], pa.binary())], names=["block"])
+
+    return df.select(column).mapInArrow(run, "block binary")
+
+
+def centre_sums(blocks: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For starts x k centres: sums and counts of the ``packed`` rows nearest to each, and each start's cost. One job."""
     starts, k, width = centres.shape
 
-    def reduce(blocks: Iterator[np.ndarray]) -> list[np.ndarray]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((starts, k * (width + 1) + 1))
-        for x in blocks:
+        for x in (np.frombuffer(b.as_buffer()).reshape(-1, width) for batch in batches for b in batch.column(0)):
             norms = (x * x).sum(axis=1)
             for s in range(starts):
                 far = norms[:, None] - 2 * x @ centres[s].T + (centres[s] ** 2).sum(axis=1)
@@ -113,8 +123,8 @@ def centre_sums(df: DataFrame, column: str, centres: np.ndarray) -> tuple[np.nda
                 out[s, : k * width] += (mine.T @ x).ravel()
                 out[s, k * width : -1] += mine.sum(axis=0)
                 out[s, -1] += ((x - centres[s][near]) ** 2).sum()
-        return [out]
+        yield pa.RecordBatch.from_arrays([pa.array([out.ravel().tolist()], pa.list_(pa.float64()))], names=["sums"])
 
     size = starts * (k * (width + 1) + 1)
-    found = added_up(task_rows(df, column, width, reduce, ["sums"]), "sums", size).reshape(starts, -1)
+    found = added_up(blocks.mapInArrow(run, "sums array<double>"), "sums", size).reshape(starts, -1)
     return found[:, : k * width].reshape(starts, k, width), found[:, k * width : -1], found[:, -1]

@@ -11,7 +11,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.moments import centre_sums, dot, moments, nearest_centre
+from ..operators.moments import centre_sums, dot, moments, nearest_centre, packed
 from ..operators.quantiles import exact_medians
 
 
@@ -189,17 +189,20 @@ class CentresOfStarts(_Stage, Estimator):
 
     def _fit(self, df: DataFrame) -> "NearestCentre":
         k, starts = self.value("k"), self.value("starts")
-        rows = df.select(vector_to_array(self.value("features")).alias("x")).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = df.select(vector_to_array(self.value("features")).alias("x"))
+        first = rows.first()
+        if first is None:
+            raise ValueError("no rows to fit")
+        # The rounds read matrices; the draw reads the rows once.
+        blocks = packed(rows, "x", len(first["x"])).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             drawn = rows.orderBy(F.xxhash64("x"), "x").limit(self.value("sample")).toArrow()
-            if not drawn.num_rows:
-                raise ValueError("no rows to fit")
             points = np.array(drawn.column("x").to_pylist(), dtype=float)
             rng = np.random.default_rng(self.value("seed"))
             centres = np.stack([spread_centres(points, k, rng) for _ in range(starts)])
             open_, cost = np.arange(starts), np.full(starts, np.inf)
             for _ in range(self.value("rounds") + 1):
-                sums, counts, cost[open_] = centre_sums(rows, "x", centres[open_])
+                sums, counts, cost[open_] = centre_sums(blocks, centres[open_])
                 moved = np.where(counts[..., None] > 0, sums / np.maximum(counts, 1)[..., None], centres[open_])
                 far = np.abs(moved - centres[open_]).max(axis=(1, 2))
                 centres[open_] = moved
@@ -208,7 +211,7 @@ class CentresOfStarts(_Stage, Estimator):
                     break
             best = int(np.argmin(cost))
         finally:
-            rows.unpersist()
+            blocks.unpersist()
         return NearestCentre(features=self.value("features"), output=self.value("output"), centres=centres[best].tolist(), cost=float(cost[best]))
 
 

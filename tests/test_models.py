@@ -139,3 +139,19 @@ def test_stages_are_saved_and_loaded(spark, courses, tmp_path):
     assert one == two
     report = models.regression_report(fit, courses).first()
     assert report["r2"] == pytest.approx(fit.r2) and report["mae"] == pytest.approx(fit.mae)
+
+
+def test_k_means_rounds_read_packed_rows(spark):
+    """Sums of packed rows are those of the plain rows, and each task keeps few, large blocks."""
+    from cohortlake.operators.moments import centre_sums, packed
+
+    x = np.random.default_rng(3).normal(size=(700, 4))
+    blocks = packed(spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>").repartition(3), "x", 4)
+    assert blocks.count() == 3
+    centres = np.stack([x[:2], x[5:7]])
+    sums, counts, cost = centre_sums(blocks, centres)
+    for s in range(2):
+        near = ((x[:, None] - centres[s]) ** 2).sum(axis=2).argmin(axis=1)
+        assert counts[s].tolist() == [(near == c).sum() for c in range(2)]
+        assert np.allclose(sums[s], [x[near == c].sum(axis=0) for c in range(2)])
+        assert cost[s] == pytest.approx(((x - centres[s][near]) ** 2).sum())
