@@ -305,3 +305,13 @@ def test_only_the_tables_a_query_reads_are_written(spark, database, tmp_path):
     finally:
         for name in (lazy, full):
             spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def test_arrivals_of_the_stream_are_written_by_many_tasks(spark, monkeypatch):
+    """No arrival is drawn together in one task."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(DataFrame, "coalesce", lambda self, n: 1 / 0)
+    with pytest.raises(RuntimeError, match="reached"):
+        monkeypatch.setattr(catalogue, "start_bronze", lambda *a: (_ for _ in ()).throw(RuntimeError("reached")))
+        catalogue.queries()["r1_bronze_stream"](spark, SAMPLE)
