@@ -285,9 +285,12 @@ def test_only_the_tables_a_query_reads_are_written(spark, database, tmp_path):
 
     lms = spark.createDataFrame(
         [("Ann Lee", "50%", "3/4", "M One, M Two", "Completed", "sql", 1), ("Ann Lee", "50%", "3/4", "M One, M Two", "Completed", "sql", 2),
-         ("ann lee", "9%", None, None, "paused", None, 3), (None, None, "1/0", "M Two", "Completed", "python", 4)],
+         ("ann lee", "9%", None, None, "paused", None, 3), (None, None, "1/0", "M Two", "Completed", "python", 4),
+         ("Cy Roe", "70%", "2/4", "M Two", "Completed", "big_data", 5)],
         "`User Name` string, `Progress (%)` string, `Overall Test` string, `Mentor Name` string, `Overall Status` string, course_key string, ingest_seq long",
     )
+    # Rows without a key may name a registered course: two keys then share one course id.
+    lms = lms.withColumn("Course Name", F.when(F.col("course_key").isNull(), "Introduction to Data Engineering & Big Data"))
     logs = eod(spark, A, A, B, C).coalesce(1).withColumn("ingest_seq", F.monotonically_increasing_id())
     source = layers.FrameSource({bronze.EOD_TABLE: logs, bronze.LMS_TABLE: lms})
     lazy, full = f"{database}_lazy", f"{database}_full"
