@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +69,15 @@ def exact_medians(df: DataFrame, columns: list[str], error: float = SKETCH_ERROR
     level and sorted by range, and the exact middle ranks are found by running counts. No
     group's levels lie in one buffer.
     """
+    # Read three times below, and the columns may be costly to make.
+    df = df.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _medians(df, columns, error)
+    finally:
+        df.unpersist()
+
+
+def _medians(df: DataFrame, columns: list[str], error: float) -> DataFrame:
     reach = 4 * error
     shares = F.array(F.lit(0.5 - reach), F.lit(0.5 + reach))
     accuracy = F.lit(int(1 / error))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import random
 import statistics
 
@@ -13,6 +14,8 @@ from cohortlake.operators.dedup import keep_first, new_rows, new_rows_by_key, ro
 from cohortlake.operators.dense_id import with_dense_id, with_running_total
 from cohortlake.operators.quantiles import box_stats, exact_medians, histogram
 from cohortlake.operators.skew import join_one_per_key
+from cohortlake.schemas import SEQ
+from cohortlake.sources.bindings import lms_from_orders
 
 
 def hot(n=3000, seed=1):
@@ -62,6 +65,37 @@ def test_medians_with_a_frequent_value(spark):
     }
 
 
+def test_medians_make_their_columns_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(v):
+        made.add(1)
+        return v * 2
+
+    df = spark.range(500).select(F.udf(counted, "double")(F.col("id").cast("double")).alias("v"))
+    assert exact_medians(df, ["v"]).first()["median"] == 499.0
+    assert made.value == 500
+
+
+def test_lines_of_an_order_meet_before_sets_are_made(spark, tmp_path):
+    """Plain rows are shuffled by order, not sets of one name; lines without an order belong to none."""
+    tables = {
+        "lineitem": ([(5, 7, "F", "R", 2.0), (5, 7, "O", "A", 3.0), (5, 8, "F", "N", 1.0), (None, 8, "F", "N", 9.0)],
+                     "l_orderkey long, l_suppkey long, l_linestatus string, l_returnflag string, l_quantity double"),
+        "supplier": ([(7, "S#7"), (8, "S#8")], "s_suppkey long, s_name string"),
+        "orders": ([(5, 5, "F", datetime.datetime(1995, 1, 2), "2-HIGH"), (8, 5, "F", datetime.datetime(1995, 1, 2), "2-HIGH")],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, o_orderpriority string"),
+        "customer": ([(5, "Customer#5")], "c_custkey long, c_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = lms_from_orders(spark, str(tmp_path))
+    got = {r[SEQ]: (r["Mentor Name"], r["Overall Knowledge Check"], r["Completed Assignment"]) for r in found.collect()}
+    assert got == {5: ("S#7, S#8", "6/150", "2/3"), 8: (None, "0/0", "0/0")}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("partial_collect_set") < plan.rindex("Exchange hashpartitioning(l_orderkey")
+
+
 def test_box_and_histogram(spark):
     df = spark.createDataFrame([("a", v) for v in (1, 2, 3, 4, 10)] + [("b", None)], "g string, v long")
     row = box_stats(df, "g", "v").collect()
