@@ -111,6 +111,24 @@ def test_forest_by_joins_equals_the_library(spark, courses, tmp_path):
     assert sum(r["row_count"] for r in rows) == 90 and not any(r["differing"] or r["unbalanced"] for r in rows)
 
 
+def test_rows_are_not_shuffled_on_their_way_down_a_forest(spark):
+    """Two trees of three levels by hand; a forest too large to be sent gives the same shares."""
+    inner = [(0, 0, 0, 0.5, 1, 2), (0, 2, 1, 0.5, 3, 4), (1, 0, 1, 0.2, 1, 2)]
+    leaves = [(0, 1, [1.0, 0.0]), (0, 3, [0.5, 0.5]), (0, 4, [0.0, 1.0]), (1, 1, [1.0, 0.0]), (1, 2, [0.0, 1.0])]
+    schema = "tree int, node int, feature int, threshold double, low int, high int, shares array<double>"
+    nodes = spark.createDataFrame([(*n, [0.5, 0.5]) for n in inner] + [(t, n, None, None, -1, -1, x) for t, n, x in leaves], schema)
+    rows = spark.createDataFrame([(1, [0.1, 0.1]), (2, [0.9, 0.3]), (3, [0.9, 0.9])], "row long, x array<double>")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sent = models.forest_shares(nodes, rows, "row", "x", 3)
+        assert "SortMergeJoin" not in sent._jdf.queryExecution().executedPlan().toString()
+        for shares in (sent, models.forest_shares(nodes, rows, "row", "x", 3, sent_nodes=0)):
+            assert {r["row"]: r["by_class"] for r in shares.collect()} == {1: [1.0, 0.0], 2: [0.25, 0.75], 3: [0.0, 1.0]}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
 def test_moments_keep_their_digits(spark):
     from cohortlake.operators.moments import moments
 
