@@ -111,6 +111,31 @@ def test_forest_by_joins_equals_the_library(spark, courses, tmp_path):
     assert sum(r["row_count"] for r in rows) == 90 and not any(r["differing"] or r["unbalanced"] for r in rows)
 
 
+def test_a_large_forest_is_grown_by_several_fits(spark, courses, tmp_path, monkeypatch):
+    """All trees are there, none twice, each fit reads few partitions, and rows get the mean of all trees' shares."""
+    read = []
+    fit_of = models.RandomForestClassifier.fit
+    monkeypatch.setattr(models.RandomForestClassifier, "fit", lambda self, df: read.append(df.rdd.getNumPartitions()) or fit_of(self, df))
+    monkeypatch.setattr(models, "ROWS_TIMES_TREES", 300)
+    fit = models.train_classifier(courses.repartition(6), trees=8, depth=6)
+    assert read == [1, 1, 1] and sorted(f.getNumTrees for f in fit.forests) == [2, 3, 3]
+    nodes = models.forest_nodes(spark, fit, str(tmp_path / "nodes"))
+    trees = [tuple(sorted((r["node"], r["feature"] or -1, r["threshold"] or 0.0) for r in nodes.where(F.col("tree") == i).collect())) for i in range(8)]
+    assert len(set(trees)) == 8 and nodes.select("tree").distinct().count() == 8
+    rows = models.forest_certificate(spark, fit, courses, str(tmp_path / "forest")).collect()
+    assert sum(r["row_count"] for r in rows) == 90 and not any(r["differing"] or r["unbalanced"] for r in rows)
+    again = models.Classifier(_kept(fit.model, str(tmp_path / "m")), fit.labels, fit.accuracy)
+    one, two = (sorted((r["intern_id"], r["status"], *r["probabilities"].items()) for r in models.classify(m, courses).collect()) for m in (fit, again))
+    assert one == two
+
+
+def _kept(model, place):
+    from pyspark.ml import PipelineModel
+
+    model.write().overwrite().save(place)
+    return PipelineModel.load(place)
+
+
 def test_rows_are_not_shuffled_on_their_way_down_a_forest(spark):
     """Two trees of three levels by hand; a forest too large to be sent gives the same shares."""
     inner = [(0, 0, 0, 0.5, 1, 2), (0, 2, 1, 0.5, 3, 4), (1, 0, 1, 0.2, 1, 2)]
