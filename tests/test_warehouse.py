@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import os
+import re
 
 import pytest
 from pyspark.sql import Observation
@@ -318,3 +319,28 @@ def test_arrivals_of_the_stream_are_written_by_many_tasks(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="reached"):
         monkeypatch.setattr(catalogue, "start_bronze", lambda *a: (_ for _ in ()).throw(RuntimeError("reached")))
         catalogue.queries()["r1_bronze_stream"](spark, SAMPLE)
+
+
+@pytest.fixture
+def small(spark):
+    """Layers over a few rows: copies of a day, a weekend, unreadable dates, progress without a course."""
+    from cohortlake.plans.warehouse import Warehouse
+
+    logs = eod(
+        spark, A, A, B, C, ("10/01/2026", "ANN", "Lee", "SQL Revision", "1.5"), ("10/01/2026", "Ann", "Lee", "NumPy Practice", "2"),
+        ("bad", "Ann", "Lee", "SQL Revision", "0.75"),
+    ).coalesce(1).withColumn("ingest_seq", F.monotonically_increasing_id()).repartition(2)
+    lost = ("ann lee", None, None, None, "90%", "completed", None)
+    progress = lms_rows(spark, P1, P1, P2, P3, lost).coalesce(1).withColumn("ingest_seq", F.monotonically_increasing_id()).repartition(2)
+    return Warehouse.from_raw({bronze.EOD_TABLE: logs, bronze.LMS_TABLE: progress})
+
+
+def test_hours_are_grouped_once_by_kind_of_day(small):
+    from cohortlake.plans import features
+
+    plan = features.domain_hours(small)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\([^)]*\bdate#", plan)
+    people = {r["full_name"]: r for r in features.person_features(small).collect()}
+    ann, bo = people["Ann Lee"], people["Bo Li"]
+    assert (ann["total_hours"], ann["hours_sql"], ann["weekend_hours"], ann["distinct_activities"]) == (9.25, 7.25, 3.5, 2)
+    assert (bo["total_hours"], bo["hours_numpy"], bo["weekend_hours"], bo["distinct_activities"]) == (9.0, 0.0, 0.0, 1)
