@@ -344,3 +344,14 @@ def test_hours_are_grouped_once_by_kind_of_day(small):
     ann, bo = people["Ann Lee"], people["Bo Li"]
     assert (ann["total_hours"], ann["hours_sql"], ann["weekend_hours"], ann["distinct_activities"]) == (9.25, 7.25, 3.5, 2)
     assert (bo["total_hours"], bo["hours_numpy"], bo["weekend_hours"], bo["distinct_activities"]) == (9.0, 0.0, 0.0, 1)
+
+
+def test_scores_are_grouped_by_person_not_by_course(small):
+    from cohortlake.plans import gold
+
+    per_person = gold.lms_by_intern(small)
+    plan = per_person._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(intern_id#\d+, course_id#", plan)
+    names = {r["intern_id"]: r["full_name"] for r in small["dim_intern"].collect()}
+    found = {names[r["intern_id"]]: (r["lms_rows"], r["avg_progress_pct"], r["courses_completed"]) for r in per_person.collect()}
+    assert found == {"Ann Lee": (3, 65.0, 3), "Bo Li": (1, 40.0, 0)}
