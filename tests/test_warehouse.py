@@ -355,3 +355,17 @@ def test_scores_are_grouped_by_person_not_by_course(small):
     names = {r["intern_id"]: r["full_name"] for r in small["dim_intern"].collect()}
     found = {names[r["intern_id"]]: (r["lms_rows"], r["avg_progress_pct"], r["courses_completed"]) for r in per_person.collect()}
     assert found == {"Ann Lee": (3, 65.0, 3), "Bo Li": (1, 40.0, 0)}
+
+
+def test_figures_of_a_person_come_from_their_rows_only(small):
+    from cohortlake.functions.text import short_id
+    from cohortlake.plans import dashboard
+
+    def figures(name):
+        return dashboard.kpis_of_intern(small, name)
+
+    assert tuple(figures("Ann Lee").first()) == (1, 9.3, 5, 65.0, 3)
+    assert tuple(figures("ann lee").first()) == tuple(figures("No One").first())  # the name as it is written
+    key = small["dim_intern"].select(short_id(F.lit("Ann Lee"))).first()[0]
+    # People, daily logs and progress rows are each filtered by the id.
+    assert figures("Ann Lee")._jdf.queryExecution().optimizedPlan().toString().count(key) >= 3
