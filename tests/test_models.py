@@ -198,3 +198,62 @@ def test_k_means_rounds_read_packed_rows(spark):
         assert counts[s].tolist() == [(near == c).sum() for c in range(2)]
         assert np.allclose(sums[s], [x[near == c].sum(axis=0) for c in range(2)])
         assert cost[s] == pytest.approx(((x - centres[s][near]) ** 2).sum())
+
+
+@pytest.fixture(scope="module")
+def noisy(spark):
+    """600 rows whose status follows two features, with noise, so that trees are deep."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(600):
+        x = [float(v) for v in rng.uniform(0, 100, len(models.COURSE_FEATURES))]
+        noise = rng.uniform() < 0.2
+        status = ["Completed", "In Progress", "Not Started"][int(rng.integers(3)) if noise else int(x[0] > 40) + int(x[1] > 70)]
+        rows.append((f"p{i}", ["Basic SQL", "Other's"][i % 2], status, *x))
+    schema = "intern_id string, course_name string, overall_status string, " + ", ".join(f"{c} double" for c in models.COURSE_FEATURES)
+    return spark.createDataFrame(rows, schema).repartition(3, "intern_id")
+
+
+@pytest.mark.parametrize("draws, at_once", [(250_000, 500_000_000), (100, 3_000)])
+def test_a_deep_forest_is_grown_in_the_tasks(spark, noisy, tmp_path, monkeypatch, draws, at_once):
+    """No library model is on the driver; upper levels by counts of all tasks or not; saved and loaded it says the same; again it is the same."""
+    from pyspark.ml import PipelineModel
+
+    from cohortlake.operators import forest
+
+    monkeypatch.setattr(models, "ROWS_TIMES_TREES", 300)
+    monkeypatch.setattr(models.RandomForestClassifier, "fit", None)
+    monkeypatch.setattr(forest, "TASK_DRAWS", draws)
+    monkeypatch.setattr(forest, "ROWS_AT_ONCE", at_once)
+    monkeypatch.setattr(forest, "VOTE_ROWS", 150)
+    monkeypatch.setattr(forest, "SENT_BYTES", 20_000)
+    fit = models.train_classifier(noisy, trees=12, depth=30)
+    scored = models.classify(fit, noisy)
+    assert fit.accuracy > 0.9 and fit.accuracy == pytest.approx(sum(r["status"] == r["overall_status"] for r in scored.collect()) / 600)
+    nodes = models.forest_nodes(spark, fit, str(tmp_path / "none"))
+    assert nodes.select("tree").distinct().count() == 12 and nodes.count() == nodes.select("tree", "node").distinct().count()
+    trees = nodes.groupBy("tree").agg(F.count_if(F.isnull("feature")).alias("leaves"), F.count_if(F.isnotnull("feature")).alias("inner")).collect()
+    assert all(t["leaves"] == t["inner"] + 1 > 50 for t in trees)
+    rows = models.forest_certificate(spark, fit, noisy, str(tmp_path / "forest")).collect()
+    assert sum(r["row_count"] for r in rows) == 600 and not any(r["differing"] or r["unbalanced"] for r in rows)
+    fit.model.write().overwrite().save(str(tmp_path / "m"))
+    loaded = PipelineModel.load(str(tmp_path / "m"))
+    assert str(tmp_path / "m") in loaded.stages[-2].value("folder")
+    again = models.Classifier(loaded, fit.labels, fit.accuracy)
+    anew = models.train_classifier(noisy, trees=12, depth=30)
+    said = [sorted((r["intern_id"], r["status"], *r["probabilities"].items()) for r in models.classify(m, noisy).collect()) for m in (fit, again, anew)]
+    assert said[0] == said[1] == said[2]
+
+
+def test_a_forest_goes_to_the_joins_in_pieces(spark, noisy, tmp_path, monkeypatch):
+    """No broadcast holds more inner nodes than allowed, and the shares are those of the whole forest."""
+    fit = models.train_classifier(noisy, trees=6, depth=8)
+    nodes = models.forest_nodes(spark, fit, str(tmp_path / "nodes"))
+    most = max(r["n"] for r in nodes.where("feature is not null").groupBy("tree").agg(F.count("*").alias("n")).collect())
+    rows = fit.model.transform(noisy).select(F.col("intern_id").alias("row"), models.vector_to_array("features").alias("x"))
+    whole = {r["row"]: r["by_class"] for r in models.forest_shares(nodes, rows, "row", "x", 8).collect()}
+    pieces, shown = [], models.F.broadcast
+    monkeypatch.setattr(models.F, "broadcast", lambda df: pieces.append(df.count()) or shown(df))
+    found = {r["row"]: r["by_class"] for r in models.forest_shares(nodes, rows, "row", "x", 8, sent_nodes=2 * most).collect()}
+    assert len(pieces) >= 6 and max(pieces) <= 2 * most + 2 and sum(pieces) == nodes.count()
+    assert len(whole) == 600 and all(found[k] == pytest.approx(v, abs=1e-12) for k, v in whole.items())
