@@ -37,3 +37,12 @@ def database(spark):
     spark.sql(f"CREATE DATABASE {name}")
     yield name
     spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+@pytest.fixture(scope="module", autouse=True)
+def no_views_are_left(spark):
+    """Temporary views of a module are not seen by the next one."""
+    yield
+    for table in spark.catalog.listTables():
+        if table.isTemporary:
+            spark.catalog.dropTempView(table.name)

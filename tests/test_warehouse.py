@@ -280,6 +280,22 @@ def test_stored_keys_are_not_shuffled(spark, database):
     plan = batch.hint("merge").join(known.hint("merge"), bronze.KEY, "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
 
+def test_a_load_is_compared_by_one_shuffle_and_not_written_down(spark, database, monkeypatch):
+    """No checkpoint holds raw rows; the rows of a batch are shuffled by their key alone, copies combined before, and once to be written."""
+    bronze.write_bronze(spark, eod(spark, A, A, B), database, bronze.EOD_TABLE)
+    kept, plans = [], []
+    frame, writer = type(spark.range(1)), type(spark.range(1).write)
+    checkpoint, save = frame.checkpoint, writer.saveAsTable
+    monkeypatch.setattr(frame, "checkpoint", lambda self, *a: kept.append(self.columns) or checkpoint(self, *a))
+    monkeypatch.setattr(writer, "saveAsTable", lambda self, name, *a, **k: plans.append((name, self._df._jdf.queryExecution().executedPlan().toString())) or save(self, name, *a, **k))
+    bronze.write_bronze(spark, eod(spark, A, *[C] * 5), database, bronze.EOD_TABLE)
+    assert kept and not any("Hours" in columns for columns in kept)
+    plan = next(p for name, p in plans if name == f"{database}.{bronze.EOD_TABLE}")
+    moved = re.findall(r"Exchange (\w+)\(([^,]*)", plan)
+    assert [how for how, _ in moved].count("hashpartitioning") <= 3 and all(by.startswith(("row_key", "bronze_part")) for how, by in moved if how == "hashpartitioning")
+    assert "partial_first" in plan and content(spark, database) == sorted([A, A, B, C], key=str)
+
+
 def test_only_the_tables_a_query_reads_are_written(spark, database, tmp_path):
     """A table asked for brings those it reads, no others; all tables hold the rows of a full refresh, copies included."""
     from cohortlake.plans import layers
